@@ -4,14 +4,14 @@
 buffer. Here a sketch of bounded size first brackets each wanted rank. Values outside the
 bracket are clamped to its ends, which changes no order statistic inside it, so counting the
 clamped values per distinct value gives the exact result while the shuffle only carries the
-few values inside the bracket. If a bracket would still hold too many rows it is narrowed by
-another sketch over the rows inside it.
+few values inside the bracket. If a bracket would still hold too many values it is narrowed by
+another sketch over the rows strictly inside it.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -19,58 +19,64 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lendscope.functions import clean_number
 
 SKETCH_ACCURACY = 10_000
-BRACKET_ROWS = 2_000_000
+BRACKET_VALUES = 2_000_000
 
 
 @dataclass
 class _Rank:
-    """One wanted position: order statistics number ``low`` and ``high`` (0-based)."""
+    """Wanted order statistics ``low`` and ``high`` (0-based) and the bracket around them."""
 
     name: str
+    slot: str
     low: int
     high: int
     weight: float
-    start: float = -math.inf
-    stop: float = math.inf
+    start: float
+    stop: float
+    inside: float
+
+    @property
+    def value(self) -> Column:
+        return F.col(self.slot)
 
 
 def exact_quantiles(
     df: DataFrame,
-    wanted: Mapping[str, tuple[Column | str, float]],
+    wanted: Mapping[str, tuple],
     accuracy: int = SKETCH_ACCURACY,
-    bracket_rows: int = BRACKET_ROWS,
+    bracket_values: int = BRACKET_VALUES,
 ) -> dict[str, float | None]:
     """Linear-interpolated quantiles, ``{name: (column, q)}`` to ``{name: value}``.
 
-    Nulls and NaN are skipped; the value is None where no row is left. Runs two jobs, plus
-    two more for each narrowing step (billions of rows).
+    ``(column, q, position)`` asks for the 0-based order statistic ``position(n)`` instead,
+    which has to lie within a few ranks of ``q * n``. Nulls and NaN are skipped; the value is
+    None where no row is left. Runs two jobs, plus two for each narrowing step.
     """
     if not wanted:
         return {}
-    values = {n: clean_number((F.col(c) if isinstance(c, str) else c).cast("double")) for n, (c, _) in wanted.items()}
-    names = list(values)
-    slots = {n: f"v{i}" for i, n in enumerate(names)}
-    data = df.select(*[values[n].alias(slots[n]) for n in names])
-
-    slack = 2.0 / accuracy
-    first = data.agg(
-        *[F.count(slots[n]).alias(f"n_{slots[n]}") for n in names],
-        *[_bracket(F.col(slots[n]), wanted[n][1], slack, accuracy).alias(f"b_{slots[n]}") for n in names],
+    slots = {name: f"v{i}" for i, name in enumerate(wanted)}
+    data = df.select(*[_number(wanted[n][0]).alias(slot) for n, slot in slots.items()])
+    slack = 4.0 / accuracy
+    sketch = data.agg(
+        *[F.count(slot).alias(f"n_{slot}") for slot in slots.values()],
+        *[
+            F.percentile_approx(F.col(slot), _ends(wanted[n][1], wanted[n][1], slack), accuracy).alias(f"b_{slot}")
+            for n, slot in slots.items()
+        ],
     ).first()
-    ranks, sizes = [], {}
-    for n in names:
-        count = first[f"n_{slots[n]}"]
+    ranks = []
+    for name, slot in slots.items():
+        count = sketch[f"n_{slot}"]
         if count:
-            start, stop = first[f"b_{slots[n]}"]
-            ranks.append(_rank(n, wanted[n][1], count, start, stop))
-            sizes[n] = 2 * slack * count + 2
-    while ranks and max(sizes[r.name] for r in ranks) > bracket_rows:
-        _narrow(data, ranks, slots, sizes, slack, accuracy)
-    found = _order_statistics(data, ranks, slots)
-    result: dict[str, float | None] = dict.fromkeys(names)
+            bracket = sketch[f"b_{slot}"] if count > accuracy else (-math.inf, math.inf)
+            ranks.append(_rank(name, slot, wanted[name], count, bracket, 3 * slack * count if count > accuracy else count))
+    while any(r.inside > bracket_values for r in ranks):
+        _narrow(data, [r for r in ranks if r.inside > bracket_values], slack, accuracy)
+    found = _order_statistics(data, ranks)
+    result: dict[str, float | None] = dict.fromkeys(wanted)
     for r in ranks:
         low, high = found[r.name]
-        result[r.name] = low + (high - low) * r.weight
+        result[r.name] = low if r.weight == 0 else low + (high - low) * r.weight
     return result
 
 
@@ -78,59 +84,59 @@ def exact_median(df: DataFrame, *columns: str) -> dict[str, float | None]:
     return exact_quantiles(df, {c: (F.col(f"`{c}`"), 0.5) for c in columns})
 
 
-def rank_values(df: DataFrame, column: Column, positions: list[int]) -> list[float]:
-    """Values at the given 0-based positions of the sorted non-null column."""
-    n = df.select(F.count(column)).first()[0]
-    wanted = {str(i): (column, p / (n - 1) if n > 1 else 0.0) for i, p in enumerate(positions)}
-    found = exact_quantiles(df, wanted)
-    return [found[str(i)] for i in range(len(positions))]
+def _number(c: Column | str) -> Column:
+    return clean_number((F.col(c) if isinstance(c, str) else c).cast("double"))
 
 
-def _rank(name: str, q: float, count: int, start: float, stop: float) -> _Rank:
-    position = q * (count - 1)
-    nearest = round(position)
-    if abs(position - nearest) < 1e-9 * max(1.0, position):
-        position = float(nearest)
-    low = math.floor(position)
-    return _Rank(name, low, min(low + 1, count - 1), position - low, start, stop)
+def _ends(low: float, high: float, slack: float) -> list[float]:
+    return [max(0.0, low - slack), min(1.0, high + slack)]
 
 
-def _bracket(c: Column, q: float, slack: float, accuracy: int) -> Column:
-    ends = [max(0.0, q - slack), min(1.0, q + slack)]
-    return F.percentile_approx(c, ends, accuracy)
+def _rank(name: str, slot: str, spec: tuple, count: int, bracket, inside: float) -> _Rank:
+    if len(spec) == 3:
+        position_of: Callable[[int], int] = spec[2]
+        low = min(max(position_of(count), 0), count - 1)
+        return _Rank(name, slot, low, low, 0.0, *bracket, inside)
+    position = spec[1] * (count - 1)
+    low = math.floor(position)
+    return _Rank(name, slot, low, min(low + 1, count - 1), position - low, *bracket, inside)
 
 
-def _narrow(data: DataFrame, ranks: list[_Rank], slots: dict, sizes: dict, slack: float, accuracy: int) -> None:
-    """Replace each bracket by a tighter one from a sketch of the rows inside it."""
-    inside = {r.name: F.col(slots[r.name]).between(r.start, r.stop) for r in ranks}
-    counted = data.agg(
-        *[F.count_if(F.col(slots[r.name]) < r.start).alias(f"below_{slots[r.name]}") for r in ranks],
-        *[F.count_if(inside[r.name]).alias(f"inside_{slots[r.name]}") for r in ranks],
+def _narrow(data: DataFrame, ranks: list[_Rank], slack: float, accuracy: int) -> None:
+    """Tighten each bracket by a sketch of the rows strictly inside it."""
+    strict = {r.name: (r.value > r.start) & (r.value < r.stop) for r in ranks}
+    upto = data.agg(
+        *[F.count_if(r.value <= r.start).alias(f"upto_{r.slot}") for r in ranks],
+        *[F.count_if(strict[r.name]).alias(f"inside_{r.slot}") for r in ranks],
     ).first()
-    exprs = []
+    sketched = []
     for r in ranks:
-        held = max(counted[f"inside_{slots[r.name]}"], 1)
-        below = counted[f"below_{slots[r.name]}"]
-        ends = [
-            min(1.0, max(0.0, (r.low - below) / held - slack)),
-            min(1.0, max(0.0, (r.high - below) / held + slack)),
-        ]
-        exprs.append(F.percentile_approx(F.when(inside[r.name], F.col(slots[r.name])), ends, accuracy).alias(slots[r.name]))
-        sizes[r.name] = 2 * slack * held + 3
-    narrowed = data.agg(*exprs).first()
-    for r in ranks:
-        r.start, r.stop = narrowed[slots[r.name]]
-
-
-def _order_statistics(data: DataFrame, ranks: list[_Rank], slots: dict) -> dict[str, tuple[float, float]]:
+        first, inside = upto[f"upto_{r.slot}"], upto[f"inside_{r.slot}"]
+        if r.high < first:
+            r.stop, r.inside = r.start, 0
+        elif r.low >= first + inside:
+            r.start, r.inside = r.stop, 0
+        else:
+            ends = _ends((r.low - first) / inside, (r.high - first) / inside, slack)
+            expr = F.percentile_approx(F.when(strict[r.name], r.value), [max(0.0, e) for e in ends], accuracy)
+            sketched.append((r, expr, r.low < first, r.high >= first + inside, inside))
+    if not sketched:
+        return
+    row = data.agg(*[expr.alias(r.slot) for r, expr, *_ in sketched]).first()
+    for r, _, keep_start, keep_stop, inside in sketched:
+        low, high = row[r.slot]
+        r.start = r.start if keep_start else low
+        r.stop = r.stop if keep_stop else high
+        r.inside = min(3 * slack * inside, inside) if inside > accuracy else 0
+
+
+def _order_statistics(data: DataFrame, ranks: list[_Rank]) -> dict[str, tuple[float, float]]:
     if not ranks:
         return {}
     clamped = [
         F.struct(
             F.lit(r.name).alias("name"),
-            F.when(F.col(slots[r.name]) < r.start, F.lit(r.start))
-            .when(F.col(slots[r.name]) > r.stop, F.lit(r.stop))
-            .otherwise(F.col(slots[r.name])).alias("value"),
+            F.when(r.value < r.start, F.lit(r.start)).when(r.value > r.stop, F.lit(r.stop)).otherwise(r.value).alias("value"),
         )
         for r in ranks
     ]
@@ -141,10 +147,10 @@ def _order_statistics(data: DataFrame, ranks: list[_Rank], slots: dict) -> dict[
     )
     upto = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("last", F.sum("count").over(upto) - 1)
-    wanted = [
+    picks = [
         F.min(F.when((F.col("name") == r.name) & (F.col("last") >= position), F.col("value"))).alias(f"r{i}_{end}")
         for i, r in enumerate(ranks)
         for end, position in (("low", r.low), ("high", r.high))
     ]
-    row = ranked.agg(*wanted).first()
+    row = ranked.agg(*picks).first()
     return {r.name: (row[f"r{i}_low"], row[f"r{i}_high"]) for i, r in enumerate(ranks)}

@@ -15,14 +15,18 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 GROUP_ROWS = 1_000_000
-RANGES = 256
-SKETCH_ACCURACY = 10_000
+MOST_RANGES = 10_000
 
 
-def split_points(df: DataFrame, value: str, ranges: int = RANGES) -> tuple[list[float], set[float]]:
+def range_count(rows: int, group_rows: int = GROUP_ROWS) -> int:
+    """Ranges to cut ``rows`` into, so that each holds about half the group limit."""
+    return max(16, min(MOST_RANGES, 2 * math.ceil(rows / group_rows)))
+
+
+def split_points(df: DataFrame, value: str, ranges: int) -> tuple[list[float], set[float]]:
     """Cut points that balance rows over value ranges, and the values hot enough to fill one."""
     steps = [i / ranges for i in range(1, ranges)]
-    row = df.agg(F.percentile_approx(F.col(value), steps, SKETCH_ACCURACY)).first()
+    row = df.agg(F.percentile_approx(F.col(value), steps, 10 * ranges)).first()
     points = row[0] or []
     hot = {a for a, b in zip(points, points[1:]) if a == b}
     return sorted(set(points)), hot
@@ -42,53 +46,65 @@ def running_counts(
     keys: Sequence[str],
     value: str,
     measures: dict[str, Column],
+    previous: bool = False,
     group_rows: int = GROUP_ROWS,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """Per distinct value of each group: sums, inclusive running sums and group totals.
 
     ``measures`` maps a name m to a summed expression; the result has columns m, cum_m and
-    total_m, one row per (keys, value). Rows are first added up per distinct value, on the map
-    side, so ties cost nothing downstream.
+    total_m, one row per (keys, value); ``previous`` adds prev_m, the sum at the next lower
+    value. Rows are first added up per distinct value, on the map side, so ties cost nothing
+    downstream.
     """
     keys = list(keys)
     base = df.select(*keys, F.col(value), *[e.alias(m) for m, e in measures.items()]).filter(F.col(value).isNotNull())
     sums = base.groupBy(*keys, value).agg(*[F.sum(m).alias(m) for m in measures])
     largest = base.groupBy(*keys).agg(F.approx_count_distinct(value).alias("n")).agg(F.max("n")).first()[0]
     if (largest or 0) <= group_rows:
-        return _plain_running(sums, keys, value, list(measures))
-    points, _ = split_points(base, value, ranges)
-    return ranged_running(sums, keys, value, list(measures), points)
+        return _plain_running(sums, keys, value, list(measures), previous)
+    points, _ = split_points(base, value, range_count(largest, group_rows))
+    return ranged_running(sums, keys, value, list(measures), points, previous)
 
 
-def _plain_running(sums: DataFrame, keys: list[str], value: str, measures: list[str]) -> DataFrame:
+def _plain_running(sums: DataFrame, keys: list[str], value: str, measures: list[str], previous: bool) -> DataFrame:
     group = Window.partitionBy(*keys)
-    upto = group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return sums.withColumns(
-        {f"cum_{m}": F.sum(m).over(upto) for m in measures}
-        | {f"total_{m}": F.sum(m).over(group) for m in measures}
-    )
+    ordered = group.orderBy(value)
+    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    added = {f"cum_{m}": F.sum(m).over(upto) for m in measures}
+    added |= {f"total_{m}": F.sum(m).over(group) for m in measures}
+    if previous:
+        added |= {f"prev_{m}": F.lag(m).over(ordered) for m in measures}
+    return sums.withColumns(added)
 
 
-def ranged_running(sums: DataFrame, keys: list[str], value: str, measures: list[str], points: Sequence[float]) -> DataFrame:
+def ranged_running(
+    sums: DataFrame, keys: list[str], value: str, measures: list[str], points: Sequence[float], previous: bool = False
+) -> DataFrame:
     """:func:`running_counts` after the cut: at most ``len(points) + 1`` range totals per group."""
     ranged = range_number(sums, value, points, "_range")
-    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
+    totals = ranged.groupBy(*keys, "_range").agg(
+        *[F.sum(m).alias(f"_{m}") for m in measures],
+        *[F.max_by(m, value).alias(f"_last_{m}") for m in measures],
+    )
     group = Window.partitionBy(*keys)
-    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = group.orderBy("_range")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys, "_range",
         *[F.coalesce(F.sum(f"_{m}").over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
         *[F.sum(f"_{m}").over(group).alias(f"total_{m}") for m in measures],
+        *[F.lag(f"_last_{m}").over(ordered).alias(f"_edge_{m}") for m in measures],
     )
-    local = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    joined = ranged.withColumns({f"_local_{m}": F.sum(m).over(local) for m in measures}).join(
-        offsets, [*keys, "_range"]
-    )
+    piece = Window.partitionBy(*keys, "_range").orderBy(value)
+    upto = piece.rowsBetween(Window.unboundedPreceding, 0)
+    local = {f"_local_{m}": F.sum(m).over(upto) for m in measures}
+    local |= {f"_lag_{m}": F.lag(m).over(piece) for m in measures}
+    joined = ranged.withColumns(local).join(offsets, [*keys, "_range"])
     return joined.select(
         *keys, value, *measures,
         *[(F.col(f"_local_{m}") + F.col(f"_before_{m}")).alias(f"cum_{m}") for m in measures],
         *[f"total_{m}" for m in measures],
+        *([F.coalesce(f"_lag_{m}", f"_edge_{m}").alias(f"prev_{m}") for m in measures] if previous else []),
     )
 
 
@@ -98,7 +114,6 @@ def number_rows(
     order: Sequence[str],
     output: str = "row_no",
     group_rows: int = GROUP_ROWS,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """1-based row number per key in the given order, with large keys cut into ranges.
 
@@ -106,10 +121,12 @@ def number_rows(
     column, and where one value of it is hot, also by the second.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    large = counts.filter(F.col("_n") > group_rows).select(key)
-    if large.isEmpty():
+    most = counts.agg(F.max("_n")).first()[0] or 0
+    if most <= group_rows:
         return df.withColumn(output, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))
 
+    large = counts.filter(F.col("_n") > group_rows).select(key)
+    ranges = range_count(most, group_rows)
     marked = df.join(large.withColumn("_large", F.lit(True)), key, "left")
     cut = _cut_ranges(marked, df.join(large, key, "left_semi"), order, ranges)
     totals = cut.filter("_large").groupBy(key, "_r1", "_r2").agg(F.count(F.lit(1)).alias("_n"))
