@@ -157,7 +157,7 @@ def ks_curve(df: DataFrame, keys: Sequence[str] = ("model",), label: str = "labe
     cells = rows.groupBy(*keys, _grid_cell(F.col(score), points).alias("cell")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg")
     )
-    grid = cells.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(points - 1))).cast("long").alias("cell"))
+    grid = cells.select(*keys).distinct().select(*keys, F.explode(F.expr(f"sequence(0L, {points - 1}L)")).alias("cell"))
     upto = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     group = Window.partitionBy(*keys)
     summed = grid.join(cells, [*keys, "cell"], "full").select(
