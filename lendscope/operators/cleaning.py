@@ -133,7 +133,9 @@ def feature_matrix(df: DataFrame, target: str, id_column: str | None = None, fil
     """
     names = feature_columns(df, target)
     if fill is None:
-        fill = median_values(df.select(*[finite(_c(c).cast("double")).alias(c) for c in names]), names)
+        usable = df.select(*[finite(_c(c).cast("double")).alias(c) for c in names])
+        gaps = usable.agg(*[F.count_if(_c(c).isNull()).alias(c) for c in names]).first()
+        fill = median_values(usable, [c for c in names if gaps[c]])
     kept = [_c(id_column)] if id_column else []
     filled = [
         F.coalesce(finite(_c(c).cast("double")), F.lit(fill.get(c)).cast("double")).alias(c) for c in names

@@ -30,26 +30,32 @@ def nearest_neighbours(
     leaf_rows: int = LEAF_ROWS,
     visitors_per_task: int = VISITORS_PER_TASK,
 ) -> DataFrame:
-    """Per distinct point (key, copies, features): its ``k`` nearest other rows as vectors.
+    """Per wanted point (key): its ``k`` nearest other rows as vectors.
 
-    ``points`` has unique columns ``key`` (long), ``copies`` and the features. Other copies of
-    the same point come first, at distance 0. Result: key, neighbours (array of vectors).
+    ``points`` has unique columns ``key`` (long), ``copies``, ``wanted`` (boolean) and the
+    features; every point is a possible neighbour. Other copies of the same point come first,
+    at distance 0. Result: key, neighbours (array of vectors).
     """
     features = list(features)
+    points = points.select("key", "copies", "wanted", *[F.col(f"`{c}`") for c in features])
     n = points.count()
     leaves = max(1, min(MOST_LEAVES, -(-n // leaf_rows)))
-    sample = hash_sample(points, leaves * SAMPLE_PER_LEAF, "key").select(*features).toPandas().to_numpy(float)
-    tree = _partition(sample, leaves)
+    tree = 0
+    if leaves > 1:
+        sample = hash_sample(points, leaves * SAMPLE_PER_LEAF, "key").select(*[F.col(f"`{c}`") for c in features])
+        tree = _partition(sample.toPandas().to_numpy(float), leaves)
     # One stable copy: the leaf of a row and everything below have to come from the same rows.
-    placed = cut_lineage(_with_leaf(points.select("key", "copies", *features), features, tree))
-    boxes = placed.groupBy("leaf").agg(
-        *[F.min(f"`{c}`").alias(f"a{i}") for i, c in enumerate(features)],
-        *[F.max(f"`{c}`").alias(f"b{i}") for i, c in enumerate(features)],
-    ).toPandas()
-    reach = _local_reach(placed, features, k)
-    visits = cut_lineage(_visits(reach, features, boxes))
-    loads = {r["leaf"]: r["count"] for r in visits.groupBy("leaf").count().collect()}
-    parts = {leaf: max(1, -(-load // visitors_per_task)) for leaf, load in loads.items()}
+    placed = cut_lineage(_with_leaf(points, features, tree)).repartition(leaves, "leaf")
+    if leaves == 1:
+        visits, parts = placed.filter("wanted"), {0: 1}
+    else:
+        boxes = placed.groupBy("leaf").agg(
+            *[F.min(f"`{c}`").alias(f"a{i}") for i, c in enumerate(features)],
+            *[F.max(f"`{c}`").alias(f"b{i}") for i, c in enumerate(features)],
+        ).toPandas()
+        visits = cut_lineage(_visits(_local_reach(placed, features, k), features, boxes))
+        loads = {r["leaf"]: r["count"] for r in visits.groupBy("leaf").count().collect()}
+        parts = {leaf: max(1, -(-load // visitors_per_task)) for leaf, load in loads.items()}
     candidates = _compare(visits, placed, features, k, parts)
     best = F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, k)
     return candidates.groupBy("key").agg(best.alias("found")).select(
@@ -96,9 +102,9 @@ def _with_leaf(points: DataFrame, features: list[str], tree) -> DataFrame:
             descend(x, np.arange(len(pdf)), tree, leaf)
             yield pdf.assign(leaf=leaf)
 
-    schema = ", ".join(["key long", "copies long", *[f"`{c}` double" for c in features], "leaf long"])
+    schema = ", ".join(["key long", "copies long", "wanted boolean", *[f"`{c}` double" for c in features], "leaf long"])
     return points.select(
-        F.col("key").cast("long").alias("key"), F.col("copies").cast("long").alias("copies"),
+        F.col("key").cast("long").alias("key"), F.col("copies").cast("long").alias("copies"), F.col("wanted"),
         *[F.col(f"`{c}`").cast("double").alias(c) for c in features],
     ).mapInPandas(place, schema)
 
@@ -108,13 +114,15 @@ def _local_reach(placed: DataFrame, features: list[str], k: int) -> DataFrame:
 
     def reach(pdf: pd.DataFrame) -> pd.DataFrame:
         x, copies = pdf[features].to_numpy(float), pdf["copies"].to_numpy()
-        bound = np.full(len(pdf), np.inf)
+        wanted = np.flatnonzero(pdf["wanted"].to_numpy())
+        bound = np.full(len(wanted), np.inf)
         size = max(1, 4_000_000 // max(1, len(pdf)))
-        for start in range(0, len(pdf), size):
+        for start in range(0, len(wanted), size):
             block = slice(start, start + size)
-            d = np.maximum(0, (x[block] ** 2).sum(1)[:, None] + (x**2).sum(1)[None, :] - 2 * x[block] @ x.T)
+            own = wanted[block]
+            asked = x[own]
+            d = np.maximum(0, (asked**2).sum(1)[:, None] + (x**2).sum(1)[None, :] - 2 * asked @ x.T)
             weight = np.broadcast_to(copies, d.shape).copy()
-            own = np.arange(start, start + len(d))
             weight[np.arange(len(d)), own] -= 1
             d[np.arange(len(d)), own] = 0.0
             nearest = np.argpartition(d, min(k, d.shape[1] - 1), axis=1)[:, : k + 1]
@@ -125,9 +133,9 @@ def _local_reach(placed: DataFrame, features: list[str], k: int) -> DataFrame:
             at = np.argmax(enough, axis=1)
             kth = np.take_along_axis(np.take_along_axis(near, order, 1), at[:, None], 1)[:, 0]
             bound[block] = np.where(enough.any(1), kth, np.inf)
-        return pdf.assign(reach=bound * (1 + 1e-9) + 1e-9)
+        return pdf.iloc[wanted][["key", *features]].assign(reach=bound * (1 + 1e-9) + 1e-9)
 
-    schema = ", ".join(["key long", "copies long", *[f"`{c}` double" for c in features], "leaf long", "reach double"])
+    schema = ", ".join(["key long", *[f"`{c}` double" for c in features], "reach double"])
     return placed.groupBy("leaf").applyInPandas(reach, schema)
 
 
@@ -147,9 +155,9 @@ def _visits(reach: DataFrame, features: list[str], boxes: pd.DataFrame) -> DataF
                     out = np.maximum(0, np.maximum(low[None, :, j] - x[:, j, None], x[:, j, None] - high[None, :, j]))
                     gap += out**2
                 row, leaf = np.nonzero(gap <= part["reach"].to_numpy()[:, None])
-                yield part.iloc[row][["key", "copies", *features]].assign(leaf=numbers[leaf])
+                yield part.iloc[row][["key", *features]].assign(leaf=numbers[leaf])
 
-    schema = ", ".join(["key long", "copies long", *[f"`{c}` double" for c in features], "leaf long"])
+    schema = ", ".join(["key long", *[f"`{c}` double" for c in features], "leaf long"])
     return reach.mapInPandas(visit, schema)
 
 
@@ -157,8 +165,13 @@ def _compare(visits: DataFrame, placed: DataFrame, features: list[str], k: int,
     """Nearest rows of each visitor among the members of the visited leaf."""
     counts = F.create_map(*[F.lit(x) for item in parts.items() for x in item])
     many = F.coalesce(F.try_element_at(counts, F.col("leaf")), F.lit(1))
-    visitors = visits.withColumn("part", F.pmod(F.xxhash64("key"), many).cast("long"))
-    members = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (many - 1).cast("long"))))
+    # Aliased, so that both sides of the cogroup have columns of their own.
+    columns = [F.col(f"`{c}`").alias(c) for c in ("leaf", "part", "key", *features)]
+    visitors = visits.withColumn("part", F.pmod(F.xxhash64("key"), many).cast("long")).select(*columns)
+    spread = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (many - 1).cast("long"))))
+    tasks = sum(parts.values())
+    visitors = visitors.repartition(tasks, "leaf", "part")
+    members = spread.select(*columns, F.col("copies").alias("copies")).repartition(tasks, "leaf", "part")
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         keys, found = [], []

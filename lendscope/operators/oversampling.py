@@ -54,9 +54,9 @@ def synthetic_minority(
     distinct = rows.select(_c(id_column).alias("key"), chosen.alias("_more"), *vectors).groupBy(*[_c(c) for c in features]).agg(
         F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"), F.sum("_more").alias("_more")
     )
-    found = nearest_neighbours(distinct, features, k, leaf_rows)
-    wanted = distinct.withColumn("_n", F.col("copies") * base + F.col("_more")).filter("_n > 0").join(found, "key")
-    blocks = wanted.withColumn("_block", F.explode(F.expr(f"sequence(0L, (_n - 1) div {BLOCK}L)")))
+    counted = distinct.withColumn("_n", F.col("copies") * base + F.col("_more"))
+    found = nearest_neighbours(counted.withColumn("wanted", F.col("_n") > 0), features, k, leaf_rows)
+    blocks = counted.filter("_n > 0").join(found, "key").withColumn("_block", F.explode(F.expr(f"sequence(0L, (_n - 1) div {BLOCK}L)")))
     spread = blocks.repartition(F.col("key"), F.col("_block"))
     numbered = spread.withColumn(
         "_copy", F.explode(F.expr(f"sequence(_block * {BLOCK}L, least(_n, (_block + 1) * {BLOCK}L) - 1)"))

@@ -133,24 +133,26 @@ def _narrow(data: DataFrame, ranks: list[_Rank], slack: float, accuracy: int) ->
 def _order_statistics(data: DataFrame, ranks: list[_Rank]) -> dict[str, tuple[float, float]]:
     if not ranks:
         return {}
-    clamped = [
-        F.struct(
-            F.lit(r.name).alias("name"),
-            F.when(r.value < r.start, F.lit(r.start)).when(r.value > r.stop, F.lit(r.stop)).otherwise(r.value).alias("value"),
-        )
-        for r in ranks
-    ]
+    entries = [F.struct(F.lit(r.name).alias("name"), r.value.alias("value")) for r in ranks]
+    start, stop = (_by_name({r.name: end(r) for r in ranks}) for end in (lambda r: r.start, lambda r: r.stop))
+    clamped = F.when(F.col("value") < start, start).when(F.col("value") > stop, stop).otherwise(F.col("value"))
     counts = (
-        data.select(F.inline(F.array(*clamped)))
+        data.select(F.inline(F.array(*entries)))
         .filter(F.col("value").isNotNull())
+        .select("name", clamped.alias("value"))
         .groupBy("name", "value").count()
     )
     upto = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("last", F.sum("count").over(upto) - 1)
-    picks = [
-        F.min(F.when((F.col("name") == r.name) & (F.col("last") >= position), F.col("value"))).alias(f"r{i}_{end}")
-        for i, r in enumerate(ranks)
-        for end, position in (("low", r.low), ("high", r.high))
-    ]
-    row = ranked.agg(*picks).first()
-    return {r.name: (row[f"r{i}_low"], row[f"r{i}_high"]) for i, r in enumerate(ranks)}
+    placed = counts.withColumn("last", F.sum("count").over(upto) - 1)
+    low, high = _by_name({r.name: r.low for r in ranks}), _by_name({r.name: r.high for r in ranks})
+    first = F.col("last") - F.col("count") + 1
+    hits = placed.filter(low.between(first, F.col("last")) | high.between(first, F.col("last")))
+    by_name: dict[str, list[float]] = {}
+    for row in hits.select("name", "value").collect():
+        by_name.setdefault(row["name"], []).append(row["value"])
+    return {name: (min(values), max(values)) for name, values in by_name.items()}
+
+
+def _by_name(table: dict) -> Column:
+    """Constant of the row's ``name``."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for item in table.items() for x in item]), F.col("name"))

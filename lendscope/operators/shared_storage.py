@@ -28,11 +28,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The same rows read back from a reliable checkpoint, safe against executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """The same rows read back from a Parquet table in the shared folder.
+
+    Later steps start from that table: executor loss costs no earlier work, and its columns can
+    still be pruned, which a row checkpoint does not allow.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for work that is heavy per row, such as training."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lendscope import fixed_values as fx
 from lendscope.operators import cleaning, features, macro
+from lendscope.operators.shared_storage import cut_lineage
 from lendscope.sources import readers, schemas, sinks
 
 
+def _clean(df: DataFrame, target: str, id_column: str | None, method: str) -> DataFrame:
+    """C1 and C2 / C3 run once into the shared folder; the medians and features read that table."""
+    distinct = cleaning.drop_duplicate_rows(cleaning.drop_null_target(df, target), id_column)
+    return cleaning.impute_medians(cut_lineage(distinct), target, method)
+
+
 def clean_snapshot(raw: DataFrame, method: str = "approx") -> DataFrame:
-    return cleaning.clean(cleaning.rename_id(raw), fx.SNAPSHOT_TARGET, "loan_id", method)
+    return _clean(cleaning.rename_id(raw), fx.SNAPSHOT_TARGET, "loan_id", method)
 
 
 def snapshot_table(raw: DataFrame, macro_table: DataFrame, method: str = "approx",
@@ -28,7 +35,7 @@ def clean_loan_book(raw: DataFrame, method: str = "approx", keep_id: str | None
     kept, _ = readers.column_contract(raw, [keep_id, *expected] if has_id else expected, fx.LOAN_STATUS)
     labelled = cleaning.encode_target(cleaning.keep_labelled(kept))
     numeric = features.coerce_numbers(cleaning.percent_columns(labelled))
-    return cleaning.clean(numeric, fx.LOAN_TARGET, keep_id if has_id else None, method)
+    return _clean(numeric, fx.LOAN_TARGET, keep_id if has_id else None, method)
 
 
 def loan_book_table(raw: DataFrame, macro_table: DataFrame, method: str = "approx") -> DataFrame:

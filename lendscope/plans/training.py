@@ -15,7 +15,7 @@ from pyspark.storagelevel import StorageLevel
 
 from lendscope import fixed_values as fx
 from lendscope.operators import attribution, cleaning, evaluation, loss, oversampling, sampling
-from lendscope.operators.shared_storage import cut_lineage, ensure_checkpoint_dir
+from lendscope.operators.shared_storage import cut_lineage, ensure_checkpoint_dir, spread
 from lendscope.operators.tree_attribution import tree_attributions, tree_explainer
 from lendscope.sources import sinks
 
@@ -24,7 +24,7 @@ WEIGHT = "class_weight"
 VECTOR = "features"
 BOOSTING_ROUNDS = 500
 PATIENCE = 30
-FIRST_ROUNDS = 64
+FIRST_ROUNDS = 40
 MODELS = ("Logistic Regression", "Random Forest", "Gradient Boosting", "Balanced Gradient Boosting")
 
 
@@ -78,7 +78,7 @@ def prepare(table: DataFrame, target: str, id_column: str = "loan_id", balance:
         train = oversampling.balance_classes(train, features, LABEL, id_column)
     train = cut_lineage(sampling.add_class_weight(train, LABEL, WEIGHT))
     held = {s: scaled.filter(F.col("split") == s).drop("split") for s in ("validation", "test")}
-    return TrainingData(train, held["validation"], held["test"], features, scaler, train.count())
+    return TrainingData(spread(train), held["validation"], held["test"], features, scaler, train.count())
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -128,7 +128,8 @@ def fit_boosted(data: TrainingData, weighted: bool, rounds: int = BOOSTING_ROUND
     ensure_checkpoint_dir(data.train.sparkSession)
     assembler = _assembler(data.features)
     train = assembler.transform(data.train).select(VECTOR, LABEL, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
-    validation = assembler.transform(data.validation).select(VECTOR, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    held_out = assembler.transform(data.validation).select(VECTOR, LABEL, F.lit(1.0).alias(WEIGHT))
+    validation = held_out.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         length = min(first_rounds, rounds)
         while True:
@@ -191,7 +192,7 @@ def compare_models(trained: Mapping[str, Trained], df: DataFrame, id_column: str
 
 def explain(trained: Trained, data: TrainingData, rows: int = fx.EXPLAIN_SAMPLE, id_column: str = "loan_id") -> DataFrame:
     """Long attributions of a sample of the test rows: closed form for linear models, else trees."""
-    sample = cut_lineage(sampling.hash_sample(data.test, rows, id_column).repartition(8))
+    sample = spread(cut_lineage(sampling.hash_sample(data.test, rows, id_column)))
     if trained.name == "Logistic Regression":
         weights = dict(zip(data.features, map(float, trained.classifier.coefficients), strict=True))
         return attribution.linear_attributions(sample, weights, id_column)

@@ -25,16 +25,16 @@ def segments(spark, sf_dir):
     return loss.segment_summary(loans(spark, sf_dir))
 
 
-@query("l01_expected_loss", f"WITH {LOANS} SELECT loan_id, pd_predicted, lgd, ead, round(expected_loss, 8) AS expected_loss FROM el")
+@query("l01_expected_loss", f"WITH {LOANS} SELECT loan_id, pd_predicted, lgd, ead, expected_loss FROM el")
 def l01(spark, sf_dir):
-    return rounded(loans(spark, sf_dir), 8, "expected_loss").drop("risk_grade")
+    return loans(spark, sf_dir).drop("risk_grade")
 
 
 @query("l01_fixed_exposure", """
-SELECT loan_id, round(score * 0.45::DOUBLE * 15000, 8) AS expected_loss FROM scored WHERE model = 'm1'""")
+SELECT loan_id, score * 0.45::DOUBLE * 15000 AS expected_loss FROM scored WHERE model = 'm1'""")
 def l01_fixed(spark, sf_dir):
     scores = view(spark, sf_dir, "scored").filter("model = 'm1'").withColumnRenamed("score", "pd_predicted")
-    return rounded(loss.expected_loss(scores).select("loan_id", "expected_loss"), 8, "expected_loss")
+    return loss.expected_loss(scores).select("loan_id", "expected_loss")
 
 
 @query("l02_risk_grade", f"WITH {LOANS} SELECT loan_id, pd_predicted, risk_grade FROM el")
