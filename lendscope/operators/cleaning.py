@@ -10,6 +10,7 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, Nume
 from lendscope import fixed_values as fx
 from lendscope.functions import finite, percent_to_number
 from lendscope.operators.quantiles import exact_quantiles
+from lendscope.operators.shared_storage import cut_lineage
 
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
 
@@ -46,6 +47,14 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return counted.unpivot([], [_c(c) for c in columns], "column", "null_count")
 
 
+def gap_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns with at least one null, found in one pass."""
+    if not columns:
+        return []
+    gaps = df.agg(*[F.count_if(_c(c).isNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if gaps[c]]
+
+
 def median_values(df: DataFrame, columns: Sequence[str], method: str = "exact", relative_error: float = 0.01) -> dict[str, float]:
     """Median per column, all columns in the same pass; all-null columns are left out."""
     if not columns:
@@ -73,15 +82,19 @@ def fill_values(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
 
 
 def impute_medians(df: DataFrame, target: str, method: str = "approx", relative_error: float = 0.01) -> DataFrame:
-    """Median imputation of the numeric non-target columns, the id column included."""
+    """Median imputation of the numeric non-target columns with nulls, the id column included."""
     columns = [c for c in numeric_columns(df, [target]) if not isinstance(df.schema[c].dataType, DecimalType)]
-    return fill_values(df, median_values(df, columns, method, relative_error))
+    return fill_values(df, median_values(df, gap_columns(df, columns), method, relative_error))
 
 
 def clean(df: DataFrame, target: str, id_column: str | None = None, method: str = "approx") -> DataFrame:
-    """C1, then C2 or C3, then C5."""
+    """C1, then C2 or C3, then C5.
+
+    The distinct rows are written once to the shared folder: the medians and whatever comes
+    next read that table instead of shuffling for the duplicates again.
+    """
     kept = drop_duplicate_rows(drop_null_target(df, target), id_column)
-    return impute_medians(kept, target, method)
+    return impute_medians(cut_lineage(kept), target, method)
 
 
 def row_flow(df: DataFrame, target: str, id_column: str | None = None) -> DataFrame:
@@ -134,8 +147,7 @@ def feature_matrix(df: DataFrame, target: str, id_column: str | None = None, fil
     names = feature_columns(df, target)
     if fill is None:
         usable = df.select(*[finite(_c(c).cast("double")).alias(c) for c in names])
-        gaps = usable.agg(*[F.count_if(_c(c).isNull()).alias(c) for c in names]).first()
-        fill = median_values(usable, [c for c in names if gaps[c]])
+        fill = median_values(usable, gap_columns(usable, names))
     kept = [_c(id_column)] if id_column else []
     filled = [
         F.coalesce(finite(_c(c).cast("double")), F.lit(fill.get(c)).cast("double")).alias(c) for c in names

@@ -16,6 +16,7 @@ from lendscope import fixed_values as fx
 from lendscope import functions as fn
 from lendscope.operators.cleaning import _c
 from lendscope.operators.quantiles import exact_quantiles
+from lendscope.sources.readers import string_columns
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,12 @@ def _present(df: DataFrame, columns) -> list[str]:
 
 
 def coerce_numbers(df: DataFrame, columns: Sequence[str] = fx.LOAN_NUMERIC_COLUMNS) -> DataFrame:
-    return df.withColumns({c: fn.to_number(_c(c)) for c in _present(df, columns)})
+    """Text columns are parsed; numeric ones are only widened to double."""
+    text = set(string_columns(df))
+    changed = {
+        c: fn.to_number(_c(c)) if c in text else fn.clean_number(_c(c).cast("double")) for c in _present(df, columns)
+    }
+    return df.withColumns(changed) if changed else df
 
 
 def _is_code(name: str):

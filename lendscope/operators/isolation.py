@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lendscope import fixed_values as fx
 from lendscope.operators.cleaning import _c
 from lendscope.operators.sampling import hash_sample
+from lendscope.operators.shared_storage import cut_lineage
 
 EULER = 0.5772156649015329
 NODE_SCHEMA = "tree int, node int, feature int, cut double, lower int, upper int, path double"
@@ -44,14 +45,24 @@ def fit_isolation_forest(
 ) -> IsolationForest:
     """Grow each tree on its own random rows.
 
-    The rows come from one hash sample of at most trees x rows_per_tree rows, so the input is
-    read once and every group below has a bounded size.
+    The rows come from one hash sample of at most trees x rows_per_tree rows, so every group
+    below has a bounded size. A sample that fills up is dealt out; a smaller one is shared.
     """
     features = list(features)
-    pool = hash_sample(df.select(_c(id_column).alias("_id"), *[_c(c) for c in features]), trees * rows_per_tree, "_id")
-    drawn = pool.withColumn("tree", F.explode(F.expr(f"sequence(0, {trees - 1})")))
-    draw = Window.partitionBy("tree").orderBy(F.xxhash64("_id", "tree", F.lit(seed)), "_id")
-    drawn = drawn.withColumn("_draw", F.row_number().over(draw)).filter(F.col("_draw") <= rows_per_tree)
+    wanted = trees * rows_per_tree
+    pool = cut_lineage(hash_sample(df.select(_c(id_column).alias("_id"), *[_c(c) for c in features]), wanted, "_id"))
+    held = pool.count()
+    if held == wanted:
+        # Enough rows to give each tree its own: deal them out.
+        dealt = Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("_id", F.lit(seed)), "_id")
+        place = F.row_number().over(dealt) - 1
+        drawn = pool.withColumn("_place", place).withColumns(
+            {"tree": (F.col("_place") % trees).cast("int"), "_draw": F.floor(F.col("_place") / trees)}
+        ).drop("_place")
+    else:
+        draw = Window.partitionBy("tree").orderBy(F.xxhash64("_id", "tree", F.lit(seed)), "_id")
+        shared = pool.withColumn("tree", F.explode(F.expr(f"sequence(0, {trees - 1})")))
+        drawn = shared.withColumn("_draw", F.row_number().over(draw)).filter(F.col("_draw") <= rows_per_tree)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         def leaf_path(n):
@@ -82,7 +93,7 @@ def fit_isolation_forest(
         return pd.DataFrame(nodes, columns=["tree", "node", "feature", "cut", "lower", "upper", "path"])
 
     nodes = drawn.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
-    size = min(rows_per_tree, pool.count())
+    size = min(rows_per_tree, held)
     grown = []
     for _, t in nodes.sort_values(["tree", "node"]).groupby("tree"):
         grown.append({c: t[c].to_numpy() for c in ("feature", "cut", "lower", "upper", "path")})

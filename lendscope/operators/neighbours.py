@@ -21,6 +21,7 @@ LEAF_ROWS = 2_000
 MOST_LEAVES = 4_096
 SAMPLE_PER_LEAF = 40
 VISITORS_PER_TASK = 20_000
+MOST_TASKS = 10_000
 
 
 def nearest_neighbours(
@@ -169,7 +170,7 @@ def _compare(visits: DataFrame, placed: DataFrame, features: list[str], k: int,
     columns = [F.col(f"`{c}`").alias(c) for c in ("leaf", "part", "key", *features)]
     visitors = visits.withColumn("part", F.pmod(F.xxhash64("key"), many).cast("long")).select(*columns)
     spread = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (many - 1).cast("long"))))
-    tasks = sum(parts.values())
+    tasks = min(MOST_TASKS, sum(parts.values()))
     visitors = visitors.repartition(tasks, "leaf", "part")
     members = spread.select(*columns, F.col("copies").alias("copies")).repartition(tasks, "leaf", "part")
 

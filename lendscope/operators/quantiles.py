@@ -45,12 +45,14 @@ def exact_quantiles(
     wanted: Mapping[str, tuple],
     accuracy: int = SKETCH_ACCURACY,
     bracket_values: int = BRACKET_VALUES,
+    counts: dict[str, int] | None = None,
 ) -> dict[str, float | None]:
     """Linear-interpolated quantiles, ``{name: (column, q)}`` to ``{name: value}``.
 
     ``(column, q, position)`` asks for the 0-based order statistic ``position(n)`` instead,
     which has to lie within a few ranks of ``q * n``. Nulls and NaN are skipped; the value is
-    None where no row is left. Runs two jobs, plus two for each narrowing step.
+    None where no row is left. ``counts``, if given, receives the number of values of each name.
+    Runs two jobs, plus two for each narrowing step.
     """
     if not wanted:
         return {}
@@ -67,6 +69,8 @@ def exact_quantiles(
     ranks = []
     for name, slot in slots.items():
         count = sketch[f"n_{slot}"]
+        if counts is not None:
+            counts[name] = count
         if count:
             bracket = sketch[f"b_{slot}"] if count > accuracy else (-math.inf, math.inf)
             ranks.append(_rank(name, slot, wanted[name], count, bracket, 3 * slack * count if count > accuracy else count))

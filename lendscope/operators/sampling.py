@@ -46,11 +46,11 @@ def stratified_split(
         own = F.when(_c(target) == label, key)
         wanted[f"test{label}"] = (own, test_share, lambda n: tested(n) - 1)
         wanted[f"held{label}"] = (own, both, lambda n: held_out(n) - 1)
-    cuts = exact_quantiles(df, wanted)
-    sizes = {r[0]: r[1] for r in df.filter(_c(target).isin(0, 1)).groupBy(_c(target)).count().collect()}
+    sizes: dict[str, int] = {}
+    cuts = exact_quantiles(df, wanted, counts=sizes)
     part = F.lit("train")
-    for label, n in sizes.items():
-        own = _c(target) == label
+    for label in (0, 1):
+        n, own = sizes[f"test{label}"], _c(target) == label
         if held_out(n) > 0:
             part = F.when(own & (key <= cuts[f"held{label}"]), "validation").otherwise(part)
         if tested(n) > 0:

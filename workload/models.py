@@ -46,6 +46,10 @@ def matrix(spark, sf_dir):
     return cut_lineage(cleaning.feature_matrix(feature_table(spark, sf_dir), TARGET, "loan_id"))
 
 
+def _features(rows):
+    return cleaning.feature_columns(rows, TARGET)
+
+
 def _scores(name):
     def build(spark, sf_dir):
         scored = training.score(trained(spark, sf_dir, name).model, prepared(spark, sf_dir).test)
@@ -120,15 +124,14 @@ def x07(spark, sf_dir):
 @query("a01_isolation_score")
 def a01(spark, sf_dir):
     rows = matrix(spark, sf_dir)
-    features = prepared(spark, sf_dir).features
-    forest = isolation.fit_isolation_forest(cleaning.healthy_only(rows, TARGET), features)
+    forest = isolation.fit_isolation_forest(cleaning.healthy_only(rows, TARGET), _features(rows))
     return isolation.score_isolation(rows, forest).select("loan_id", "iso_forest_score")
 
 
 @query("a03_reconstruction_error")
 def a03(spark, sf_dir):
     rows = matrix(spark, sf_dir)
-    bottleneck = reconstruction.fit_bottleneck(cleaning.healthy_only(rows, TARGET), prepared(spark, sf_dir).features)
+    bottleneck = reconstruction.fit_bottleneck(cleaning.healthy_only(rows, TARGET), _features(rows))
     return reconstruction.score_reconstruction(rows, bottleneck).select("loan_id", "reconstruction_error")
 
 
