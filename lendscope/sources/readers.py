@@ -52,9 +52,15 @@ def column_contract(df: DataFrame, expected: Sequence[str], target: str) -> tupl
 
 
 def contract_report(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """One row per expected column with its presence."""
-    rows = [(c, c in df.columns) for c in expected]
-    return df.sparkSession.createDataFrame(rows, "column string, present boolean")
+    """One row per expected column: its presence and how many of its values are filled."""
+    present = [c for c in expected if c in df.columns]
+    counted = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in present], F.lit(1).alias("_one"))
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.lit(c in present).alias("present"),
+                 (F.col(f"`{c}`") if c in present else F.lit(0).cast("long")).alias("filled"))
+        for c in expected
+    ]
+    return counted.select(F.inline(F.array(*entries)))
 
 
 def read_features(spark: SparkSession, path: str, dataset: str) -> tuple[DataFrame, str]:

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from lendscope.operators import loss
+from lendscope.operators.shared_storage import scratch_path
+from lendscope.sources import readers, sinks
 from workload.evaluation import rounded
 from workload.registry import query
 from workload.views import view
@@ -74,3 +76,26 @@ WITH {SEGMENTS} SELECT risk_grade, round(total_el, 2) AS total_el,
   round(sum(total_el) OVER (ORDER BY risk_grade ROWS UNBOUNDED PRECEDING), 2) AS cumulative_el FROM segments""")
 def l06(spark, sf_dir):
     return rounded(loss.cumulative_loss(segments(spark, sf_dir)), 2, "total_el", "cumulative_el")
+
+
+ROUNDED_SEGMENTS = f"""WITH {SEGMENTS} SELECT risk_grade, loan_count, round(avg_pd, 6) AS avg_pd, round(total_ead, 2) AS total_ead,
+  round(total_el, 2) AS total_el, round(pct_of_portfolio, 6) AS pct_of_portfolio, round(el_pct_of_ead, 6) AS el_pct_of_ead FROM segments"""
+
+
+def _stored(spark, sf_dir, fmt):
+    """Segments written as a result file and read back, with an artifact that was never written."""
+    path, result = scratch_path(spark, "segments"), segments(spark, sf_dir)
+    sinks.write_result(result, path, fmt)
+    absent = readers.read_artifact(spark, path + "-absent", result.schema, fmt)
+    stored = readers.read_artifact(spark, path, result.schema, fmt).unionByName(absent)
+    return rounded(rounded(stored, 2, "total_ead", "total_el"), 6, "avg_pd", "pct_of_portfolio", "el_pct_of_ead")
+
+
+@query("s13_result_sinks", ROUNDED_SEGMENTS)
+def s13(spark, sf_dir):
+    return _stored(spark, sf_dir, "csv")
+
+
+@query("s15_artifact_readers", ROUNDED_SEGMENTS)
+def s15(spark, sf_dir):
+    return _stored(spark, sf_dir, "json")

@@ -1,7 +1,7 @@
 """S1-S15."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from lendscope import fixed_values as fx
 from lendscope.operators.features import loan_book_features
@@ -68,22 +68,26 @@ def s02_inferred(spark, sf_dir):
     return readers.read_csv(spark, _csv_copy(spark, loans, "loans-csv"), infer_schema=True)
 
 
-@query("s03_declared_schemas")
+_LOAN_VIEW = ("loan_amnt", "funded_amnt", "term", "int_rate", "installment", "grade", "sub_grade", "emp_length", "home_ownership",
+              "annual_inc", "verification_status", "issue_d", "loan_status", "purpose", "addr_state", "dti", "delinq_2yrs",
+              "open_acc", "pub_rec", "revol_bal", "revol_util", "total_acc")
+
+
+@query("s03_declared_schemas", " UNION ALL ".join(
+    f"""SELECT '{n}' AS "column", CAST({i} AS INT) AS position, '{t}' AS type, {f'count({n})' if n in _LOAN_VIEW else 'count(*) * 0'} AS fitting FROM loans"""
+    for i, (n, t) in enumerate(fx.LOAN_BOOK_FIELDS)))
 def s03(spark, sf_dir):
-    """The declared loan-book schema against the columns of the loan view."""
-    found = spark.createDataFrame(view(spark, sf_dir, "loans").dtypes, "column string, found_type string")
-    declared = schemas.describe_schema(spark, "loan_book", schemas.loan_book_schema())
-    return declared.join(found, "column", "left")
+    return schemas.conformity(view(spark, sf_dir, "loans"), schemas.loan_book_schema())
 
 
-@query("s04_missing_path")
+@query("s04_missing_path", "SELECT count(*) AS rows, 'PATH_NOT_FOUND' AS condition FROM loans")
 def s04(spark, sf_dir):
     """The condition Spark reports for a file that is not there, beside the rows of one that is."""
     present = view(spark, sf_dir, "loans").agg(F.count(F.lit(1)).alias("rows"))
     try:
         spark.read.parquet(f"{sf_dir}/no_such_table.parquet")
         condition = "none"
-    except Exception as e:
+    except AnalysisException as e:
         condition = e.getCondition()
     return present.withColumn("condition", F.lit(condition))
 
@@ -99,10 +103,10 @@ def s05(spark, sf_dir):
 
 
 @query("s05_missing_columns", """
-SELECT * FROM (VALUES ('loan_amnt', true), ('funded_amnt', true), ('fico_range', false)) t("column", present)
-WHERE (SELECT count(*) FROM loans) > 0""")
+SELECT 'loan_amnt' AS "column", true AS present, count(loan_amnt) AS filled FROM loans
+UNION ALL SELECT 'dti', true, count(dti) FROM loans UNION ALL SELECT 'fico_range', false, count(*) * 0 FROM loans""")
 def s05_missing(spark, sf_dir):
-    return readers.contract_report(view(spark, sf_dir, "loans"), ["loan_amnt", "funded_amnt", "fico_range"])
+    return readers.contract_report(view(spark, sf_dir, "loans"), ["loan_amnt", "dti", "fico_range"])
 
 
 @query("s06_read_features", "SELECT loan_id, SeriousDlqin2yrs, age, DebtRatio FROM borrowers")
@@ -121,13 +125,6 @@ def s07(spark, sf_dir):
     return readers.read_macro(spark, _csv_copy(spark, view(spark, sf_dir, "macro_q"), "macro-csv"))
 
 
-@query("s08_write_features")
-def s08(spark, sf_dir):
-    path = scratch_path(spark, "features")
-    sinks.write_parquet(star_source(spark, sf_dir), path, partition_by="issue_year")
-    return spark.read.parquet(path)
-
-
 LOAN_FEATURES = """
 WITH base AS (
   SELECT *, TRY_CAST(replace(int_rate, 'zz', '') AS DOUBLE) AS rate, TRY_CAST(revol_util AS DOUBLE) AS util,
@@ -147,6 +144,16 @@ star AS (
 """
 
 
+@query("s08_write_features", f"""{LOAN_FEATURES}
+SELECT loan_id, int_rate, issue_date, issue_year, issue_quarter, loan_vintage_months, emp_length_years, grade_numeric, unemployment_rate
+FROM star LEFT JOIN macro_q ON issue_year = year AND issue_quarter = quarter""")
+def s08(spark, sf_dir):
+    path = scratch_path(spark, "features")
+    sinks.write_parquet(star_source(spark, sf_dir), path, partition_by="issue_year")
+    return spark.read.parquet(path).select("loan_id", "int_rate", "issue_date", "issue_year", "issue_quarter", "loan_vintage_months",
+                                           "emp_length_years", "grade_numeric", "unemployment_rate")
+
+
 def _star(name, columns, macro=False):
     source = "star LEFT JOIN macro_q ON issue_year = year AND issue_quarter = quarter" if macro else "star"
 
@@ -163,7 +170,12 @@ _star("dim_time", "loan_id, issue_date, issue_year, issue_quarter, loan_vintage_
 _star("dim_macro", "loan_id, unemployment_rate, gdp, fed_funds_rate, credit_card_delinq_rate", macro=True)
 
 
-@query("s10_jdbc_tables")
+_JDBC = {"loans_features": 39, "loans_fact_loans": 4, "loans_dim_borrower": 7, "loans_dim_loan_terms": 5, "loans_dim_geography": 2,
+         "loans_dim_time": 4, "loans_dim_macro": 5}
+
+
+@query("s10_jdbc_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({n} AS INT) AS columns, count(*) AS rows FROM loans" for t, n in _JDBC.items()))
 def s10(spark, sf_dir):
     """Tables, widths and row counts a JDBC load would write (nothing is connected here)."""
     counted = None
@@ -173,14 +185,17 @@ def s10(spark, sf_dir):
     return counted
 
 
-@query("s11_sink_choice")
+@query("s11_sink_choice", " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS path, count(*) AS rows FROM loans" for t in _JDBC))
 def s11(spark, sf_dir):
     base = scratch_path(spark, "store")
     written = sinks.write_feature_store(star_source(spark, sf_dir), "loans", base, "parquet")
     return spark.createDataFrame([(p.removeprefix(base + "/"), spark.read.parquet(p).count()) for p in written], "path string, rows long")
 
 
-@query("s12_rebuild_policy")
+@query("s12_rebuild_policy", """
+SELECT 'first' AS step, count(*) AS rows FROM loans UNION ALL SELECT 'skipped', count(*) FROM loans
+UNION ALL SELECT 'forced', count(*) FROM loans WHERE loan_status = 'Fully Paid'""")
 def s12(spark, sf_dir):
     """Rows after a first write, a skipped rewrite and a forced one."""
     loans, path = view(spark, sf_dir, "loans"), scratch_path(spark, "store")
@@ -192,23 +207,3 @@ def s12(spark, sf_dir):
     return spark.createDataFrame(steps, "step string, rows long")
 
 
-@query("s13_result_sinks")
-def s13(spark, sf_dir):
-    from workload.loss import segments
-
-    path = scratch_path(spark, "segments")
-    result = segments(spark, sf_dir)
-    sinks.write_result(result, path, "csv")
-    return readers.read_artifact(spark, path, result.schema, "csv")
-
-
-@query("s15_artifact_readers")
-def s15(spark, sf_dir):
-    """A stored result read back, and none for one never written."""
-    from workload.loss import segments
-
-    path = scratch_path(spark, "segments")
-    result = segments(spark, sf_dir)
-    sinks.write_result(result, path, "json")
-    absent = readers.read_artifact(spark, path + "-absent", StructType(result.schema.fields), "json")
-    return readers.read_artifact(spark, path, result.schema, "json").unionByName(absent)
