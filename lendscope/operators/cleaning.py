@@ -144,7 +144,7 @@ def feature_matrix(df: DataFrame, target: str, id_column: str | None = None, fil
 
     ``fill`` takes medians fitted elsewhere, for example on a training split only.
     """
-    names = feature_columns(df, target)
+    names = [c for c in feature_columns(df, target) if c != id_column]
     if fill is None:
         usable = df.select(*[finite(_c(c).cast("double")).alias(c) for c in names])
         fill = median_values(usable, gap_columns(usable, names))

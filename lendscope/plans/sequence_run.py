@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from lendscope import fixed_values as fx
 from lendscope.operators import sequences
 from lendscope.operators.sampling import add_class_weight
+from lendscope.operators.shared_storage import cut_lineage
 
 
 def sequence_features(df: DataFrame, features: Sequence[str], length: int) -> tuple[DataFrame, list[str]]:
@@ -52,6 +53,7 @@ def score_sequences(model: PipelineModel, labelled: DataFrame, features: Sequenc
 def sequence_run(df: DataFrame, key: str, order: Sequence[str], features: Sequence[str],
                  length: int = fx.SEQUENCE_LENGTH) -> DataFrame:
     """Sequences per entity, labels, classifier, and a default probability per sequence."""
-    labelled = sequences.label_sequences(sequences.block_sequences(df, key, order, features, length))
+    built = cut_lineage(sequences.block_sequences(df, key, order, features, length))
+    labelled = sequences.label_sequences(built)
     model = fit_sequence_classifier(labelled, features, length)
     return score_sequences(model, labelled, features, length, key)

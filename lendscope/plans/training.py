@@ -63,7 +63,7 @@ def prepare(table: DataFrame, target: str, id_column: str = "loan_id", balance:
     fill = None
     if fill_from_train:
         split = sampling.stratified_split(labelled, target, id_column)
-        names = cleaning.feature_columns(labelled, target)
+        names = [c for c in cleaning.feature_columns(labelled, target) if c != id_column]
         train_only = split.filter(F.col("split") == "train").select(
             *[cleaning.finite(F.col(f"`{c}`").cast("double")).alias(c) for c in names])
         fill = cleaning.median_values(train_only, names)
@@ -76,9 +76,10 @@ def prepare(table: DataFrame, target: str, id_column: str = "loan_id", balance:
     train = scaled.filter(F.col("split") == "train")
     if balance:
         train = oversampling.balance_classes(train, features, LABEL, id_column)
-    train = cut_lineage(sampling.add_class_weight(train, LABEL, WEIGHT))
+    written = cut_lineage(train)
+    train = sampling.add_class_weight(written, LABEL, WEIGHT)
     held = {s: scaled.filter(F.col("split") == s).drop("split") for s in ("validation", "test")}
-    return TrainingData(spread(train), held["validation"], held["test"], features, scaler, train.count())
+    return TrainingData(spread(train), held["validation"], held["test"], features, scaler, written.count())
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -95,14 +96,14 @@ def logistic_regression(rows: int) -> LogisticRegression:
 def random_forest() -> RandomForestClassifier:
     return RandomForestClassifier(
         featuresCol=VECTOR, labelCol=LABEL, weightCol=WEIGHT, numTrees=200, maxDepth=10, minInstancesPerNode=50,
-        featureSubsetStrategy="sqrt", seed=fx.SEED, maxMemoryInMB=1024, cacheNodeIds=False,
+        featureSubsetStrategy="sqrt", seed=fx.SEED, maxMemoryInMB=512, cacheNodeIds=False,
     )
 
 
 def boosted_trees(rounds: int, weighted: bool) -> GBTClassifier:
     model = GBTClassifier(
         featuresCol=VECTOR, labelCol=LABEL, maxIter=rounds, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
-        featureSubsetStrategy="0.8", seed=fx.SEED, maxMemoryInMB=1024,
+        featureSubsetStrategy="0.8", seed=fx.SEED, maxMemoryInMB=512,
     )
     return model.setWeightCol(WEIGHT) if weighted else model
 
@@ -184,8 +185,8 @@ def score_all(trained: Mapping[str, Trained], df: DataFrame, id_column: str = "l
 
 
 def compare_models(trained: Mapping[str, Trained], df: DataFrame, id_column: str = "loan_id") -> DataFrame:
-    """One row per model with all metrics and the training time."""
-    metrics = evaluation.model_comparison(score_all(trained, df, id_column))
+    """One row per model with all metrics and the training time; every row is scored once."""
+    metrics = evaluation.model_comparison(cut_lineage(score_all(trained, df, id_column)))
     seconds = F.create_map(*[F.lit(x) for t in trained.values() for x in (t.name, t.seconds)])
     return metrics.withColumn("train_time_sec", F.round(seconds[F.col("model")], 2))
 
@@ -221,7 +222,8 @@ def training_run(table: DataFrame, target: str, id_column: str = "loan_id", mode
     return TrainingRun(data, trained, metrics, best, model_path)
 
 
-def portfolio_losses(run: TrainingRun, lgd: float = fx.LGD, ead: float | str = fx.FIXED_EAD) -> DataFrame:
-    """Loan-level expected losses of the test split under the best model."""
+def portfolio_losses(run: TrainingRun, lgd: float = fx.LGD, ead: float | str = fx.FIXED_EAD, id_column: str = "loan_id") -> DataFrame:
+    """Loan-level expected losses of the test split under the best model; every row is scored once."""
     scores = score(run.best.model, run.data.test).withColumnRenamed("score", "pd_predicted")
-    return loss.grade_loans(loss.expected_loss(scores, lgd=lgd, ead=ead))
+    kept = [id_column, LABEL, "pd_predicted", *([ead] if isinstance(ead, str) else [])]
+    return loss.grade_loans(loss.expected_loss(cut_lineage(scores.select(*kept)), lgd=lgd, ead=ead))

@@ -1,12 +1,12 @@
-"""P1-P7 and the id-matched lookups J7, J8."""
+"""P1-P7 and the id-matched lookups J7, J8; scaling and detectors on other tables."""
 
 from pyspark.sql import functions as F
 
 from lendscope import fixed_values as fx
-from lendscope.operators import cleaning, sampling
+from lendscope.operators import cleaning, isolation, oversampling, reconstruction, sampling
 from lendscope.operators.anomalies import attach_scores, labels_for
 from workload.registry import query
-from workload.views import view
+from workload.views import table, view
 
 TARGET = fx.SNAPSHOT_TARGET
 SCALED = ("age", "DebtRatio", "RevolvingUtilizationOfUnsecuredLines", "NumberRealEstateLoansOrLines")
@@ -94,3 +94,64 @@ SELECT loan_id, label FROM anom WHERE loan_id IN (
 def j08(spark, sf_dir):
     picked = sampling.hash_sample(view(spark, sf_dir, "borrowers").select("loan_id"), fx.EXPLAIN_SAMPLE)
     return labels_for(view(spark, sf_dir, "anom").select("loan_id", "label"), picked)
+
+
+QUALITY = """rated AS (SELECT doc_id, quality, toxic, n_chars, length(text) - length(replace(text, ' ', '')) AS n_spaces
+  FROM documents JOIN labels USING (doc_id))"""
+
+
+def rated_documents(spark, sf_dir):
+    """A real, skewed 0/1 label with three numeric features of whole texts."""
+    documents = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    return documents.select("doc_id", "quality", "toxic", "n_chars",
+                            (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).alias("n_spaces"))
+
+
+@query("p05_document_weights", f"""
+WITH {QUALITY}, w AS (SELECT quality AS label, count(*) AS n FROM rated WHERE quality IS NOT NULL GROUP BY 1)
+SELECT doc_id, n_chars, CAST(n_spaces AS INT) AS n_spaces, quality, round((SELECT sum(n) FROM w) / (2 * w.n)::DOUBLE, 8) AS class_weight
+FROM rated LEFT JOIN w ON quality = label""")
+def p05_documents(spark, sf_dir):
+    weighted = sampling.add_class_weight(rated_documents(spark, sf_dir), "quality")
+    return weighted.select("doc_id", "n_chars", "n_spaces", "quality", F.round("class_weight", 8).alias("class_weight"))
+
+
+@query("p04_document_balance")
+def p04_documents(spark, sf_dir):
+    """Given and synthetic rows of the skewed document label, both classes equally many."""
+    rows = cleaning.feature_matrix(cleaning.drop_null_target(rated_documents(spark, sf_dir), "quality"), "quality", "doc_id")
+    features = ["toxic", "n_chars", "n_spaces"]
+    scaled = sampling.scale(rows, sampling.fit_scaler(rows, features))
+    return oversampling.balance_classes(scaled, features, "quality", "doc_id")
+
+
+def _dimensions(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    width = rows.select(F.max(F.size("embedding"))).first()[0]
+    return rows.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(width)])
+
+
+@query("p03_standardize_embeddings", """
+WITH long AS (SELECT vec_id, unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+fit AS (SELECT i, avg(x) AS m, stddev_pop(x) AS s FROM long GROUP BY i)
+SELECT vec_id, concat('e', long.i) AS dimension, round((x - m) / s, 6) AS z FROM long JOIN fit USING (i)""")
+def p03_embeddings(spark, sf_dir):
+    rows = _dimensions(spark, sf_dir)
+    names = [c for c in rows.columns if c != "vec_id"]
+    scaled = sampling.scale(rows, sampling.fit_scaler(rows, names))
+    return scaled.unpivot(["vec_id"], names, "dimension", "z").withColumn("z", F.round("z", 6))
+
+
+@query("a03_embedding_error")
+def a03_embeddings(spark, sf_dir):
+    rows = _dimensions(spark, sf_dir)
+    bottleneck = reconstruction.fit_bottleneck(rows, [c for c in rows.columns if c != "vec_id"])
+    return reconstruction.score_reconstruction(rows, bottleneck).select("vec_id", "reconstruction_error")
+
+
+@query("a01_lineitem_isolation")
+def a01_lineitem(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"), "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    forest = isolation.fit_isolation_forest(rows, rows.columns[1:], "line_id")
+    return isolation.score_isolation(rows, forest).select("line_id", "iso_forest_score")
