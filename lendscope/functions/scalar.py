@@ -19,9 +19,8 @@ def as_column(c: Column | str) -> Column:
 
 
 def clean_number(c: Column | str) -> Column:
-    """NaN becomes null; infinities stay."""
-    c = as_column(c)
-    return F.when(~F.isnan(c), c)
+    """NaN becomes null; infinities stay. The (double) input is evaluated once."""
+    return F.nanvl(as_column(c), F.lit(None).cast("double"))
 
 
 def finite(c: Column | str) -> Column:

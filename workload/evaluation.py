@@ -83,18 +83,18 @@ def e06(spark, sf_dir):
 @query("e07_roc_points", f"""
 WITH {COUNTS}, bends AS (SELECT *, lag(pos) OVER w AS prev_pos, lag(neg) OVER w AS prev_neg FROM above
   WINDOW w AS (PARTITION BY model ORDER BY score))
-SELECT model, round(fp / n_neg, 8) AS fpr, round(tp / n_pos, 8) AS tpr, score AS threshold FROM bends
+SELECT model, fp / n_neg AS fpr, tp / n_pos AS tpr, score AS threshold FROM bends
 WHERE cum_pos + cum_neg = n_pos + n_neg OR prev_pos IS NULL OR prev_pos <> pos OR prev_neg <> neg
 UNION ALL SELECT DISTINCT model, 0.0::DOUBLE, 0.0::DOUBLE, 'Infinity'::DOUBLE FROM scored""")
 def e07(spark, sf_dir):
-    return rounded(evaluation.roc_points(view(spark, sf_dir, "scored")), 8, "fpr", "tpr")
+    return evaluation.roc_points(view(spark, sf_dir, "scored"))
 
 
 @query("e08_precision_recall_points", f"""
-WITH {COUNTS} SELECT model, round(tp / (tp + fp), 8) AS "precision", round(tp / n_pos, 8) AS recall, score AS threshold FROM above
+WITH {COUNTS} SELECT model, tp / (tp + fp) AS "precision", tp / n_pos AS recall, score AS threshold FROM above
 UNION ALL SELECT DISTINCT model, 1.0::DOUBLE, 0.0::DOUBLE, CAST(NULL AS DOUBLE) FROM scored""")
 def e08(spark, sf_dir):
-    return rounded(evaluation.precision_recall_points(view(spark, sf_dir, "scored")), 8, "precision", "recall")
+    return evaluation.precision_recall_points(view(spark, sf_dir, "scored"))
 
 
 GRID = f"""{COUNTS}, grid AS (SELECT CAST(range AS INT) AS point, CASE WHEN range = 499 THEN 1.0::DOUBLE ELSE range * (1.0::DOUBLE / 499.0::DOUBLE) END AS threshold
