@@ -1,7 +1,6 @@
 """Metric values on small cases with known answers."""
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 

@@ -1,7 +1,5 @@
 """A2, A4-A7 over given anomaly scores. (A1 and A3 are with the models.)"""
 
-from pyspark.sql import functions as F
-
 from lendscope.operators import anomalies
 from workload.evaluation import bins_sql, rounded
 from workload.registry import query
