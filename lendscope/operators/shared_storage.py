@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder in ``spark.checkpoint.dir``; where it is unset, one below the warehouse.
+
+    Both are shared by the driver and all executors. A machine-local folder is never used.
+    """
     configured = spark.conf.get(SETTING, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="lendscope-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
