@@ -11,7 +11,7 @@ from lendscope.llm.words import WORD_PATTERN
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 SEED = "mix"
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 KEY_DIGITS = 13  # hex digits of a random key: 52 bits
 
 
