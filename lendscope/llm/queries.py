@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.llm import line_dedup, mixing, near_dedup, substring_dedup
+from lendscope.llm import line_dedup, mixing, near_dedup, quality, substring_dedup
 from lendscope.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.quality_scores(documents, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
