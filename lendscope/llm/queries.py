@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.llm import line_dedup, mixing, near_dedup, quality, substring_dedup
+from lendscope.llm import line_dedup, mixing, near_dedup, packing, quality, substring_dedup
 from lendscope.llm.tables import table
 
+VOCABULARY = "byte_bpe_50k"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -88,3 +90,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.quality_scores(documents, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def vocabulary(kind: str = "tiktoken") -> str:
+    """Path of the byte-level vocabulary. The ranks give the same ids as the .json file, several times faster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(f"{VOCABULARY}.{kind}")
+
+
+@_query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary())
