@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.llm import line_dedup, mixing, near_dedup, packing, quality, substring_dedup
+from lendscope.llm import language_model, line_dedup, mixing, near_dedup, packing, quality, substring_dedup
 from lendscope.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k"
@@ -102,3 +102,8 @@ def vocabulary(kind: str = "tiktoken") -> str:
 @_query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@_query("op6_language_model")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))

@@ -29,11 +29,11 @@ def together(parts: list[Entries]) -> Entries:
     return Entries(*(np.concatenate(columns) for columns in zip(*parts, strict=True)))
 
 
-def _planes(values: np.ndarray) -> bytes:
+def planes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.view(np.uint16).reshape(len(values), -1).T).tobytes()
 
 
-def _joined(data: memoryview, at: int, n: int, kind) -> tuple[np.ndarray, int]:
+def joined(data: memoryview, at: int, n: int, kind) -> tuple[np.ndarray, int]:
     width = np.dtype(kind).itemsize // 2
     planes = np.frombuffer(data, np.uint16, n * width, at).reshape(width, n)
     return np.ascontiguousarray(planes.T).view(kind).reshape(n), at + 2 * n * width
@@ -46,18 +46,18 @@ def pack(entries: Entries, key_type) -> bytes:
     ids = entries.doc[new]
     steps = np.diff(entries.position.astype(np.uint32), prepend=np.uint32(0))
     return np.array([n, len(new), ids[0]], np.int64).tobytes() + b"".join((
-        _planes(np.diff(ids, prepend=ids[0])), _planes(entries.version[new].astype(np.uint32)),
-        _planes(np.diff(np.append(new, n)).astype(np.uint32)), _planes(steps), _planes(entries.key.astype(key_type))))
+        planes(np.diff(ids, prepend=ids[0])), planes(entries.version[new].astype(np.uint32)),
+        planes(np.diff(np.append(new, n)).astype(np.uint32)), planes(steps), planes(entries.key.astype(key_type))))
 
 
 def unpack(data: bytes, key_type) -> Entries:
     n, docs, base = np.frombuffer(data, np.int64, 3)
     at = 24
-    ids, at = _joined(data, at, docs, np.int64)
-    versions, at = _joined(data, at, docs, np.uint32)
-    counts, at = _joined(data, at, docs, np.uint32)
-    steps, at = _joined(data, at, n, np.uint32)
-    keys, _ = _joined(data, at, n, key_type)
+    ids, at = joined(data, at, docs, np.int64)
+    versions, at = joined(data, at, docs, np.uint32)
+    counts, at = joined(data, at, docs, np.uint32)
+    steps, at = joined(data, at, n, np.uint32)
+    keys, _ = joined(data, at, n, key_type)
     return Entries(keys, np.repeat(base + np.cumsum(ids), counts), np.repeat(versions, counts),
                    np.cumsum(steps, dtype=np.uint32).astype(np.int64))
 
