@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.llm import language_model, line_dedup, mixing, near_dedup, packing, quality, substring_dedup
+from lendscope.llm import fingerprints, html_text, language_model, line_dedup, mixing, near_dedup, packing, quality, substring_dedup
 from lendscope.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k"
@@ -107,3 +107,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_language_model")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@_query("op4_html_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@_query("op7_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
