@@ -239,3 +239,11 @@ def quality_scores(documents: DataFrame, labels: DataFrame, threshold: float = T
         schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
         scored = plain.mapInArrow(scores, schema).toDF(*carried, "score")
     return scored.withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= threshold).cast("int")})
+
+
+def good_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``documents`` whose score is ``threshold`` or more, with all their columns, whatever their names."""
+    names = documents.columns
+    plain = [F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"c{i}") for i, c in enumerate(names)]
+    scored = quality_scores(documents.select(*plain), labels, threshold).where("predicted = 1")
+    return scored.drop("held_out", "score", "predicted").toDF(*names)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.llm import fingerprints, html_text, language_model, line_dedup, mixing, near_dedup, packing, quality, substring_dedup
+from lendscope.llm import fingerprints, html_text, language_model, line_dedup, mixing, near_dedup, nearest, packing, quality, substring_dedup
 from lendscope.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k"
@@ -118,3 +118,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_fingerprints")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_query("op8_nearest")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0)

@@ -14,11 +14,13 @@ from lendscope.llm.window_blobs import Entries, dealt, together, unpack
 from lendscope.llm.words import chunks, inside_documents, rolling, split_words
 
 WINDOW = 20
-GATHERED = 2_000_000  # windows that a task compares among themselves before it sends any
+GATHERED = 1_000_000  # windows that a task compares among themselves before it sends any
 PART_BYTES = 16 << 20  # text behind one partition of window keys
-BUCKET_BYTES = 6 << 20  # text of one bucket of documents
+BUCKET_BYTES = 3 << 20  # text of one bucket of documents
 NULL_ID = -(1 << 63)
 
+SLICES = 4  # a partition's keys are compared in so many steps
+
 _ROUTED = "part long, bucket long, blob binary"
 
 
@@ -106,18 +108,30 @@ def _probe(block: int, parts: int, buckets: int):
     return probe
 
 
+def _passing(table: pa.Table) -> tuple[list[tuple[int, int, bytes]], list[bytes]]:
+    """Rows that only pass through to a bucket of documents, and the blobs of keys."""
+    routed = list(zip(table.column("bucket").to_pylist(), table.column("blob").to_pylist(), strict=True))
+    return [(0, bucket, blob) for bucket, blob in routed if bucket >= 0], [blob for bucket, blob in routed if bucket < 0]
+
+
+def _sliced(blobs: list[bytes], key_type) -> Iterator[Entries]:
+    """The entries of all blobs, some ranges of keys at a time."""
+    low = 8 * np.dtype(key_type).itemsize - SLICES.bit_length() + 1
+    for n in range(SLICES if blobs else 0):
+        parts = []
+        for blob in blobs:
+            entries = unpack(blob, key_type)
+            parts.append(entries.take(np.flatnonzero(entries.key >> key_type(low) == n)))
+        if sum(len(p.key) for p in parts):
+            yield together(parts)
+
+
 def _hits(block: int, buckets: int):
     """Windows equal to a reference block elsewhere, by bucket of documents."""
 
     def match(table: pa.Table) -> pa.Table:
-        rows, parts = [], []
-        for bucket, blob in zip(table.column("bucket").to_pylist(), table.column("blob").to_pylist(), strict=True):
-            if bucket >= 0:
-                rows.append((0, bucket, blob))
-            else:
-                parts.append(unpack(blob, np.uint32))
-        if parts:
-            entries = together(parts)
+        rows, blobs = _passing(table)
+        for entries in _sliced(blobs, np.uint32):
             order = np.argsort(entries.key, kind="stable")
             run, starts = _runs(entries.key[order])
             sizes = np.diff(np.append(starts, len(order)))
@@ -184,14 +198,8 @@ def _later(buckets: int):
     """Of equal windows, all but the one that starts first, by bucket of documents."""
 
     def later(table: pa.Table) -> pa.Table:
-        rows, parts = [], []
-        for bucket, blob in zip(table.column("bucket").to_pylist(), table.column("blob").to_pylist(), strict=True):
-            if bucket >= 0:
-                rows.append((0, bucket, blob))
-            else:
-                parts.append(unpack(blob, np.uint64))
-        if parts:
-            entries = together(parts)
+        rows, blobs = _passing(table)
+        for entries in _sliced(blobs, np.uint64):
             order = np.lexsort((entries.position, entries.doc, entries.key))
             run, starts = _runs(entries.key[order])
             least = order[starts][run]

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -96,14 +96,16 @@ def split_words(column: pa.Array, lower: bool = False) -> Words:
     if not len(starts):
         return Words(np.zeros(0, np.uint64), first, starts, ends, data)
     lengths = ends - starts
-    kept = np.flatnonzero(inside)
     packed_first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    place = np.arange(len(kept)) - np.repeat(packed_first, lengths)
+    place = np.arange(int(lengths.sum()), dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+    place -= np.repeat(packed_first.astype(place.dtype), lengths)
     powers = np.full(int(lengths.max()), 0x5851F42D4C957F2D, np.uint64)
     powers[0] = 1
     with np.errstate(over="ignore"):
         np.multiply.accumulate(powers, out=powers)
-        parts = _BYTE_CODES[data[kept]] * powers[place]
+        parts = powers[place]
+        del place
+        parts *= _BYTE_CODES[data[inside]]
         hashes = mix(np.add.reduceat(parts, packed_first) + lengths.astype(np.uint64) * _STEP)
     return Words(hashes, first, starts, ends, data)
 
