@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -82,11 +83,11 @@ class Page:
         return tag == "article" and bool({"comment", "comments", "reply"} & {w.lower() for w in _WORD.findall(rest)})
 
     def _read(self, source: str) -> None:
-        stack, at, articles = [0], 0, 0
+        stack, at = [0], 0
+        opened = Counter()  # open elements by name: a search of the stack for one that is not there is never begun
 
         def pop_through(depth: int) -> None:
-            nonlocal articles
-            articles -= sum(self.tag[i] == "article" for i in stack[depth:])
+            opened.subtract(self.tag[i] for i in stack[depth:])
             del stack[depth:]
 
         def text(value: str) -> None:
@@ -113,14 +114,14 @@ class Page:
             if found["end"]:
                 if tag == "br":
                     self.runs.append((stack[-1], " "))
-                for depth in range(len(stack) - 1, 0, -1):
+                for depth in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                     if self.tag[stack[depth]] == tag:
                         pop_through(depth)
                         break
                 continue
             if tag in ("html", "body"):
                 continue
-            if tag in ENDS_P:
+            if tag in ENDS_P and opened["p"]:
                 for depth in range(len(stack) - 1, 0, -1):
                     if self.tag[stack[depth]] == "p":
                         pop_through(depth)
@@ -129,7 +130,7 @@ class Page:
                         break
             if tag in CLOSES:
                 ends, within = CLOSES[tag]
-                for depth in range(len(stack) - 1, 0, -1):
+                for depth in range(len(stack) - 1, 0, -1) if any(opened[e] for e in ends) else ():
                     if self.tag[stack[depth]] in within:
                         break
                     if self.tag[stack[depth]] in ends:
@@ -145,9 +146,9 @@ class Page:
                 parent = stack[-1]
                 self.tag.append(tag)
                 self.parent.append(parent)
-                self.dropped.append(self.dropped[parent] or self._unwanted(tag, found["rest"] or "", articles > 0))
+                self.dropped.append(self.dropped[parent] or self._unwanted(tag, found["rest"] or "", opened["article"] > 0))
                 stack.append(len(self.tag) - 1)
-                articles += tag == "article"
+                opened[tag] += 1
 
 
 def main_text(source: str | None) -> str:
