@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lendscope.llm import line_dedup, mixing, near_dedup, packing, quality
 from lendscope.llm.queries import vocabulary
-from lendscope.llm.tables import table, written
+from lendscope.llm.tables import columns, table, written
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,19 +22,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their source's boilerplate lines; n_chars follows. No document goes."""
     kept = line_dedup.drop_boilerplate(docs)
-    return kept.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*docs.columns)
+    return kept.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*columns(docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of smallest doc_id; documents without words stay."""
     kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(kept, "doc_id", "left_semi").select(*columns(docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; n_chars follows where one is taken in part."""
     mixed = mixing.mixed_documents(docs)
-    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*columns(docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

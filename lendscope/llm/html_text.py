@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lendscope.llm.tables import columns
+
 # Names of elements, and words in class, id and role, that tell what an element is for.
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
@@ -247,7 +249,7 @@ def extract_text(pages: DataFrame, source: str = "html") -> DataFrame:
     A null or empty page, and one without any text, gives an empty text of 0 code points. Rows do not depend on each other.
     """
     carried = [c for c in pages.columns if c not in ("text", "n_chars")]
-    base = pages.select(*carried)
+    base = pages.select(*columns(carried))
     plain = base.toDF(*[f"c{i}" for i in range(len(carried))])
     at = carried.index(source)
     schema = T.StructType([*plain.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.tables import own_name, written
+from lendscope.llm.tables import columns, own_name, written
 
 RATIO = 0.08
 MIN_PAGES = 5
@@ -60,4 +60,4 @@ def drop_boilerplate(pages: DataFrame, text: str = "text", host: str = "source",
                "n_dropped": F.coalesce(F.size(parts) - F.size(kept), F.lit(0)).cast("long")}
     counted = joined.withColumns({k: F.when(F.col(text).isNull(), 0).otherwise(v).cast("long") for k, v in numbers.items()})
     counted = counted.withColumn(text, F.array_join(kept, "\n"))
-    return counted.select(*[c for c in pages.columns if c not in numbers], *numbers)
+    return counted.select(*columns(pages.columns, *numbers), *numbers)

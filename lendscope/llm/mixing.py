@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendscope.llm.tables import written
+from lendscope.llm.tables import columns, written
 from lendscope.llm.words import WORD_PATTERN
 
 MAX_REPEATS = 3
@@ -108,4 +108,4 @@ def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, sh
     rows = rows.withColumn("its_part", F.explode(parts))
     words = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(f"({WORD_PATTERN})")), 1, F.col("its_part")), " ")
     text = F.when(F.col("its_part") > 0, words).otherwise(F.col("text"))
-    return rows.withColumn("text", text).select(*documents.columns)
+    return rows.withColumn("text", text).select(*columns(documents.columns))

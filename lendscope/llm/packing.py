@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lendscope.llm.tables import written
+from lendscope.llm.tables import columns, written
 from lendscope.llm.words import chunks
 
 CAPACITY = 2048
@@ -138,7 +138,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, window: int = WINDOW, carried
     evenly, so a task that runs again makes the same sequences.
     """
     spark = cut.sparkSession
-    base = cut.select(*[c for c in cut.columns if c not in ("sequence_id", "offset")])
+    base = cut.select(*columns(cut.columns, "sequence_id", "offset"))
     names = base.columns
     plain = base.toDF(*[f"c{i}" for i in range(len(names))])
     length = f"c{names.index('length')}"

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendscope.llm.tables import written
+from lendscope.llm.tables import columns, written
 from lendscope.llm.words import Words, chunks, mix, split_words
 
 PASSAGE_WORDS = 64
@@ -222,7 +222,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, threshold: float = T
     """
     model = learn(documents, labels)
     carried = [c for c in documents.columns if c not in ("held_out", "score", "predicted")]
-    base = documents.select(*carried)
+    base = documents.select(*columns(carried))
     if isinstance(model, float):
         scored = base.withColumn("score", F.lit(model))
     else:
@@ -244,6 +244,6 @@ def quality_scores(documents: DataFrame, labels: DataFrame, threshold: float = T
 def good_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents`` whose score is ``threshold`` or more, with all their columns, whatever their names."""
     names = documents.columns
-    plain = [F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"c{i}") for i, c in enumerate(names)]
+    plain = [c.alias(n if n in ("doc_id", "text") else f"c{i}") for i, (n, c) in enumerate(zip(names, columns(names), strict=True))]
     scored = quality_scores(documents.select(*plain), labels, threshold).where("predicted = 1")
     return scored.drop("held_out", "score", "predicted").toDF(*names)

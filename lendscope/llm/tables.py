@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lendscope.operators.shared_storage import cut_lineage
 
@@ -16,6 +17,11 @@ def written(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def columns(names: list[str], *left_out: str) -> list[Column]:
+    """Columns by name, whatever characters the names have."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names if n not in left_out]
+
+
 def own_name(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in df.columns}
