@@ -66,9 +66,6 @@ TEST_SHARE = 0.15
 VALIDATION_SHARE_OF_REST = 0.1765
 SMOTE_NEIGHBOURS = 5
 EXPLAIN_SAMPLE = 500
-ANOMALY_TRAIN_SAMPLE = 20_000
-EXPLORE_SAMPLE = 50_000
-SEQUENCE_ROWS = 15_000
 SEQUENCE_LENGTH = 3
 
 # --- Fixed values: expected loss -------------------------------------------------------

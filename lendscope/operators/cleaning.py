@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ByteType, DecimalType, IntegerType, LongType, NumericType, ShortType
+from pyspark.sql.types import ByteType, IntegerType, LongType, NumericType, ShortType
 
 from lendscope import fixed_values as fx
 from lendscope.functions import finite, percent_to_number
@@ -82,8 +82,8 @@ def fill_values(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
 
 
 def impute_medians(df: DataFrame, target: str, method: str = "approx", relative_error: float = 0.01) -> DataFrame:
-    """Median imputation of the numeric non-target columns with nulls, the id column included."""
-    columns = [c for c in numeric_columns(df, [target]) if not isinstance(df.schema[c].dataType, DecimalType)]
+    """Median imputation of the numeric non-target columns with nulls, the id and decimals included."""
+    columns = numeric_columns(df, [target])
     return fill_values(df, median_values(df, gap_columns(df, columns), method, relative_error))
 
 

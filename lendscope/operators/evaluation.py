@@ -181,13 +181,14 @@ def ks_point(curve: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
 
 
 def best_model(metrics: DataFrame, by: str = "auc_roc", name: str = "model", within: Sequence[str] = ()) -> DataFrame:
-    """The row with the highest metric (first name on ties), per group if given."""
-    first_name = metrics.groupBy(*within).agg(F.max(by).alias("_top"))
-    top = metrics.join(first_name, list(within)) if within else metrics.withColumn("_top", F.lit(first_name.first()[0]))
-    tied = top.filter(F.col(by) == F.col("_top"))
+    """The row with the highest metric (first name on ties), per group if given; one aggregate, no job.
+
+    A missing metric loses against any other.
+    """
     columns = [c for c in metrics.columns if c not in within]
-    picked = tied.groupBy(*within).agg(F.min_by(F.struct(*columns), name).alias("best"))
-    return picked.select(*within, "best.*")
+    place = F.struct(-F.coalesce(F.nanvl(F.col(by).cast("double"), F.lit(None)), F.lit(float("-inf"))), F.col(name))
+    picked = metrics.groupBy(*within).agg(F.min_by(F.struct(*columns), place).alias("best"))
+    return picked.filter(F.col("best").isNotNull()).select(*within, "best.*")
 
 
 def rated_metrics(metrics: DataFrame) -> DataFrame:

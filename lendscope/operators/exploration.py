@@ -24,7 +24,7 @@ def overview(df: DataFrame, target: str) -> DataFrame:
 
 
 def feature_histogram(df: DataFrame, feature: str, target: str, id_column: str = "loan_id",
-                      sample: int = fx.EXPLORE_SAMPLE, bins: int = FEATURE_BINS) -> DataFrame:
-    """Histogram per label over a repeatable sample of the complete rows."""
+                      sample: int | None = None, bins: int = FEATURE_BINS) -> DataFrame:
+    """Histogram per label over the complete rows, or over a repeatable sample of them."""
     complete = df.select(_c(id_column), _c(feature), _c(target)).dropna()
-    return histogram(hash_sample(complete, sample, id_column), feature, bins, by=target)
+    return histogram(hash_sample(complete, sample, id_column) if sample else complete, feature, bins, by=target)

@@ -8,11 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendscope import fixed_values as fx
 from lendscope.operators.cleaning import _c
-from lendscope.operators.sampling import hash_sample
 from lendscope.operators.shared_storage import cut_lineage
 
 EULER = 0.5772156649015329
@@ -43,26 +42,31 @@ def fit_isolation_forest(
     rows_per_tree: int = fx.ISOLATION_ROWS,
     seed: int = fx.SEED,
 ) -> IsolationForest:
-    """Grow each tree on its own random rows.
+    """Grow each tree on its own random rows: those whose hashes with the tree's number are least.
 
-    The rows come from one hash sample of at most trees x rows_per_tree rows, so every group
-    below has a bounded size. A sample that fills up is dealt out; a smaller one is shared.
+    Trees draw independently, whatever the number of rows. A row goes to a tree only if its hash
+    is below a bound that leaves each tree a few rows more than it needs, so the draw costs one pass and
+    every group below has a bounded size.
     """
     features = list(features)
-    wanted = trees * rows_per_tree
-    pool = cut_lineage(hash_sample(df.select(_c(id_column).alias("_id"), *[_c(c) for c in features]), wanted, "_id"))
-    held = pool.count()
-    if held == wanted:
-        # Enough rows to give each tree its own: deal them out.
-        dealt = Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("_id", F.lit(seed)), "_id")
-        place = F.row_number().over(dealt) - 1
-        drawn = pool.withColumn("_place", place).withColumns(
-            {"tree": (F.col("_place") % trees).cast("int"), "_draw": F.floor(F.col("_place") / trees)}
-        ).drop("_place")
-    else:
-        draw = Window.partitionBy("tree").orderBy(F.xxhash64("_id", "tree", F.lit(seed)), "_id")
-        shared = pool.withColumn("tree", F.explode(F.expr(f"sequence(0, {trees - 1})")))
-        drawn = shared.withColumn("_draw", F.row_number().over(draw)).filter(F.col("_draw") <= rows_per_tree)
+    source = df.select(_c(id_column).alias("_id"), *[_c(c) for c in features])
+    held = source.count()
+    bound = min(1.0, (rows_per_tree + 8 * math.sqrt(rows_per_tree) + 16) / max(held, 1))
+
+    def draw(tree: Column) -> Column:
+        return F.pmod(F.xxhash64("_id", tree, F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
+
+    order = Window.partitionBy("tree").orderBy("_draw", "_id")
+
+    def drawn_below(limit: float) -> DataFrame:
+        chosen = F.filter(F.expr(f"sequence(0, {trees - 1})"), lambda tree: draw(tree) < limit)
+        offered = source.withColumn("tree", F.explode(chosen)).withColumn("_draw", draw(F.col("tree")))
+        placed = offered.withColumn("_place", F.row_number().over(order))
+        return cut_lineage(placed.filter(F.col("_place") <= rows_per_tree).drop("_place"))
+
+    drawn = drawn_below(bound)
+    if bound < 1 and drawn.count() < trees * rows_per_tree:  # about once in 10**15 draws
+        drawn = drawn_below(min(1.0, 4 * bound))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         def leaf_path(n):

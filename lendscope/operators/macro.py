@@ -42,14 +42,20 @@ def quarterly_macro(observations: DataFrame) -> DataFrame:
     return name_measures(quarter_means(align_series(observations)))
 
 
-def join_macro(loans: DataFrame, macro: DataFrame) -> DataFrame:
+MOST_QUARTERS = 10_000
+
+
+def join_macro(loans: DataFrame, macro: DataFrame, most_quarters: int = MOST_QUARTERS) -> DataFrame:
     """Left join on the issue quarter.
 
-    No broadcast hint: the adaptive planner broadcasts the macro side after measuring it, and
-    splits a hot quarter where it has to shuffle.
+    The macro side is broadcast after its rows are counted: a table of quarters has a few hundred.
+    Left to itself the planner would shuffle all loans by quarter before it knows that size. More
+    than ``most_quarters`` rows are no macro table and raise.
     """
+    if (rows := macro.count()) > most_quarters:
+        raise ValueError(f"{rows} rows of quarterly data; at most {most_quarters} are joined")
     on = (F.col("issue_year") == F.col("year")) & (F.col("issue_quarter") == F.col("quarter"))
-    return loans.join(macro, on, "left").drop("year", "quarter")
+    return loans.join(F.broadcast(macro), on, "left").drop("year", "quarter")
 
 
 def macro_match_rate(enriched: DataFrame, measure: str = "unemployment_rate") -> DataFrame:

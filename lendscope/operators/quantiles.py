@@ -77,6 +77,15 @@ def exact_quantiles(
     while any(r.inside > bracket_values for r in ranks):
         _narrow(data, [r for r in ranks if r.inside > bracket_values], slack, accuracy)
     found = _order_statistics(data, ranks)
+    while missed := [r for r in ranks if r.name not in found]:
+        # A sketch missed: begin again with wider brackets; in the end they hold every value.
+        slack *= 4
+        for r in missed:
+            r.start, r.stop = -math.inf, math.inf
+        _narrow(data, missed, slack, accuracy)
+        while any(r.inside > bracket_values for r in missed):
+            _narrow(data, [r for r in missed if r.inside > bracket_values], slack / 4, accuracy)
+        found |= _order_statistics(data, missed)
     result: dict[str, float | None] = dict.fromkeys(wanted)
     for r in ranks:
         low, high = found[r.name]
@@ -135,16 +144,18 @@ def _narrow(data: DataFrame, ranks: list[_Rank], slack: float, accuracy: int) ->
 
 
 def _order_statistics(data: DataFrame, ranks: list[_Rank]) -> dict[str, tuple[float, float]]:
+    """The wanted order statistics; a name is left out if one of its ranks lies outside the bracket."""
     if not ranks:
         return {}
     entries = [F.struct(F.lit(r.name).alias("name"), r.value.alias("value")) for r in ranks]
     start, stop = (_by_name({r.name: end(r) for r in ranks}) for end in (lambda r: r.start, lambda r: r.stop))
-    clamped = F.when(F.col("value") < start, start).when(F.col("value") > stop, stop).otherwise(F.col("value"))
+    below, beyond = F.col("value") < start, F.col("value") > stop
+    clamped = F.when(below, start).when(beyond, stop).otherwise(F.col("value"))
     counts = (
         data.select(F.inline(F.array(*entries)))
         .filter(F.col("value").isNotNull())
-        .select("name", clamped.alias("value"))
-        .groupBy("name", "value").count()
+        .select("name", clamped.alias("value"), below.cast("long").alias("below"), beyond.cast("long").alias("beyond"))
+        .groupBy("name", "value").agg(F.count(F.lit(1)).alias("count"), F.sum("below").alias("below"), F.sum("beyond").alias("beyond"))
     )
     upto = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = counts.withColumn("last", F.sum("count").over(upto) - 1)
@@ -152,9 +163,14 @@ def _order_statistics(data: DataFrame, ranks: list[_Rank]) -> dict[str, tuple[fl
     first = F.col("last") - F.col("count") + 1
     hits = placed.filter(low.between(first, F.col("last")) | high.between(first, F.col("last")))
     by_name: dict[str, list[float]] = {}
-    for row in hits.select("name", "value").collect():
+    clamped_away = set()
+    wanted = {r.name: r for r in ranks}
+    for row in hits.select("name", "value", first.alias("first"), "last", "below", "beyond").collect():
         by_name.setdefault(row["name"], []).append(row["value"])
-    return {name: (min(values), max(values)) for name, values in by_name.items()}
+        for place in (wanted[row["name"]].low, wanted[row["name"]].high):
+            if row["first"] <= place <= row["last"] and not row["first"] + row["below"] <= place <= row["last"] - row["beyond"]:
+                clamped_away.add(row["name"])
+    return {name: (min(values), max(values)) for name, values in by_name.items() if name not in clamped_away}
 
 
 def _by_name(table: dict) -> Column:

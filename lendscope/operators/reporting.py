@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from lendscope import fixed_values as fx
@@ -39,8 +41,17 @@ def radar(metrics: DataFrame) -> DataFrame:
     return best.unpivot(["model"], list(names.values()), "metric", "value")
 
 
-def model_card(metrics: DataFrame, importance: DataFrame, summary: DataFrame, dataset: str, target: str) -> DataFrame:
-    """The model card as one nested record with its JSON text."""
+CARD_TEXTS = {
+    "model_type": "binary classifier of default",
+    "class_imbalance_handling": "synthetic minority rows, balanced weights",
+    "split_strategy": "70/15/15 by class",
+    "selection_criteria": "largest test AUC",
+}
+
+
+def model_card(metrics: DataFrame, importance: DataFrame, summary: DataFrame, dataset: str, target: str,
+               texts: Mapping[str, str] = CARD_TEXTS) -> DataFrame:
+    """The model card as one nested record with its JSON text; ``texts`` are its fixed sentences."""
     best = best_model(metrics)
     header = best.select(
         F.col("model").alias("algorithm"),
@@ -56,14 +67,14 @@ def model_card(metrics: DataFrame, importance: DataFrame, summary: DataFrame, da
     losses = summary.select(F.struct(*summary.columns).alias("expected_loss_summary"))
     card = _beside(header, others, ranked, used, losses).select(
         F.concat(F.lit(f"{dataset} PD model: "), "algorithm").alias("model_name"),
-        F.lit("Binary Classification (Probability of Default)").alias("model_type"),
+        F.lit(texts["model_type"]).alias("model_type"),
         F.lit(dataset).alias("dataset"),
         F.struct(
             "features_used", F.lit(target).alias("target_variable"),
-            F.lit("minority oversampling and balanced class weights").alias("class_imbalance_handling"),
-            F.lit("stratified 70/15/15").alias("split_strategy"),
+            F.lit(texts["class_imbalance_handling"]).alias("class_imbalance_handling"),
+            F.lit(texts["split_strategy"]).alias("split_strategy"),
         ).alias("training_data"),
-        F.struct("algorithm", F.lit("highest AUC-ROC on the test split").alias("selection_criteria")).alias("model_architecture"),
+        F.struct("algorithm", F.lit(texts["selection_criteria"]).alias("selection_criteria")).alias("model_architecture"),
         "performance_metrics", "competing_models", "top_features", "expected_loss_summary",
     )
     return card.withColumn("card_json", F.to_json(F.struct(*card.columns)))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 GROUP_ROWS = 1_000_000
 MOST_RANGES = 10_000
+SAMPLED_PER_RANGE = 20
 
 
 def range_count(rows: int, group_rows: int = GROUP_ROWS) -> int:
@@ -118,7 +119,8 @@ def number_rows(
     """1-based row number per key in the given order, with large keys cut into ranges.
 
     The keys above the limit are few (rows / limit). Their rows are cut by the first order
-    column, and where one value of it is hot, also by the second.
+    column, and where one value of it is hot, also by the second if that is a number or a time. Text
+    is cut between sampled values and compared as text, never turned into numbers.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     most = counts.agg(F.max("_n")).first()[0] or 0
@@ -137,13 +139,25 @@ def number_rows(
     return numbered.select(*df.columns, (F.col("_local") + F.coalesce("_before", F.lit(0))).alias(output))
 
 
+def _cut_text(marked: DataFrame, large_rows: DataFrame, column: str, ranges: int) -> DataFrame:
+    """Ranges of a text column between sampled values; which ones are drawn only changes the balance."""
+    held = large_rows.select(column).where(F.col(column).isNotNull())
+    drawn = min(1.0, SAMPLED_PER_RANGE * ranges / max(held.count(), 1))
+    sample = sorted(r[0] for r in held.sample(drawn, seed=1).limit(4 * SAMPLED_PER_RANGE * ranges).collect())
+    points = sorted(set(sample[:: max(1, len(sample) // ranges)]))
+    number = F.coalesce(F.size(F.filter(F.array(*[F.lit(p) for p in points]).cast("array<string>"), lambda p: p <= F.col(column))), F.lit(-1))
+    return marked.withColumns({"_r1": F.when(F.col("_large").isNull(), 0).otherwise(number), "_r2": F.lit(0)})
+
+
 def _cut_ranges(marked: DataFrame, large_rows: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+    if dict(marked.dtypes)[order[0]] == "string":
+        return _cut_text(marked, large_rows, order[0], ranges)
     first = _as_number(marked, order[0])
     points, hot = split_points(large_rows.select(first.alias("_v1")), "_v1", ranges)
     single = sorted(hot)
     splits = sorted({*points, *[math.nextafter(v, math.inf) for v in single]})
     cut = range_number(marked.withColumn("_v1", first), "_v1", splits, "_r1")
-    if single and len(order) > 1:
+    if single and len(order) > 1 and dict(marked.dtypes)[order[1]] != "string":
         second = _as_number(marked, order[1])
         tied = large_rows.filter(_as_number(large_rows, order[0]).isin(single))
         points2, _ = split_points(tied.select(second.alias("_v2")), "_v2", ranges)

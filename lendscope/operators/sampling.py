@@ -120,17 +120,23 @@ def add_class_weight(df: DataFrame, target: str, output: str = "class_weight") -
 
 
 def smallest_rows(df: DataFrame, value: Column, order: Sequence[Column], n: int, sorted_rows: int = SORTED_ROWS) -> DataFrame:
-    """First ``n`` rows by ``order``, whose leading term is the number ``value``.
+    """First ``n`` rows by ``order``, whose leading term is ``value`` or orders rows as it does.
 
-    Large inputs are filtered at the n-th smallest value first. A plain top-n would ship n rows
-    from each of many partitions to one task.
+    Rows without a value come first and NaN comes last, as in any ascending Spark order. Large
+    inputs are filtered at the n-th smallest value first. A plain top-n would ship n rows from
+    each of many partitions to one task.
     """
-    total = df.count()
+    facts = df.agg(F.count(F.lit(1)), F.count_if(value.isNull()), F.count_if(F.isnan(value.cast("double")))).first()
+    total, missing, undefined = (int(x) for x in facts)
     if total <= n:
         return df
     if total > sorted_rows:
-        cut = exact_quantiles(df, {"cut": (value, n / total, lambda _: n - 1)})["cut"]
-        df = df.filter(value <= cut)
+        numbers, position = total - missing - undefined, n - missing - 1
+        if position < 0:
+            df = df.filter(value.isNull())
+        elif position < numbers:
+            cut = exact_quantiles(df, {"cut": (value, position / numbers, lambda _: position)})["cut"]
+            df = df.filter(value.isNull() | (value <= cut))
     return df.orderBy(*order).limit(n)
 
 

@@ -37,9 +37,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's tables below the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/run-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the run folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_run_folder(spark: SparkSession) -> None:
+    """Delete this application's tables, when no result that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:

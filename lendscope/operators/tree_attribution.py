@@ -39,12 +39,12 @@ class TreeExplainer:
 
 
 def tree_explainer(spark: SparkSession, model, features: Sequence[str]) -> TreeExplainer:
-    """From a fitted Spark forest (class-1 probability) or boosted trees (log-odds margin / 2)."""
+    """From a fitted Spark forest (class-1 probability) or boosted trees (log-odds, twice the raw margin)."""
     nodes, weights, boosted = _node_table(spark, model)
     total = weights.sum()
     leaves, base = [], 0.0
     for tree, frame in nodes.groupby("tree"):
-        weight = weights[tree] if boosted else weights[tree] / total
+        weight = 2 * weights[tree] if boosted else weights[tree] / total
         table = {r.id: r for r in frame.itertuples()}
         for value, share, conditions in _leaf_paths(table):
             leaves.append((weight * value, conditions))
@@ -103,7 +103,7 @@ def _leaf_paths(table):
 def tree_attributions(df: DataFrame, explainer: TreeExplainer, id_column: str = "loan_id") -> DataFrame:
     """Long attributions; per row they add up to prediction minus base."""
     names = list(explainer.features)
-    # Plain arrays, so that workers do not need this package to unpickle them.
+    # Plain arrays, so that workers do not need this package to unpickle them; Spark broadcasts a large closure once.
     groups = [(g.feature, g.low, g.high, g.share, g.value) for g in explainer.groups]
 
     @F.pandas_udf("array<double>")
@@ -125,8 +125,9 @@ def tree_attributions(df: DataFrame, explainer: TreeExplainer, id_column: str =
                     factor = share + change * t
                     slope += w * factor.prod(axis=2, keepdims=True) / factor
                 gain = change * slope * value[:, None]
-                for i in range(len(part)):
-                    phi[start + i] += np.bincount(feature.ravel(), gain[i].ravel(), minlength=x.shape[1])
+                cells = np.arange(len(part))[:, None, None] * x.shape[1] + feature[None]
+                sums = np.bincount(cells.ravel(), gain.ravel(), minlength=part.size)
+                phi[start : start + len(part)] += sums.reshape(part.shape)
         return pd.Series(list(phi))
 
     scored = df.select(_c(id_column).alias("row_id"), *[_c(c) for c in names]).withColumn(

@@ -10,8 +10,8 @@ from lendscope.operators.shared_storage import cut_lineage
 
 
 def score_anomalies(matrix: DataFrame, target: str, id_column: str = "loan_id",
-                    train_rows: int | None = fx.ANOMALY_TRAIN_SAMPLE, contamination: float = fx.CONTAMINATION) -> DataFrame:
-    """Both scores and all flags for every row; both detectors are fitted on healthy rows."""
+                    train_rows: int | None = None, contamination: float = fx.CONTAMINATION) -> DataFrame:
+    """Both scores and all flags for every row; both detectors are fitted on all healthy rows, or on ``train_rows`` of them."""
     features = [c for c in matrix.columns if c not in (id_column, target)]
     healthy = cleaning.healthy_only(matrix, target)
     train = cut_lineage(sampling.hash_sample(healthy, train_rows, id_column) if train_rows else healthy)

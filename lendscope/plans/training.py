@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -25,6 +25,7 @@ VECTOR = "features"
 BOOSTING_ROUNDS = 500
 PATIENCE = 30
 FIRST_ROUNDS = 40
+ROUND_ROWS = 25_000
 MODELS = ("Logistic Regression", "Random Forest", "Gradient Boosting", "Balanced Gradient Boosting")
 
 
@@ -38,6 +39,7 @@ class TrainingData:
     features: list[str]
     scaler: sampling.Scaler
     train_rows: int
+    medians: dict[str, float]
 
 
 @dataclass
@@ -60,13 +62,16 @@ def prepare(table: DataFrame, target: str, id_column: str = "loan_id", balance:
     The prepared frames are written once to the shared folder: training reads them many times.
     """
     labelled = cleaning.drop_null_target(table, target)
-    fill = None
     if fill_from_train:
         split = sampling.stratified_split(labelled, target, id_column)
         names = [c for c in cleaning.feature_columns(labelled, target) if c != id_column]
         train_only = split.filter(F.col("split") == "train").select(
             *[cleaning.finite(F.col(f"`{c}`").cast("double")).alias(c) for c in names])
         fill = cleaning.median_values(train_only, names)
+    else:
+        names = [c for c in cleaning.feature_columns(labelled, target) if c != id_column]
+        fill = cleaning.median_values(
+            labelled.select(*[cleaning.finite(F.col(f"`{c}`").cast("double")).alias(c) for c in names]), names)
     matrix = cleaning.feature_matrix(labelled, target, id_column, fill)
     features = [c for c in matrix.columns if c not in (id_column, target)]
     parts = cut_lineage(sampling.stratified_split(matrix, target, id_column).withColumnRenamed(target, LABEL))
@@ -79,7 +84,7 @@ def prepare(table: DataFrame, target: str, id_column: str = "loan_id", balance:
     written = cut_lineage(train)
     train = sampling.add_class_weight(written, LABEL, WEIGHT)
     held = {s: scaled.filter(F.col("split") == s).drop("split") for s in ("validation", "test")}
-    return TrainingData(spread(train), held["validation"], held["test"], features, scaler, written.count())
+    return TrainingData(spread(train), held["validation"], held["test"], features, scaler, written.count(), fill)
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -128,8 +133,10 @@ def fit_boosted(data: TrainingData, weighted: bool, rounds: int = BOOSTING_ROUND
     """
     ensure_checkpoint_dir(data.train.sparkSession)
     assembler = _assembler(data.features)
-    train = assembler.transform(data.train).select(VECTOR, LABEL, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
-    held_out = assembler.transform(data.validation).select(VECTOR, LABEL, F.lit(1.0).alias(WEIGHT))
+    # A round runs several small jobs one after the other, so partitions with little work only add tasks.
+    tasks = max(1, data.train_rows // ROUND_ROWS)
+    train = assembler.transform(data.train).select(VECTOR, LABEL, WEIGHT).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    held_out = assembler.transform(data.validation).select(VECTOR, LABEL, F.lit(1.0).alias(WEIGHT)).coalesce(tasks)
     validation = held_out.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         length = min(first_rounds, rounds)
@@ -166,6 +173,25 @@ def train_all(data: TrainingData, names: Sequence[str] = MODELS, rounds: int = B
     return {name: train_model(name, data, rounds) for name in names}
 
 
+def scoring_pipeline(trained: Trained, data: TrainingData) -> PipelineModel:
+    """One pipeline from raw features to scores: medians for gaps, scaling, vector, model.
+
+    Feature names, medians and scales are part of it, so a reloaded one needs nothing else.
+    """
+    def number(x: float) -> str:
+        return f"{float(x)!r}D"
+
+    def scaled(c: str) -> str:
+        value = f"CAST(`{c}` AS DOUBLE)"
+        held = f"CASE WHEN NOT isnan({value}) AND abs({value}) < CAST('Infinity' AS DOUBLE) THEN {value} END"
+        filled = f"coalesce({held}, {number(data.medians[c])})" if c in data.medians else held
+        return f"({filled} - {number(data.scaler.means[c])}) / {number(data.scaler.deviations[c])} AS `scaled_{c}`"
+
+    projection = SQLTransformer(statement=f"SELECT *, {', '.join(map(scaled, data.features))} FROM __THIS__")
+    assembler = _assembler([f"scaled_{c}" for c in data.features])
+    return PipelineModel([projection, assembler, trained.classifier])
+
+
 def score(model: PipelineModel, df: DataFrame, output: str = "score") -> DataFrame:
     """P(class 1) and the class at 0.5 (M6)."""
     scored = model.transform(df).withColumn(output, vector_to_array("probability")[1])
@@ -191,9 +217,9 @@ def compare_models(trained: Mapping[str, Trained], df: DataFrame, id_column: str
     return metrics.withColumn("train_time_sec", F.round(seconds[F.col("model")], 2))
 
 
-def explain(trained: Trained, data: TrainingData, rows: int = fx.EXPLAIN_SAMPLE, id_column: str = "loan_id") -> DataFrame:
-    """Long attributions of a sample of the test rows: closed form for linear models, else trees."""
-    sample = spread(cut_lineage(sampling.hash_sample(data.test, rows, id_column)))
+def explain(trained: Trained, data: TrainingData, rows: int | None = None, id_column: str = "loan_id") -> DataFrame:
+    """Long attributions of the test rows, or of ``rows`` of them: closed form for linear models, else trees."""
+    sample = spread(sampling.hash_sample(data.test, rows, id_column) if rows else data.test)
     if trained.name == "Logistic Regression":
         weights = dict(zip(data.features, map(float, trained.classifier.coefficients), strict=True))
         return attribution.linear_attributions(sample, weights, id_column)
@@ -218,7 +244,7 @@ def training_run(table: DataFrame, target: str, id_column: str = "loan_id", mode
     metrics = cut_lineage(compare_models(trained, data.test, id_column))
     best = trained[evaluation.best_model(metrics).first()["model"]]
     if model_path:
-        sinks.save_model(best.model, model_path)
+        sinks.save_model(scoring_pipeline(best, data), model_path)
     return TrainingRun(data, trained, metrics, best, model_path)
 
 

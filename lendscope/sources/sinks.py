@@ -92,6 +92,6 @@ def write_result(df: DataFrame, path: str, fmt: str = "json") -> str:
 
 
 def save_model(model, path: str) -> str:
-    """Persist a fitted pipeline: assembler, scaler and model are one object."""
+    """Persist a fitted pipeline. Only ``training.scoring_pipeline`` holds medians and scales as well as the model."""
     model.write().overwrite().save(path)
     return path

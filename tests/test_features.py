@@ -1,6 +1,7 @@
 """Literal cases of the feature rules."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,14 +23,13 @@ def frame(spark, **columns):
     return spark.createDataFrame(rows, "n int, " + ", ".join(f"`{c}` {t}" for c, t in zip(names, types, strict=True)))
 
 
-COUNTS = {fx.LATE_30: [0, 1, 3, 0, 2], fx.LATE_60: [0, 0, 1, 0, 0], fx.LATE_90: [0, 0, 0, 1, 2]}
+COUNTS = {fx.LATE_30: [5, 0, 0], fx.LATE_60: [0, 7, 0], fx.LATE_90: [1, 1, 0]}
 
 
 def test_flags(spark):
     out = features.delinquency_flags(frame(spark, **COUNTS))
-    assert column(out, "flag_30dpd") == [0, 1, 1, 0, 1]
-    assert column(out, "flag_60dpd") == [0, 0, 1, 0, 0]
-    assert column(out, "flag_90dpd") == [0, 0, 0, 1, 1]
+    for name, flag in ((fx.LATE_30, "flag_30dpd"), (fx.LATE_60, "flag_60dpd"), (fx.LATE_90, "flag_90dpd")):
+        assert column(out, flag) == [min(n, 1) for n in COUNTS[name]]
 
 
 def test_flag_of_null_is_zero(spark):
@@ -37,9 +37,9 @@ def test_flag_of_null_is_zero(spark):
 
 
 def test_artifact_codes_take_the_median_of_the_rest(spark):
-    out = features.replace_artifact_codes(frame(spark, **{fx.LATE_30: [0, 1, 2, 96, 98], fx.LATE_60: [0, 0, 1, 0, 0]}))
-    assert column(out, fx.LATE_30) == [0.0, 1.0, 2.0, 1.0, 1.0]
-    assert column(out, fx.LATE_60) == [0.0, 0.0, 1.0, 0.0, 0.0]
+    out = features.replace_artifact_codes(frame(spark, **{fx.LATE_30: [98, 4, 95, 6, 96, 10], fx.LATE_60: [3, 3, 97, 3, 3, 3]}))
+    assert column(out, fx.LATE_30) == [8.0, 4.0, 95.0, 6.0, 8.0, 10.0]
+    assert column(out, fx.LATE_60) == [3.0, 3.0, 97.0, 3.0, 3.0, 3.0]
 
 
 def test_only_artifact_codes_leave_null(spark):
@@ -47,40 +47,40 @@ def test_only_artifact_codes_leave_null(spark):
 
 
 def test_log_columns(spark):
-    out = features.log_columns(frame(spark, MonthlyIncome=[-100, 0, 1000, None]), ["MonthlyIncome", "absent"])
+    out = features.log_columns(frame(spark, MonthlyIncome=[None, 6, -1, 0]), ["MonthlyIncome", "absent"])
     logs = column(out, "log_MonthlyIncome")
-    assert logs[:2] == [0.0, 0.0] and logs[2] == pytest.approx(6.90875, abs=1e-5) and logs[3] is None
+    assert logs[2:] == [0.0, 0.0] and logs[1] == pytest.approx(math.log(7)) and logs[0] is None
     assert "log_absent" not in out.columns
 
 
 def test_utilization_buckets_and_edges(spark):
-    out = features.utilization_bucket(frame(spark, revol_util=[10.0, 35.0, 75.0, 95.0, 30.0, 60.0, 90.0, None]), "revol_util")
-    assert column(out, "revol_util_bucket") == ["Low", "Medium", "High", "Very High", "Low", "Medium", "High", None]
+    out = features.utilization_bucket(frame(spark, revol_util=[None, 0.0, 30.0, 30.01, 60.0, 60.01, 90.0, 90.01, 140.0]), "revol_util")
+    assert column(out, "revol_util_bucket") == [None, "Low", "Low", "Medium", "Medium", "High", "High", "Very High", "Very High"]
 
 
 def test_utilization_scale_is_detected(spark):
-    out = features.utilization_bucket(frame(spark, **{fx.SNAPSHOT_UTILIZATION: [0.1, 0.35, 0.75, 0.95]}), fx.SNAPSHOT_UTILIZATION)
-    assert column(out, f"{fx.SNAPSHOT_UTILIZATION}_bucket") == ["Low", "Medium", "High", "Very High"]
+    out = features.utilization_bucket(frame(spark, **{fx.SNAPSHOT_UTILIZATION: [0.3, 0.31, 0.9, 0.91, 1.4]}), fx.SNAPSHOT_UTILIZATION)
+    assert column(out, f"{fx.SNAPSHOT_UTILIZATION}_bucket") == ["Low", "Medium", "High", "Very High", "Very High"]
 
 
 def test_dti_buckets(spark):
-    out = features.dti_bucket(frame(spark, dti=[10.0, 25.0, 40.0, 60.0, 20.0, 35.0, 50.0, None]))
-    assert column(out, "dti_bucket") == ["Low", "Medium", "High", "Very High", "Low", "Medium", "High", None]
+    out = features.dti_bucket(frame(spark, dti=[20.0, 20.5, 35.0, 35.5, 50.0, 50.5, 0.0, None]))
+    assert column(out, "dti_bucket") == ["Low", "Medium", "Medium", "High", "High", "Very High", "Low", None]
 
 
 def test_age_floor(spark):
-    assert column(features.floor_age(frame(spark, age=[0, 15, 25, 65, None])), "age") == [18, 18, 25, 65, None]
+    assert column(features.floor_age(frame(spark, age=[None, 17, 18, 19, -3])), "age") == [None, 18, 18, 19, 18]
 
 
 def test_score_skips_nulls(spark):
-    out = features.delinquency_score(frame(spark, **{fx.LATE_30: [1, 0, 2, None], fx.LATE_60: [0, 1, 1, 4], fx.LATE_90: [0, 0, 3, None]}))
-    assert column(out, "total_delinquency_score") == [1.0, 1.0, 6.0, 4.0]
+    out = features.delinquency_score(frame(spark, **{fx.LATE_30: [None, 9, 5], fx.LATE_60: [8, None, 6], fx.LATE_90: [7, 2, 4]}))
+    assert column(out, "total_delinquency_score") == [15.0, 11.0, 15.0]
 
 
 def test_encodings(spark):
-    out = features.employment_years(frame(spark, emp_length=["< 1 year", "5 years", "10+ years", None, "n/a"]))
-    assert column(out, "emp_length_years") == [0, 5, 10, -1, -1]
-    assert column(features.grade_ordinal(frame(spark, grade=["A", "C", "G", "H"])), "grade_numeric") == [1, 3, 7, None]
+    out = features.employment_years(frame(spark, emp_length=["n/a", "10+ years", "1 year", "9 years", "< 1 year", None]))
+    assert column(out, "emp_length_years") == [-1, 10, 1, 9, 0, -1]
+    assert column(features.grade_ordinal(frame(spark, grade=[*"GFEDBX", None])), "grade_numeric") == [7, 6, 5, 4, 2, None, None]
 
 
 def test_issue_date_and_vintage(spark):
@@ -114,9 +114,9 @@ def test_missing_columns_are_left_alone(spark):
 
 def test_full_snapshot(spark):
     df = frame(spark, **{
-        fx.SNAPSHOT_TARGET: [0, 1, 0, 0, 1], fx.SNAPSHOT_UTILIZATION: [0.1, 0.9, 0.3, 0.5, 1.2], "age": [45, 0, 33, 60, 15],
-        fx.LATE_30: [0, 98, 1, 0, 2], "DebtRatio": [0.2, 0.5, 0.1, 2.0, 0.3], "MonthlyIncome": [5000.0, None, 3000.0, 0.0, 100.0],
-        fx.LATE_90: [0, 98, 0, 0, 1], fx.LATE_60: [0, 98, 0, 1, 0],
+        fx.SNAPSHOT_TARGET: [1, 0, 0], fx.SNAPSHOT_UTILIZATION: [0.7, 0.2, 0.4], "age": [3, 71, 52],
+        fx.LATE_30: [96, 2, 4], "DebtRatio": [1.5, 0.7, 0.0], "MonthlyIncome": [None, 820.5, 64.0],
+        fx.LATE_90: [1, 98, 0], fx.LATE_60: [0, 6, 96],
     })
     out = features.snapshot_features(df)
     assert min(column(out, "age")) == 18 and max(column(out, fx.LATE_30)) < 96

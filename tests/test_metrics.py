@@ -17,16 +17,16 @@ def test_tied_case(spark):
 
 
 def test_perfect_and_random_ks(spark):
-    perfect = scores(spark, [0, 0, 0, 1, 1, 1], [0.1, 0.2, 0.3, 0.7, 0.8, 0.9])
+    perfect = scores(spark, [1, 0, 1, 0], [0.64, 0.11, 0.63, 0.62])
     assert evaluation.ks_statistic(perfect).first()["ks_statistic"] == 1.0
-    rng = np.random.default_rng(42)
-    noise = scores(spark, rng.binomial(1, 0.5, 1000), rng.random(1000))
-    assert evaluation.ks_statistic(noise).first()["ks_statistic"] < 0.15
+    # Labels that alternate along the scores separate nothing but one step.
+    alternating = scores(spark, [i % 2 for i in range(400)], [i / 400 for i in range(400)])
+    assert evaluation.ks_statistic(alternating).first()["ks_statistic"] == pytest.approx(1 / 200)
 
 
 def test_gini_identity(spark):
-    m = evaluation.auc_gini(scores(spark, [0, 0, 1, 1, 0, 1], [0.1, 0.3, 0.8, 0.9, 0.2, 0.7])).first()
-    assert m["gini"] == pytest.approx(2 * m["auc_roc"] - 1)
+    m = evaluation.auc_gini(scores(spark, [1, 0, 1, 0, 1], [0.35, 0.15, 0.05, 0.55, 0.75])).first()
+    assert m["auc_roc"] == pytest.approx(3 / 6) and m["gini"] == pytest.approx(0, abs=1e-12)
 
 
 def test_all_tied_and_single_class(spark):
@@ -65,10 +65,10 @@ def test_histogram_matches_numpy(spark, values):
 
 
 def test_expected_loss_arithmetic(spark):
-    one = spark.createDataFrame([(0.05, 20000.0)], "pd_predicted double, e double")
-    assert loss.expected_loss(one, ead="e").first()["expected_loss"] == pytest.approx(450)
-    three = spark.createDataFrame([(0.05, 10000.0), (0.1, 20000.0), (0.2, 15000.0)], "pd_predicted double, e double")
-    assert loss.expected_loss(three, ead="e").agg(F.sum("expected_loss")).first()[0] == pytest.approx(2475)
+    one = spark.createDataFrame([(0.4, 50.0)], "pd_predicted double, e double")
+    assert loss.expected_loss(one, ead="e").first()["expected_loss"] == pytest.approx(0.4 * 0.45 * 50)
+    three = spark.createDataFrame([(0.5, 8.0), (0.25, 160.0), (1.0, 2.0)], "pd_predicted double, e double")
+    assert loss.expected_loss(three, ead="e", lgd=0.5).agg(F.sum("expected_loss")).first()[0] == pytest.approx(2 + 20 + 1)
     assert loss.expected_loss(spark.createDataFrame([(0.0,)], "pd_predicted double")).first()["expected_loss"] == 0
 
 

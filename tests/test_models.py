@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -119,8 +120,8 @@ def test_tree_attributions(spark, data, kind):
     explainer = tree_explainer(spark, model, FEATURES)
     sample = training._assembler(FEATURES).transform(data.test.orderBy("loan_id").limit(20))
     long = tree_attributions(sample, explainer).toPandas().pivot(index="row_id", columns="feature", values="shap")[FEATURES]
-    column = vector_to_array("probability")[1] if kind == "forest" else vector_to_array("rawPrediction")[1]
-    # Boosted margins come as the raw prediction, half the log-odds.
+    p = vector_to_array("probability")[1]
+    column = p if kind == "forest" else F.log(p / (1 - p))
     wanted = model.transform(sample).select("loan_id", column.alias("p"), *FEATURES).toPandas().set_index("loan_id")
     assert (long.sum(axis=1) + explainer.base).to_numpy() == pytest.approx(wanted.loc[long.index].p.to_numpy())
 
@@ -177,3 +178,24 @@ def test_sequence_classifier_ranks_rising_balances(spark):
 def test_too_few_rows_for_a_sequence(spark):
     with pytest.raises(ValueError):
         sequence_run.sequence_run(spark.createDataFrame([(1, 1, 1.0)], "k int, t int, v double"), "k", ["t"], ["v"])
+
+
+def test_saved_pipeline_scores_raw_features(spark, data, table, tmp_path):
+    fitted = training.train_model("Logistic Regression", data)
+    path = str(tmp_path / "model")
+    training.scoring_pipeline(fitted, data).write().save(path)
+    again = training.score(PipelineModel.load(path), table.select("loan_id", *FEATURES)).select("loan_id", F.col("score").alias("again"))
+    both = training.score(fitted.model, data.test).join(again, "loan_id")
+    assert both.count() == data.test.count() and both.agg(F.max(F.abs(F.col("score") - F.col("again")))).first()[0] < 1e-9
+
+
+def test_explanations_cover_every_test_row(spark, data):
+    fitted = training.train_model("Logistic Regression", data)
+    assert training.explain(fitted, data).count() == len(FEATURES) * data.test.count()
+
+
+def test_isolation_draws_by_one_rule(spark):
+    rows = spark.range(3000).select(F.col("id").alias("loan_id"), F.rand(1).alias("a"), F.rand(2).alias("b"))
+    for n in (100, 3000):
+        forest = isolation.fit_isolation_forest(rows.limit(n), ["a", "b"], trees=9, rows_per_tree=256)
+        assert len(forest.trees) == 9 and forest.rows_per_tree == min(n, 256)

@@ -97,3 +97,46 @@ def test_sample_by_cut_equals_sorted_sample(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared_folder(spark))
+
+
+@pytest.mark.parametrize("n", [50, 700, 1500, 1990])
+def test_head_rows_with_nulls_and_nan(spark, n):
+    rng = np.random.default_rng(8)
+    keys = [None if u < 0.33 else float("nan") if u < 0.4 else float(int(u * 10**6)) for u in rng.random(2000).tolist()]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "loan_id double, i int")
+    plain, cut = (sorted(str(r[0]) for r in sampling.head_rows(df, n, sorted_rows=limit).collect()) for limit in (10**6, 100))
+    assert plain == cut and len(plain) == n
+
+
+def test_a_sketch_that_misses_is_widened(spark, monkeypatch):
+    from lendscope.operators import quantiles
+
+    x = np.arange(5000.0)
+    df = spark.createDataFrame(pd.DataFrame({"x": x})).repartition(4)
+    monkeypatch.setattr(quantiles, "_ends", lambda low, high, slack, ends=quantiles._ends: [0.9, 0.95] if slack < 0.3 else ends(low, high, slack))
+    assert exact_quantiles(df, {"m": ("x", 0.25)}, accuracy=100) == {"m": np.percentile(x, 25)}
+
+
+def test_row_numbers_by_a_text_column(spark):
+    rng = np.random.default_rng(9)
+    rows = [(int(k), f"{m:02d}/01/{2000 + y}", int(t)) for k, m, y, t in zip(rng.random(1500) < 0.5, rng.integers(1, 13, 1500), rng.integers(0, 9, 1500), rng.permutation(1500))]
+    df = spark.createDataFrame([*rows, (1, None, -1)], "k int, period string, tie int")
+    plain, cut = ({tuple(map(str, r)) for r in number_rows(df, "k", ["period", "tie"], group_rows=limit).collect()} for limit in (10**6, 100))
+    assert plain == cut and len(plain) == 1501
+
+
+def test_macro_join_does_not_shuffle_loans(spark):
+    from lendscope.operators import macro
+
+    loans = spark.range(1000).select("id", (F.col("id") % 9 + 2000).cast("int").alias("issue_year"), F.lit(1).alias("issue_quarter"))
+    table = spark.range(9).select((F.col("id") + 2000).cast("int").alias("year"), F.lit(1).alias("quarter"), F.lit(2.5).alias("gdp"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = macro.join_macro(loans, table)
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.filter("gdp = 2.5").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    with pytest.raises(ValueError):
+        macro.join_macro(loans, table, most_quarters=8)

@@ -6,7 +6,7 @@ import importlib
 
 MODULES = (
     "sources", "cleaning", "features", "macro", "sampling", "evaluation", "loss", "attribution",
-    "anomalies", "sequences", "reporting", "models", "composites",
+    "anomalies", "sequences", "reporting", "models", "composites", "facts",
 )
 
 

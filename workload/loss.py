@@ -18,8 +18,11 @@ SEGMENTS = f"""{LOANS}, segments AS (SELECT risk_grade, count(*) AS loan_count,
   sum(expected_loss) / sum(ead) * 100 AS el_pct_of_ead FROM el WHERE risk_grade IS NOT NULL GROUP BY risk_grade)"""
 
 
-def loans(spark, sf_dir):
-    scores = view(spark, sf_dir, "scored").filter("model = 'm1'").select("loan_id", F.col("score").alias("pd_predicted"), "ead")
+def loans(spark, sf_dir, model="m1"):
+    """Losses under one model, given by name or as a one-row frame with a column ``model``."""
+    scored = view(spark, sf_dir, "scored")
+    own = scored.filter(F.col("model") == model) if isinstance(model, str) else scored.join(F.broadcast(model.select("model")), "model")
+    scores = own.select("loan_id", F.col("score").alias("pd_predicted"), "ead")
     return loss.grade_loans(loss.expected_loss(scores, ead="ead"))
 
 

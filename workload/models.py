@@ -88,12 +88,12 @@ def p04(spark, sf_dir):
 
 @query("s14_model_round_trip")
 def s14(spark, sf_dir):
-    """Scores of a stored and reloaded pipeline next to those of the fitted one."""
-    fitted = trained(spark, sf_dir, "Logistic Regression").model
-    path = sinks.save_model(fitted, scratch_path(spark, "model"))
-    test = prepared(spark, sf_dir).test
-    again = training.score(PipelineModel.load(path), test).select("loan_id", F.col("score").alias("reloaded"))
-    return training.score(fitted, test).select("loan_id", "score").join(again, "loan_id")
+    """Scores by a stored and reloaded pipeline of unscaled features, next to those of the fitted model on scaled ones."""
+    fitted, data = trained(spark, sf_dir, "Logistic Regression"), prepared(spark, sf_dir)
+    path = sinks.save_model(training.scoring_pipeline(fitted, data), scratch_path(spark, "model"))
+    raw = feature_table(spark, sf_dir).select("loan_id", *data.features)
+    again = training.score(PipelineModel.load(path), raw).select("loan_id", F.col("score").alias("reloaded"))
+    return training.score(fitted.model, data.test).select("loan_id", "score").join(again, "loan_id")
 
 
 @query("x02_tree_attributions")

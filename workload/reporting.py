@@ -21,7 +21,7 @@ def r01(spark, sf_dir):
 
 @query("r02_feature_histogram", f"""
 WITH complete AS (SELECT SeriousDlqin2yrs, MonthlyIncome FROM borrowers
-  WHERE MonthlyIncome IS NOT NULL AND SeriousDlqin2yrs IS NOT NULL ORDER BY md5(CAST(loan_id AS VARCHAR)), loan_id LIMIT 50000),
+  WHERE MonthlyIncome IS NOT NULL AND SeriousDlqin2yrs IS NOT NULL),
 {bins_sql('complete', 'MonthlyIncome', 60).replace('SELECT CAST(MonthlyIncome', 'SELECT SeriousDlqin2yrs, CAST(MonthlyIncome')}
 SELECT SeriousDlqin2yrs, bin, round(low + bin * width, 6) AS bin_start, round(low + (bin + 1) * width, 6) AS bin_end, count(*) AS n
 FROM binned GROUP BY SeriousDlqin2yrs, bin, low, width""")
@@ -30,13 +30,21 @@ def r02(spark, sf_dir):
     return rounded(found, 6, "bin_start", "bin_end")
 
 
+BEST_SUMMARY = SUMMARY.replace("model = 'm1'", "model = (SELECT model FROM best)")
+
+
+def best_loans(spark, sf_dir):
+    """The portfolio of the best model."""
+    return loans(spark, sf_dir, evaluation.best_model(metrics(spark, sf_dir)))
+
+
 @query("r03_key_figures", f"""
-WITH {SUMMARY}, {BEST}
+WITH {BEST}, {BEST_SUMMARY}
 SELECT total_loans, round(total_ead, 2) AS total_ead, round(total_expected_loss, 2) AS total_expected_loss,
   round(el_as_pct_of_ead, 6) AS el_as_pct_of_ead, model AS best_model, round(auc_roc, 6) AS best_auc, round(ks_statistic, 6) AS best_ks
 FROM summary, best""")
 def r03(spark, sf_dir):
-    figures = reporting.key_figures(loss.portfolio_summary(loans(spark, sf_dir)), metrics(spark, sf_dir))
+    figures = reporting.key_figures(loss.portfolio_summary(best_loans(spark, sf_dir)), metrics(spark, sf_dir))
     return rounded(rounded(figures, 2, "total_ead", "total_expected_loss"), 6, "el_as_pct_of_ead", "best_auc", "best_ks")
 
 
@@ -49,7 +57,7 @@ def r04(spark, sf_dir):
 
 def _parts(spark, sf_dir):
     importance = attribution.global_importance(view(spark, sf_dir, "attr"))
-    return metrics(spark, sf_dir), importance, loss.portfolio_summary(loans(spark, sf_dir))
+    return metrics(spark, sf_dir), importance, loss.portfolio_summary(best_loans(spark, sf_dir))
 
 
 @query("r05_model_card")

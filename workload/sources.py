@@ -65,7 +65,7 @@ def s02(spark, sf_dir):
 SELECT CAST(loan_id AS INT) AS loan_id, loan_amnt, grade, annual_inc, loan_status FROM loans""")
 def s02_inferred(spark, sf_dir):
     loans = view(spark, sf_dir, "loans").select("loan_id", "loan_amnt", "grade", "annual_inc", "loan_status")
-    return readers.read_csv(spark, _csv_copy(spark, loans, "loans-csv"), infer_schema=True)
+    return readers.read_csv(spark, _csv_copy(spark, loans, "loans-csv"), inferSchema=True)
 
 
 _LOAN_VIEW = ("loan_amnt", "funded_amnt", "term", "int_rate", "installment", "grade", "sub_grade", "emp_length", "home_ownership",
