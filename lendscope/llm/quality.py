@@ -197,7 +197,8 @@ def learn(documents: DataFrame, labels: DataFrame, documents_limit: int = SAMPLE
     chosen = written(known.orderBy(order, "doc_id").limit(documents_limit))
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
     blobs, label, n = [], [], 0
-    for row in rows.mapInArrow(_sample_features, "quality long, x binary").toLocalIterator():
+    # Written first: all tasks work at once, and the rows are then read one partition at a time.
+    for row in written(rows.mapInArrow(_sample_features, "quality long, x binary")).toLocalIterator():
         x = np.frombuffer(row.x, np.float16).reshape(-1, FEATURES)
         if n + len(x) <= passages_limit:
             n += len(x)
