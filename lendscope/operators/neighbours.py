@@ -1,6 +1,7 @@
-"""Exact nearest neighbours between the rows of one frame.
+"""Nearest neighbours between the rows of one frame: approximate in linear time, or exact.
 
-Rows are placed in the leaves of a small space partition. Each leaf gives its rows an upper
+``projected_neighbours`` compares rows inside the leaves of several random-projection trees only, so its
+cost is linear in the rows. ``nearest_neighbours`` is exact: rows are placed in the leaves of a small space partition. Each leaf gives its rows an upper
 bound of their neighbour distance, and a row is then sent only to leaves whose bounding box
 comes within that bound, so no neighbour is missed and far leaves are never compared. Leaves
 with many visitors are split over several tasks.
@@ -24,6 +25,104 @@ VISITORS_PER_TASK = 20_000
 MOST_TASKS = 10_000
 
 
+TREES = 8
+TREE_LEAF_ROWS = 1_000
+
+
+def projected_neighbours(
+    points: DataFrame,
+    features: Sequence[str],
+    k: int,
+    trees: int = TREES,
+    leaf_rows: int = TREE_LEAF_ROWS,
+    most_leaves: int = MOST_LEAVES,
+    seed: int = 1,
+) -> DataFrame:
+    """Per wanted point (key): ``k`` near other rows as vectors, the best found in any of ``trees`` trees.
+
+    Input and result are those of :func:`nearest_neighbours`. Each tree cuts the rows at medians along
+    random directions, fitted on a bounded sample, and a row meets the rows of its own leaf: it visits exactly
+    ``trees`` leaves. A leaf that turns out larger than ``leaf_rows`` is cut further inside its task.
+    With one leaf the result is exact; else recall grows with trees and leaf size.
+    """
+    features = list(features)
+    columns = [F.col(f"`{c}`").cast("double").alias(c) for c in features]
+    rows = cut_lineage(points.select(F.col("key").cast("long").alias("key"), F.col("copies").cast("long").alias("copies"), "wanted", *columns))
+    n = rows.count()
+    leaves = max(1, min(most_leaves, -(-n // leaf_rows)))
+    trees = trees if n > leaf_rows else 1
+    sample = hash_sample(rows, leaves * SAMPLE_PER_LEAF, "key").select(*[F.col(f"`{c}`") for c in features]).toPandas().to_numpy(float)
+    forest = [_projection_tree(sample, max(2, len(sample) // leaves), np.random.default_rng([seed, t])) for t in range(trees)]
+
+    def place(batches):
+        for pdf in batches:
+            x = pdf[features].to_numpy(float)
+            for t, cuts in enumerate(forest):
+                node = np.zeros(len(x), dtype=np.int64)
+                for number, direction, cut in cuts:
+                    at = np.flatnonzero(node == number)
+                    node[at] = 2 * number + 1 + (x[at] @ direction > cut)
+                yield pdf.assign(tree=t, leaf=node)
+
+    names = ", ".join(f"`{c}` double" for c in features)
+    placed = rows.mapInPandas(place, f"key long, copies long, wanted boolean, {names}, tree int, leaf long")
+
+    def near(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, keys, copies = pdf[features].to_numpy(float), pdf["key"].to_numpy(), pdf["copies"].to_numpy()
+        wanted = pdf["wanted"].to_numpy()
+        rng = np.random.default_rng([seed, int(pdf["tree"].iloc[0]), int(pdf["leaf"].iloc[0]) % 2**31])
+        pending, out = [np.argsort(keys)], []
+        while pending:
+            own = pending.pop()
+            if len(own) > leaf_rows:
+                along = x[own] @ rng.normal(size=x.shape[1])
+                high = along > np.median(along)
+                if high.any() and not high.all():
+                    pending += [own[~high], own[high]]
+                    continue
+                if len(own) > 4 * leaf_rows:  # distinct rows that no direction tells apart
+                    pending += np.array_split(own, -(-len(own) // leaf_rows))
+                    continue
+            asked = own[wanted[own]]
+            if not len(asked):
+                continue
+            d = np.maximum(0, (x[asked]**2).sum(1)[:, None] + (x[own]**2).sum(1)[None, :] - 2 * x[asked] @ x[own].T)
+            d[keys[asked][:, None] == keys[own][None, :]] = 0.0
+            best = np.argpartition(d, min(k, len(own) - 1), axis=1)[:, : k + 1]
+            for i, row in enumerate(best):
+                entries = []
+                for j in row:
+                    held = int(copies[own[j]]) - int(own[j] == asked[i])
+                    if held:
+                        entries.append({"distance": float(d[i, j]), "key": int(keys[own[j]]), "copies": min(held, k), "vector": x[own[j]].tolist()})
+                out.append((int(keys[asked[i]]), entries))
+        return pd.DataFrame({"key": pd.Series([r[0] for r in out], dtype="int64"), "found": pd.Series([r[1] for r in out], dtype=object)})
+
+    found = placed.groupBy("tree", "leaf").applyInPandas(
+        near, "key long, found array<struct<distance: double, key: long, copies: int, vector: array<double>>>")
+    merged = F.array_sort(F.array_distinct(F.transform(F.flatten(F.collect_list("found")), lambda f: F.struct(
+        F.round(f["distance"], 9).alias("distance"), f["key"].alias("key"), f["copies"].alias("copies"), f["vector"].alias("vector")))))
+    repeated = F.flatten(F.transform(merged, lambda f: F.array_repeat(f["vector"], f["copies"])))
+    return found.groupBy("key").agg(F.slice(repeated, 1, k).alias("neighbours"))
+
+
+def _projection_tree(sample: np.ndarray, leaf: int, rng: np.random.Generator) -> list[tuple[int, np.ndarray, float]]:
+    """Cuts (node, direction, median) from the root down; node i has the children 2 i + 1 and 2 i + 2."""
+    cuts, pending = [], [(0, np.arange(len(sample)))]
+    while pending:
+        node, rows = pending.pop(0)
+        if len(rows) <= leaf or node > 2**50:
+            continue
+        direction = rng.normal(size=sample.shape[1])
+        along = sample[rows] @ direction
+        cut = float(np.median(along))
+        high = along > cut
+        if high.any() and not high.all():
+            cuts.append((node, direction, cut))
+            pending += [(2 * node + 1, rows[~high]), (2 * node + 2, rows[high])]
+    return cuts
+
+
 def nearest_neighbours(
     points: DataFrame,
     features: Sequence[str],

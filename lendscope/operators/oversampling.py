@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lendscope import fixed_values as fx
 from lendscope.functions import hash52
 from lendscope.operators.cleaning import _c
-from lendscope.operators.neighbours import LEAF_ROWS, nearest_neighbours
+from lendscope.operators.neighbours import nearest_neighbours, projected_neighbours
 from lendscope.operators.quantiles import exact_quantiles
 
 BLOCK = 10_000
+SEARCHES = {"projected": projected_neighbours, "exact": nearest_neighbours}
 
 
 def _uniform(*parts: Column) -> Column:
@@ -27,10 +28,14 @@ def synthetic_minority(
     id_column: str = "loan_id",
     k: int = fx.SMOTE_NEIGHBOURS,
     seed: int = fx.SEED,
-    leaf_rows: int = LEAF_ROWS,
+    method: str = "projected",
+    **options,
 ) -> DataFrame:
     """Synthetic minority rows that bring both classes to the same size.
 
+    ``method`` "projected" searches neighbours in random-projection trees, in linear time; "exact" compares
+    all leaves that may hold a neighbour. ``options`` go to the search. Ids may be of any type.
+
     Every minority row is the base of equally many synthetic rows (the remainder goes to the
     rows with the lowest id hash). Each lies between its base and one of the ``k`` nearest
     minority rows. Columns: the features, target, base_key and neighbour (vectors' origin).
@@ -50,12 +55,16 @@ def synthetic_minority(
     if rest:
         cut = exact_quantiles(rows, {"cut": (key, rest / few, lambda _: rest - 1)})["cut"]
         chosen = (key <= cut).cast("int")
+    known = dict(rows.dtypes)[id_column]
+    number = _c(id_column) if known in ("bigint", "int", "smallint", "tinyint") else F.xxhash64(_c(id_column))
     vectors = [_c(c).cast("double").alias(c) for c in features]
-    distinct = rows.select(_c(id_column).alias("key"), chosen.alias("_more"), *vectors).groupBy(*[_c(c) for c in features]).agg(
+    distinct = rows.select(number.cast("long").alias("key"), chosen.alias("_more"), *vectors).groupBy(*[_c(c) for c in features]).agg(
         F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"), F.sum("_more").alias("_more")
     )
     counted = distinct.withColumn("_n", F.col("copies") * base + F.col("_more"))
-    found = nearest_neighbours(counted.withColumn("wanted", F.col("_n") > 0), features, k, leaf_rows)
+    if method not in SEARCHES:
+        raise ValueError(f"unknown method: {method}")
+    found = SEARCHES[method](counted.withColumn("wanted", F.col("_n") > 0), features, k, **options)
     blocks = counted.filter("_n > 0").join(found, "key").withColumn("_block", F.explode(F.expr(f"sequence(0L, (_n - 1) div {BLOCK}L)")))
     spread = blocks.repartition(F.col("key"), F.col("_block"))
     numbered = spread.withColumn(

@@ -140,3 +140,31 @@ def test_macro_join_does_not_shuffle_loans(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     with pytest.raises(ValueError):
         macro.join_macro(loans, table, most_quarters=8)
+
+
+def test_projected_neighbours_recall(spark):
+    rng = np.random.default_rng(1)
+    x = np.round(rng.normal(size=(3000, 10)) @ rng.normal(size=(10, 10)), 2)
+    x[:40] = x[0]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=[f"f{i}" for i in range(10)]).assign(id=range(3000)))
+    names = [f"f{i}" for i in range(10)]
+    points = df.groupBy(*names).agg(F.min("id").alias("key"), F.count(F.lit(1)).alias("copies")).withColumn("wanted", F.col("key") % 5 == 0)
+    found = neighbours.projected_neighbours(points, names, 5, leaf_rows=300).collect()
+    assert {r["key"] for r in found} == {r["key"] for r in points.filter("wanted").collect()}
+    hits = 0
+    for r in found:
+        near = np.sort(((x - x[r["key"]]) ** 2).sum(1))[1:6]
+        got = np.sort([((np.array(v) - x[r["key"]]) ** 2).sum() for v in r["neighbours"]])
+        assert len(got) == 5 and (got >= near - 1e-6).all()
+        hits += np.isclose(got[:, None], near[None, :]).any(axis=1).sum()
+    assert hits >= 0.85 * 5 * len(found)
+    exact = neighbours.projected_neighbours(points, names, 5, leaf_rows=5000).collect()
+    assert all(np.isclose(np.sort([((np.array(v) - x[r["key"]]) ** 2).sum() for v in r["neighbours"]]),
+                          np.sort(((x - x[r["key"]]) ** 2).sum(1))[1:6]).all() for r in exact)
+
+
+def test_oversampling_takes_text_ids(spark):
+    from lendscope.operators import oversampling
+
+    df = spark.range(300).select(F.concat(F.lit("L"), "id").alias("loan_id"), F.rand(3).alias("a"), (F.col("id") % 10 == 0).cast("int").alias("y"))
+    assert oversampling.synthetic_minority(df, ["a"], "y").count() == 240
