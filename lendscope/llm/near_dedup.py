@@ -123,7 +123,8 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
        a task sends out no more links than join components. No pair becomes a row before it is linked.
     """
     signatures = written(documents.select("doc_id", "text").mapInArrow(_signatures, _SIGNATURE))
-    classes = signatures.where("n_shingles > 0").groupBy("a", "b").agg(F.min("doc_id").alias("rep"))
+    # A table of its own: the joins below then deal out their sides anew, and a hot class can be split.
+    classes = written(signatures.where("n_shingles > 0").groupBy("a", "b").agg(F.min("doc_id").alias("rep")))
     chosen = signatures.join(classes.select("a", "b", F.col("rep").alias("doc_id")), ["a", "b", "doc_id"], "left_semi")
     chosen = chosen.dropDuplicates(["a", "b"])
     keys = chosen.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"))
