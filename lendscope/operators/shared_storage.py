@@ -29,11 +29,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """The same rows read back from a Parquet table in the shared folder.
 
     Later steps start from that table: executor loss costs no earlier work, and its columns can
-    still be pruned, which a row checkpoint does not allow.
+    still be pruned, which a row checkpoint does not allow. Files are packed with zstd, as
+    the shared folder's space is what these tables cost.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -35,9 +35,19 @@ def prepared(spark, sf_dir):
     return training.prepare(feature_table(spark, sf_dir), TARGET)
 
 
+_fitted = {}
+
+
 @lru_cache(maxsize=16)
 def trained(spark, sf_dir, name):
-    return training.train_model(name, prepared(spark, sf_dir))
+    model = training.train_model(name, prepared(spark, sf_dir))
+    _fitted.setdefault((spark, sf_dir), []).append(model)
+    return model
+
+
+def fitted_models(spark, sf_dir):
+    """Models that queries have fitted so far."""
+    return _fitted.get((spark, sf_dir), [])
 
 
 @lru_cache(maxsize=4)
