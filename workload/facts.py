@@ -124,7 +124,7 @@ def p04(spark, sf_dir):
 @query("c05_approx_median_facts", f"SELECT unnest(['{"', '".join(COLUMNS)}']) AS feature, true AS within_one_percent")
 def c05_approx(spark, sf_dir):
     """Whether at most 51 % of the values lie strictly on either side of each approximate median."""
-    rows = cut_lineage(cleaning.drop_duplicate_rows(cleaning.drop_null_target(snapshot(spark, sf_dir), TARGET), "loan_id"))
+    rows = cut_lineage(plain(cleaning.drop_duplicate_rows(cleaning.drop_null_target(snapshot(spark, sf_dir), TARGET), "loan_id")))
     found = cleaning.median_values(rows, COLUMNS, "approx")
     entries = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"), F.lit(found[c]).alias("median")) for c in COLUMNS]
     sides = rows.select(F.inline(F.array(*entries))).filter("value IS NOT NULL").groupBy("feature").agg(
@@ -140,7 +140,7 @@ def w01(spark, sf_dir):
     raw.write.option("header", True).csv(path)
     table = ingestion.snapshot_table(readers.read_csv(spark, path, schemas.snapshot_schema()), view(spark, sf_dir, "macro_q"), "exact", models.MACRO_QUARTER)
     stored = plain(spark.read.parquet(sinks.write_feature_store(table, "snapshot", store)[0]))
-    return stored.withColumns({f"log_{c}": F.round(f"log_{c}", 6) for c in fx.SNAPSHOT_LOG_COLUMNS})
+    return stored.withColumn("loan_id", F.col("loan_id").cast("long")).withColumns({f"log_{c}": F.round(f"log_{c}", 6) for c in fx.SNAPSHOT_LOG_COLUMNS})
 
 
 @query("w03_run_facts", f"WITH {PARTS} SELECT {TEST_ROWS} AS loans, 1::BIGINT AS best_models, 1::BIGINT AS top_features")
