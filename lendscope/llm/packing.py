@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +22,6 @@ TASK_PIECES = 65_536
 SEQUENCES = 1 << 36  # sequence numbers of one task
 
 
-@functools.cache
 def encoder(path: str):
     """``f(text)`` to an array of ids, for a tokenizers (.json) or tiktoken (.tiktoken) vocabulary.
 
