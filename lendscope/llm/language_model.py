@@ -1,7 +1,12 @@
-"""Log-probabilities of documents under an n-gram model, by a weighted backoff automaton."""
+"""Log-probabilities of documents under an n-gram model with backoff.
+
+``build`` and ``traverse`` hold a model in one process, as a weighted backoff automaton. ``score`` gives what that
+automaton gives with every n-gram of the training texts in it, but no process ever holds the model.
+"""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -12,14 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.llm.counting import key_counts
-from lendscope.llm.tables import partitions, written
-from lendscope.llm.words import chunks, seeds, split_words
+from lendscope.llm.tables import partitions
+from lendscope.llm.words import chunks, mix, rolling, seeds, split_words
 
 ORDER = 3
-SHARE = 1e-6  # n-grams with this share of all training tokens have arcs: at most 1 / SHARE of each length
 DISCOUNT = 0.75
 SEGMENT = 256
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
+RUN_TOKENS = 1_000_000
 FOLDS, HELD = 7, 2
 END = seeds(1, 9_999)[0]
 
@@ -43,7 +48,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Grams(NamedTuple):
-    """Frequent n-grams of one length. A key is the number of the n-gram's prefix times ``base`` plus its last word."""
+    """N-grams of one length. A key is the number of the n-gram's prefix times ``base`` plus its last word."""
 
     keys: np.ndarray  # sorted; of single words: their hashes
     counts: np.ndarray
@@ -59,7 +64,7 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 def _numbers(levels: list[Grams], hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """For each length, the number of the frequent n-gram that ends at each token, or -1."""
+    """For each length, the number of the known n-gram that ends at each token, or -1."""
     words = _find(levels[0].keys, hashes)
     out, base = [words], np.uint64(len(levels[0].keys))
     inner = np.ones(len(hashes), bool)
@@ -80,7 +85,7 @@ class Automaton(NamedTuple):
     A state without an arc for a word fails to the state of its longest proper suffix, at the cost of its backoff weight.
     """
 
-    words: np.ndarray  # hashes of frequent words, sorted
+    words: np.ndarray  # hashes of known words, sorted
     word_counts: np.ndarray
     arc_keys: np.ndarray  # sorted
     arc_target: np.ndarray
@@ -90,7 +95,7 @@ class Automaton(NamedTuple):
 
 
 def build(levels: list[Grams], total: int, discount: float, order: int) -> Automaton:
-    """The automaton of frequent n-grams. The probability of a word after a state is (count - DISCOUNT) / count of
+    """The automaton of some n-grams. The probability of a word after a state is (count - DISCOUNT) / count of
     the state; what its words leave goes to the next shorter state, so that all probabilities add up to one."""
     n_words = len(levels[0].keys)
     base = np.uint64(max(n_words, 1))
@@ -132,9 +137,9 @@ def build(levels: list[Grams], total: int, discount: float, order: int) -> Autom
 
 
 def traverse(model: Automaton, words: np.ndarray, first: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """log10 probability of each token by one walk from left to right; ``words`` are numbers, -1 for a rare word.
+    """log10 probability of each token by one walk from left to right; ``words`` are numbers, -1 for an unknown word.
 
-    A rare word costs the failures to state 0; its own probability is added elsewhere. A state depends
+    An unknown word costs the failures to state 0; its own probability is added elsewhere. A state depends
     on order - 1 tokens only, so a text is walked as segments that begin that much earlier, all of
     them in step: each step moves every segment by a token.
     """
@@ -172,98 +177,248 @@ def traverse(model: Automaton, words: np.ndarray, first: np.ndarray, order: int
     return out
 
 
-def score(documents: DataFrame, order: int = ORDER, share: float = SHARE) -> DataFrame:
+def _boxed(*arrays: np.ndarray) -> bytes:
+    """Arrays as packed planes of single bytes: those of small numbers take next to nothing."""
+    flat = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays if len(a))
+    return pickle.dumps(([(a.dtype.str, len(a)) for a in arrays], len(flat), pa.compress(flat, "zstd", asbytes=True) if flat else b""), 5)
+
+
+def _unboxed(data: bytes) -> list[np.ndarray]:
+    kinds, size, packed = pickle.loads(data)
+    flat = np.frombuffer(pa.decompress(packed, size, "zstd", asbytes=True), np.uint8) if size else np.zeros(0, np.uint8)
+    out, at = [], 0
+    for kind, n in kinds:
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(flat[at:at + n * width].reshape(width, n).T).reshape(-1).view(kind))
+        at += n * width
+    return out
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as steps, which ``np.cumsum`` undoes."""
+    return np.diff(keys, prepend=np.uint64(0)).astype(np.uint64)
+
+
+def _grams(hashes: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Keys of all n-grams of the texts, each once and sorted, and for each length the place in them of the n-gram that
+    ends at each token (-1 where the text has fewer tokens before). Item 0 of the list stands for the empty n-gram."""
+    inside = np.arange(len(hashes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    ends = [np.flatnonzero(inside >= n) for n in range(order)]
+    keys = [hashes] + [rolling(hashes, n + 1, n + 1)[ends[n] - n] for n in range(1, order)]
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    at, done = [np.full(len(hashes), -1, np.int64)], 0
+    for end in ends:
+        at.append(np.full(len(hashes), -1, np.int64))
+        at[-1][end] = place[done:done + len(end)]
+        done += len(end)
+    return distinct, at
+
+
+def _dealt(keys: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
+    """(part, start, end) of sorted keys: parts are equal ranges of keys, which are hashes."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    return zip(part[cuts[:-1]].tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+
+
+_SENT = "part long, run long, own boolean, blob binary"
+
+
+def _sent(rows: list[tuple[int, int, bool, bytes]]) -> dict:
+    part, run, own, blob = zip(*rows, strict=True)
+    return {"part": pa.array(part, pa.int64()), "run": pa.array(run, pa.int64()), "own": pa.array(own, pa.bool_()), "blob": pa.array(blob, pa.binary())}
+
+
+def _own_part(run: int, parts: int) -> int:
+    """Where a run's own row waits for the answers: anywhere, dealt evenly."""
+    return int(mix(np.array([run + 1], np.uint64))[0] % np.uint64(parts))
+
+
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of keys, where each distinct key begins in it, and how often it is there."""
+    order = np.argsort(keys, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0])) if len(keys) else np.zeros(0, np.int64)
+    return order, starts, np.diff(np.append(starts, len(keys)))
+
+
+def _answered(table: pa.Table, answers) -> pa.Table:
+    """A part's rows: those of runs go on as they are, the others get what ``answers`` makes of all their blobs."""
+    rows = list(zip(*(table.column(c).to_pylist() for c in ("part", "run", "own", "blob")), strict=True))
+    asked = [r for r in rows if not r[2]]
+    found = answers([r[3] for r in asked]) if asked else []
+    return pa.table(_sent([r for r in rows if r[2]] + [(p, run, False, blob) for (p, run, _, _), blob in zip(asked, found, strict=True)]))
+
+
+def _gathered(table: pa.Table) -> tuple[int, list[np.ndarray], list[bytes]]:
+    """A run's number, its own arrays, and the answers in order of keys."""
+    rows = list(zip(*(table.column(c).to_pylist() for c in ("own", "part", "run", "blob")), strict=True))
+    own = next(r for r in rows if r[0])
+    return own[2], _unboxed(own[3]), [r[3] for r in sorted((r for r in rows if not r[0]), key=lambda r: r[1])]
+
+
+def _total_counts(blobs: list[bytes]) -> list[bytes]:
+    """For each key asked: its count over all runs times four, plus two in the first run that has learnt from it,
+    plus one if some run has it as a context in a row that is held out."""
+    pairs = [_unboxed(b) for b in blobs]
+    keys = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in pairs])
+    sent = np.concatenate([p[1] for p in pairs])
+    order, starts, times = _groups(keys)
+    sent = sent[order]
+    counts = sent >> 1
+    total, context = np.add.reduceat(counts, starts), np.bitwise_or.reduceat(sent & 1, starts)
+    has = counts > 0
+    before = np.cumsum(has) - has
+    value = np.empty(len(keys), np.int64)
+    value[order] = np.repeat(4 * total + context, times) + 2 * (has & (before == np.repeat(before[starts], times)))
+    return [_boxed(v) for v in np.split(value, np.cumsum([len(p[0]) for p in pairs])[:-1])]
+
+
+def _total_contexts(blobs: list[bytes]) -> list[bytes]:
+    """For each context asked: how many words follow it, and the sum of their counts after the next shorter context."""
+    pairs = [_unboxed(b) for b in blobs]
+    kinds, lower = (np.concatenate([p[c] for p in pairs]) for c in (1, 2))
+    keys = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in pairs])
+    order, starts, times = _groups(keys)
+    out = []
+    for values in (kinds, lower):
+        total = np.empty(len(keys), np.int64)
+        total[order] = np.repeat(np.add.reduceat(values[order], starts), times)
+        out.append(total)
+    answers, done = [], 0
+    for p in pairs:
+        wanted = done + np.flatnonzero(p[3])
+        answers.append(_boxed(out[0][wanted], out[1][wanted]))
+        done += len(p[0])
+    return answers
+
+
+def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of (doc_id, text).
 
     Learns from the rows that ``held_out`` leaves. Tokens are words with A-Z lower-cased and an end after each
     text; null and empty texts are one end. base_score is the add-one unigram log10 probability; score that of the backoff
-    automaton. Both know all training words, and one unknown word that stands for all others.
-
-    Single words are discounted: (count - D) / N with D from the words seen once and twice; what that
-    leaves is the unknown word's. N-grams of up to ``order`` words have arcs if they make up ``share`` of the
-    training tokens (two occurrences at least); rarer ones are reached through backoff arcs. So each length has at most
-    1 / share n-grams whatever the corpus, which bounds what is sent to every task, and the rule is the same at every size.
-    Words below the share keep exact counts: they are scored by a join over (row, word) pairs. Frequent
-    words, the hot keys, never enter that join.
+    model. Both know all training words, and one unknown word that stands for all others.
+
+    Every n-gram of up to ``order`` tokens that a training text holds is in the model, once or more, at every size of the
+    corpus. Its probability is (count - DISCOUNT) / count of its first tokens; what the words after a context leave goes to
+    the next shorter context, so that all probabilities add up to one. Single words are discounted: (count - D) / N
+    with D from the words seen once and twice; what that leaves is the unknown word's.
+
+    1. Tasks cut rows into runs of about RUN_TOKENS tokens. A run sends each distinct n-gram once, with its count in training rows,
+       to the part of its hash, and what it needs to go on (its words as numbers) to any part, which hands it on.
+    2. Parts add up the counts and answer every run. So an n-gram that is everywhere costs one entry per run, and
+       parts are even however hot a word is.
+    3. A run now knows the counts of all its n-grams. Where one was not seen, the context's backoff weight is due. It
+       depends on all words seen after the context: each n-gram is reported to its context by one run, if any held-out row has that context.
+    4. A second round of the same kind adds up these reports and answers the runs that need weights.
     """
-    docs = documents.select("doc_id", "text")
+    docs = documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held"))
     spark = docs.sparkSession
-    training = docs.where(~held_out(F.col("doc_id"))).select("text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = partitions(spark, size, PART_BYTES)
-    counts = written(key_counts(training, lambda texts: tokens(texts)[0], parts))
+    counts = key_counts(docs.where("not held").select("text"), lambda texts: tokens(texts)[0], parts)
     facts = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*"), F.count(F.when(F.col("count") == 1, 1)),
                        F.count(F.when(F.col("count") == 2, 1))).first()
     total, kinds, once, twice = (int(x) for x in facts)
     discount = once / (once + 2 * twice) if once and twice else DISCOUNT
-    least = max(2, int(np.ceil(share * total)))
-
-    def collected(found: DataFrame) -> Grams:
-        table = found.toArrow()  # at most 1 / share rows
-        keys, n = table.column("key").to_numpy().view(np.uint64), table.column("count").to_numpy()
-        ordered = np.argsort(keys)
-        return Grams(keys[ordered], n[ordered])
-
-    levels = [collected(counts.where(F.col("count") >= least))]
-    while len(levels) < order and len(levels[-1].keys):
-        known = list(levels)
-
-        def longer(texts: pa.Array, known=known) -> np.ndarray:
-            hashes, first = tokens(texts)
-            numbers = _numbers(known, hashes, first)
-            inner = np.ones(len(hashes), bool)
-            inner[first[:-1]] = False
-            before = np.concatenate([[-1], numbers[-1][:-1]])
-            # An n-gram can only be frequent if both n-grams of one word less in it are.
-            possible = np.flatnonzero(inner & (before >= 0) & (numbers[-1] >= 0))
-            return before[possible].astype(np.uint64) * np.uint64(len(known[0].keys)) + numbers[0][possible].astype(np.uint64)
-
-        levels.append(collected(key_counts(training, longer, parts, least)))
-    model = build(levels, total, discount, order)
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
-        log_counts = np.log10(model.word_counts + 1.0)
+    unknown = float(np.log10(discount * kinds / total)) if total else 0.0
+
+    def send(run: int, gathered: list[tuple]) -> pa.RecordBatch:
+        hashes, lengths, ids, known, held = (np.concatenate(c) for c in zip(*gathered, strict=True))
+        words, numbers = np.unique(hashes, return_inverse=True)
+        own = _boxed(_steps(words), numbers.astype(np.uint32), lengths.astype(np.uint32), ids, known.astype(np.uint16), held.astype(np.uint16))
+        distinct, at = _grams(hashes, lengths, order)
+        learnt = np.repeat(~held, lengths)
+        times = sum(np.bincount(a[learnt & (a >= 0)], minlength=len(distinct)) for a in at[1:])
+        context = np.zeros(len(distinct), np.int64)
+        for n in range(2, order + 1):
+            context[at[n - 1][np.flatnonzero(~learnt & (at[n] >= 0)) - 1]] = 1
+        rows = [(part, run, False, _boxed(_steps(distinct[a:b]), 2 * times[a:b] + context[a:b])) for part, a, b in _dealt(distinct, parts)]
+        return pa.RecordBatch.from_pydict(_sent([(_own_part(run, parts), run, True, own), *rows]))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, gathered, n = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for part in chunks(batch, "text"):
                 hashes, first = tokens(part.column("text"))
-                n = part.num_rows
-                numbers = _find(model.words, hashes)
-                logs = traverse(model, numbers, first, order)
-                common = numbers >= 0
-                base = np.zeros(len(hashes))
-                base[common] = log_counts[numbers[common]]
-                starts = first[:-1]
-                rare = np.flatnonzero(~common)
-                owner = np.searchsorted(first, rare, side="right") - 1
-                order_ = np.lexsort((hashes[rare], owner))
-                owner, key = owner[order_], hashes[rare][order_]
-                new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])])) if len(key) else np.zeros(0, np.int64)
-                times = np.diff(np.append(new, len(key)))
-                offsets = pa.array(np.searchsorted(owner[new], np.arange(n + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(row + np.arange(n)), part.column("doc_id"), pa.array(np.diff(first)),
-                    pa.array(np.add.reduceat(common.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
-                    pa.array(np.add.reduceat(logs, starts)),
-                    pa.ListArray.from_arrays(offsets, pa.array(key[new].view(np.int64))),
-                    pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))],
-                    names=["row", "doc_id", "n_tokens", "n_common", "base", "logs", "rare", "times"])
-                row += n
-
-    walked = written(docs.mapInArrow(
-        walk, "row long, doc_id long, n_tokens long, n_common long, base double, logs double, rare array<long>, times array<int>"))
-    pairs = walked.select("row", F.explode(F.arrays_zip("rare", "times")).alias("word"))
-    pairs = pairs.select("row", F.col("word.rare").alias("key"), F.col("word.times").cast("long").alias("times"))
-    rare_counts = counts.where(F.col("count") < least)
-    known = F.col("count").isNotNull()
-    unknown = np.log10(discount * kinds / total) if total else 0.0
-    rare = pairs.join(rare_counts, "key", "left").groupBy("row").agg(
-        F.sum(F.when(known, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log10(F.coalesce(F.col("count"), F.lit(0)) + 1.0)).alias("rare_base"),
-        F.sum(F.col("times") * F.when(known, F.log10((F.col("count") - discount) / max(total, 1))).otherwise(float(unknown))).alias("rare_logs"))
-    rows = walked.drop("rare", "times").join(rare, "row", "left").na.fill(0, ["rare_known", "rare_base", "rare_logs"])
+                ids = part.column("doc_id")
+                gathered.append((hashes, np.diff(first), ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
+                                 ids.is_valid().to_numpy(zero_copy_only=False), part.column("held").to_numpy(zero_copy_only=False).astype(bool)))
+                n += len(hashes)
+                if n >= RUN_TOKENS:
+                    yield send(run, gathered)
+                    run, gathered, n = run + 1, [], 0
+        if n:
+            yield send(run, gathered)
+
+    def settle(table: pa.Table) -> pa.Table:
+        run, (words, numbers, lengths, ids, known, held), answers = _gathered(table)
+        lengths = lengths.astype(np.int64)
+        distinct, at = _grams(np.cumsum(words, dtype=np.uint64)[numbers], lengths, order)
+        value = np.concatenate([_unboxed(b)[0] for b in answers])
+        first_here, wanted = (value & 2) > 0, (value & 1) > 0
+        count = [np.where(a >= 0, (value >> 2)[a], 0) for a in at]
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        n_tokens = len(row)
+
+        follow, lower = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        logs, pending = np.zeros(n_tokens), np.ones(n_tokens, bool)
+        asked_key, asked_row, asked_facts = [], [], []
+        for n in range(order, 1, -1):
+            inner = np.flatnonzero(at[n] >= 0)
+            # Of each n-gram that this run reports, any one place.
+            place = np.full(len(distinct), -1, np.int64)
+            place[at[n][inner]] = inner
+            place = place[first_here & (place >= 0)]
+            place = place[wanted[at[n - 1][place - 1]]]
+            np.add.at(follow, at[n - 1][place - 1], 1)
+            np.add.at(lower, at[n - 1][place - 1], count[n - 1][place])
+            here = inner[pending[inner]]
+            seen = here[count[n][here] > 0]
+            logs[seen] += np.log10((count[n][seen] - DISCOUNT) / count[n - 1][seen - 1])
+            pending[seen] = False
+            due = here[(count[n][here] == 0) & (count[n - 1][here - 1] > 0)]
+            asked_key.append(at[n - 1][due - 1])
+            asked_row.append(row[due])
+            shorter = count[n - 2][due - 1] if n > 2 else np.full(len(due), total, np.int64)
+            asked_facts.append(np.stack([count[n - 1][due - 1], shorter, np.full(len(due), n, np.int64)]))
+        last = np.flatnonzero(pending)
+        once_seen = count[1][last] > 0
+        logs[last] += np.where(once_seen, np.log10(np.maximum(count[1][last] - discount, 1e-300) / max(total, 1)), unknown)
+
+        keys, rows_of = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (asked_key, asked_row))
+        context, first_ask, entry = np.unique(keys, return_index=True, return_inverse=True)
+        about = np.concatenate([np.zeros((3, 0), np.int64), *asked_facts], axis=1)[:, first_ask]
+        starts = np.cumsum(lengths) - lengths
+        own = _boxed(lengths, ids, known, held, np.add.reduceat((count[1] > 0).astype(np.int64), starts),
+                     np.add.reduceat(np.log10(count[1] + 1.0), starts), np.add.reduceat(logs, starts),
+                     *about, entry.astype(np.uint32), rows_of.astype(np.uint32))
+        asked = np.zeros(len(distinct), np.uint16)
+        asked[context] = 1
+        some = np.flatnonzero((follow > 0) | (asked > 0))
+        out = [(_own_part(run, parts), run, True, own)]
+        for part, a, b in _dealt(distinct[some], parts):
+            which = some[a:b]
+            out.append((part, run, False, _boxed(_steps(distinct[which]), follow[which], lower[which], asked[which])))
+        return pa.table(_sent(out))
+
+    def finish(table: pa.Table) -> pa.Table:
+        _, own, answers = _gathered(table)
+        lengths, ids, known, held, n_known, base, logs, here, shorter, n, entry, rows_of = own
+        found = [_unboxed(b) for b in answers]
+        follow, lower = (np.concatenate([np.zeros(0, np.int64), *c]).astype(float) for c in (zip(*found, strict=True) if found else ([], [])))
+        spared = np.where(n == 2, discount, DISCOUNT)
+        # What the context leaves, over what the shorter context gives to words not seen after the longer one.
+        weight = np.log10(DISCOUNT * follow / here) - np.log10((shorter - lower + spared * follow) / shorter)
+        return pa.table({
+            "doc_id": pa.array(ids, mask=known == 0), "held_out": held.astype(bool), "n_tokens": lengths, "n_known": n_known,
+            "base": base, "logs": logs + np.bincount(rows_of, weight[entry], len(lengths))})
+
+    rows = (docs.mapInArrow(ask, _SENT)
+            .groupBy("part").applyInArrow(lambda table: _answered(table, _total_counts), _SENT)
+            .groupBy("run").applyInArrow(settle, _SENT)
+            .groupBy("part").applyInArrow(lambda table: _answered(table, _total_contexts), _SENT)
+            .groupBy("run").applyInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, logs double"))
     return rows.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens",
-        (F.col("n_common") + F.col("rare_known")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("rare_base") - F.col("n_tokens") * float(np.log10(total + kinds + 1))).alias("base_score"),
-        (F.col("logs") + F.col("rare_logs")).alias("score"))
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * float(np.log10(total + kinds + 1))).alias("base_score"), F.col("logs").alias("score"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import functools
 import hashlib
 import math
 import re
@@ -83,6 +84,37 @@ def unigram_scores(rows):
                 sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in ws)) for i, ws in tokens.items()}
 
 
+def backoff_scores(rows, order=3, spared=0.75):
+    """{doc_id: text} to {doc_id: log10 probability} with all n-grams of the training texts."""
+    tokens = {i: [*WORD.findall(lower(t)), None] for i, t in rows.items()}
+    held = {i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2 for i in rows}
+    grams = collections.Counter(tuple(ws[k:k + n]) for i, ws in tokens.items() if not held[i]
+                                for n in range(1, order + 1) for k in range(len(ws) - n + 1))
+    single = [c for g, c in grams.items() if len(g) == 1]
+    total, once, twice = sum(single), single.count(1), single.count(2)
+    discount = once / (once + 2 * twice) if once and twice else spared
+    after = collections.defaultdict(list)
+    for g in grams:
+        after[g[:-1]].append(g[-1])
+
+    def probability(context, word):
+        g = (*context, word)
+        if not context:
+            return (grams[g] - discount if grams[g] else discount * len(single)) / total
+        if grams[g]:
+            return (grams[g] - spared) / grams[context]
+        if not grams[context]:
+            return probability(context[1:], word)
+        return weight(context) * probability(context[1:], word)
+
+    @functools.cache
+    def weight(context):
+        kept = sum(probability(context, w) for w in after[context])
+        return (1 - kept) / (1 - sum(probability(context[1:], w) for w in after[context]))
+
+    return {i: sum(math.log10(probability(tuple(ws[max(0, k - order + 1):k]), w)) for k, w in enumerate(ws)) for i, ws in tokens.items()}
+
+
 def edited(rows):
     """{doc_id: text} to {doc_id: (n_chars, sha256 of the edited text, next doc_id)}."""
     ids = sorted(rows, reverse=True)

@@ -138,6 +138,21 @@ def test_language_model(spark, documents, texts, nothing):
     assert {(r.train_tokens, r.base_score, r.score) for r in language_model.score(held).collect()} == {(0, 0.0, 0.0)}
 
 
+def test_language_model_keeps_every_ngram(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = {i: " ".join(rng.choice(["a b c", "b c d", "a c", "d", f"x{rng.randint(0, 60)}"]) for _ in range(rng.randint(0, 40))) for i in range(120)}
+    df = spark.createDataFrame([*rows.items(), (None, "a b c x1 new")], "doc_id long, text string").repartition(3)
+    want = brute.backoff_scores({**rows, None: "a b c x1 new"})
+    for run_tokens in (1_000_000, 200):
+        monkeypatch.setattr(language_model, "RUN_TOKENS", run_tokens)
+        monkeypatch.setattr(language_model, "PART_BYTES", 1_000)
+        assert _by_id(language_model.score(df), "score") == {i: (pytest.approx(w, rel=1e-9),) for i, w in want.items()}
+    # An n-gram seen twice among many is not forgotten: its repeat outweighs its words.
+    often = [(i, "the " * 4000) for i in range(40)] + [(i, f"one two three four five w{i}") for i in range(40, 60)]
+    scores = {i: s for i, (s,) in _by_id(language_model.score(spark.createDataFrame(often, "doc_id long, text string")), "score").items()}
+    assert scores == {i: pytest.approx(w, rel=1e-9) for i, w in brute.backoff_scores(dict(often)).items()}
+
+
 def test_fingerprints(spark, documents, texts, nothing):
     got = {r.doc_id: r for r in fingerprints.document_fingerprints(documents).collect()}
     want = brute.edited(texts)
