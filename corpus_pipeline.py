@@ -20,8 +20,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their source's boilerplate lines; n_chars follows. No document goes."""
-    kept = line_dedup.drop_boilerplate(docs)
+    """Texts without their source's boilerplate lines; n_chars follows. No document goes, and no text vanishes because its
+    copies make up much of a source: copies count once, and one near copy keeps the lines that all share."""
+    kept = line_dedup.drop_boilerplate(docs, one_stays="doc_id")
     return kept.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(*columns(docs.columns))
 
 

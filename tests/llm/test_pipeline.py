@@ -1,5 +1,7 @@
 """The pipeline, stage by stage, against plain Python on what the stage before has kept."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from lendscope.llm import line_dedup
 from lendscope.llm.tables import table, written
@@ -47,3 +49,22 @@ def test_stages(spark, small_dir):
             assert {r.doc_id for r in rows} == set(before)
         docs = after
     assert seen == [name for name, _ in corpus_pipeline.STAGES]
+
+
+def test_one_of_many_copies_stays(spark, small_dir):
+    same = "\n".join(f"line {k} of the text that a third of all rows hold" for k in range(12))
+    near = [f"passage {k} with some words about the matter of near copies" for k in range(30)]
+    rows = [(i, "web", same) for i in range(40)]
+    rows += [(100 + i, "web", "\n".join([*near, f"version {i}"])) for i in range(40)]
+    rows += [(200 + i, "web", "menu of the site\n" + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(40)]
+    rows += [(None, "web", same), (300, None, same), (301, "web", None), (302, "web", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("n_chars", F.length("text"))
+    docs = docs.withColumn("kept", F.lit(1)).withColumn("host", F.lit("h"))
+    after = written(corpus_pipeline.drop_boilerplate(spark, docs, small_dir))
+    assert after.columns == docs.columns and after.count() == docs.count()
+    texts = {r.doc_id: r.text for r in after.collect()}
+    assert texts[0] == same and texts[100] == "\n".join([*near, "version 0"]) and texts[300] == same
+    assert all("menu" not in texts[200 + i] and texts[200 + i].endswith(f"w{i}x29") for i in range(40))
+    left = [r.text for r in corpus_pipeline.drop_near_copies(spark, after, small_dir).collect()]
+    assert left.count(same) == 1 and sum("passage 7" in (t or "") for t in left) == 1
+    assert corpus_pipeline.drop_boilerplate(spark, docs.limit(0), small_dir).count() == 0
