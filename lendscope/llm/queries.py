@@ -1,4 +1,4 @@
-"""Queries op1 to op10: each operator over its whole table, with SQL where SQL can say it."""
+"""Queries op1 to op13: each operator over its whole table, with SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.llm import fingerprints, html_text, language_model, line_dedup, mixing, near_dedup, nearest, packing, quality, substring_dedup
+from lendscope.llm import (
+    divergence, exact_dedup, fingerprints, html_text, language_model, line_dedup, mixing, near_dedup, nearest, packing, prefix_trie, quality, substring_dedup,
+)
 from lendscope.llm.tables import table
 
 VOCABULARY = "byte_bpe_50k"
@@ -124,3 +126,82 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0)
+
+
+TRIE_SQL = r"""
+WITH turns AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+hashed AS (SELECT c, turn, strlen(text) AS size, sha256(CAST(strlen(role) AS VARCHAR) || ':' || role || text) AS content FROM turns),
+placed AS (SELECT c, content, size, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, content) AS place FROM hashed),
+convs AS (SELECT c, count(*) AS own, c - c % 5 AS base, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+    list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, y: xor(x >> 1, (x & 1) * CAST(3988292384 AS BIGINT))))) % 9 AS h FROM placed GROUP BY c),
+plans AS (SELECT convs.c, convs.base, convs.h, convs.own, least(convs.h, coalesce(b.own, 0)) AS k
+  FROM convs LEFT JOIN convs AS b ON b.c = convs.base),
+rebuilt AS (SELECT plans.c, place AS d, content, size FROM plans JOIN placed ON placed.c = plans.base AND place <= k
+  UNION ALL SELECT plans.c, place - h + k, content, size FROM plans JOIN placed ON placed.c = plans.c AND place > h),
+prefix AS (SELECT c, d, size, string_agg(content, '') OVER (PARTITION BY c ORDER BY d) AS key FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM plans),
+nodes AS (SELECT d, key, min(c) AS node, count(*) AS n, max(size) AS size FROM prefix GROUP BY d, key),
+member AS (SELECT prefix.c, prefix.d, nodes.node FROM prefix JOIN nodes ON nodes.d = prefix.d AND nodes.key = prefix.key),
+linked AS (SELECT nodes.*, member.node AS parent FROM nodes LEFT JOIN member ON member.c = nodes.node AND member.d = nodes.d - 1),
+children AS (SELECT parent, d - 1 AS d, count(*) AS n_children FROM linked WHERE d > 0 GROUP BY ALL),
+full_ AS (SELECT linked.*, coalesce(n_children, 0) AS n_children FROM linked LEFT JOIN children ON children.parent = linked.node AND children.d = linked.d),
+totals AS (SELECT member.node, member.d, sum(CASE WHEN full_.n_children = 0 THEN 1 ELSE 0 END) AS leaves, sum((full_.n - 1) * full_.size) AS saved
+  FROM full_ JOIN member ON member.c = full_.node AND member.d <= full_.d GROUP BY ALL),
+ends AS (SELECT member.node, member.d, string_agg(CAST(member.c AS VARCHAR), ',' ORDER BY member.c) AS ids
+  FROM member JOIN plans ON plans.c = member.c AND member.d = k + greatest(0, own - h) GROUP BY ALL)
+SELECT full_.node AS conv_id, CAST(full_.d AS BIGINT) AS depth, full_.parent AS parent_conv_id, full_.n AS n_convs, CAST(full_.n_children AS BIGINT) AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_ JOIN totals ON totals.node = full_.node AND totals.d = full_.d LEFT JOIN ends ON ends.node = full_.node AND ends.d = full_.d
+"""
+
+
+@_query("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+EXACT_SQL = r"""
+WITH bodies AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+numbered AS (SELECT doc_id, body, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) AS place FROM bodies WINDOW same AS (PARTITION BY body))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM numbered
+"""
+
+
+@_query("op12_exact_dedup", EXACT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+DIVERGENCE_SQL = r"""
+WITH docs AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+kept AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM docs) GROUP BY ALL HAVING count(*) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+occurrences AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL),
+counts AS (SELECT lang, source, term, n FROM occurrences SEMI JOIN kept USING (lang, term)),
+groups_ AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+shares AS (SELECT groups_.lang, groups_.source, kept.term, coalesce(n, 0) AS n,
+    CAST(1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5)) // (coalesce(total, 0) + 5 * v) AS BIGINT) AS p
+  FROM groups_ JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN counts USING (lang, source, term) LEFT JOIN totals USING (lang, source)),
+langs AS (SELECT lang, term, CAST(1 + (CAST(1000000000 AS HUGEINT) * (sum(n) + 5)) // (total + 5 * v) AS BIGINT) AS q
+  FROM shares JOIN v USING (lang) JOIN (SELECT lang, sum(total) AS total FROM totals GROUP BY lang) USING (lang) GROUP BY lang, term, total, v),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups_ a JOIN groups_ b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value FROM shares x
+    JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) d
+  ON d.lang = a.lang AND d.source = a.source AND d.other = b.source),
+rows_ AS (SELECT * FROM pairs UNION ALL
+  SELECT shares.lang, source, 'term', term, p - q FROM shares JOIN langs USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM rows_)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@_query("op13_source_divergence", DIVERGENCE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))

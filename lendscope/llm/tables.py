@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.operators.shared_storage import cut_lineage
@@ -17,6 +17,13 @@ def written(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written_counting(df: DataFrame, rows: Column) -> tuple[DataFrame, int]:
+    """``written``, and the number of rows for which ``rows`` holds, counted while they are written."""
+    seen = Observation()
+    out = written(df.observe(seen, F.count(F.when(rows, 1)).alias("n")))
+    return out, seen.get["n"]
+
+
 def columns(names: list[str], *left_out: str) -> list[Column]:
     """Columns by name, whatever characters the names have."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names if n not in left_out]
