@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.skew import SALTS, spread_lookup
+from lendscope.llm.skew import SALTS, hot_keys, spread_lookup
 from lendscope.llm.tables import columns, own_name, written
 
 
@@ -27,23 +27,24 @@ def _bodies(documents: DataFrame, digest: Callable[[Column], Column]) -> DataFra
     return bodies.withColumn("digest", digest(F.col("body")))
 
 
-def _winners(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Groups of equal texts by three stages, each of which compares whole texts.
+def _winners(bodies: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """(digest, keep_id, group_size) of each distinct text, merged in stages that each compare whole texts.
 
-    Returns (digest, body, keep_id, group_size) of the texts that met another row of their digest after the second
-    stage, and (digest, keep_id, group_size) of all others.
+    ``counts`` (digest, n) has the rows per digest, ``total`` their sum.
     """
-    # Tasks combine their own copies before they send anything (the partial aggregate); the salt is the task's, so a text
-    # leaves a task once, and the rows of a hot text are merged by up to SALTS tasks.
-    salted = bodies.withColumn("salt", F.spark_partition_id() % SALTS)
-    salted = written(salted.groupBy("digest", "salt", "body").agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
-    # Only digests that several salts (or several texts) hold need the last stage; it reads no other text.
-    several = written(salted.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"))
-    alone = salted.select("digest", "keep_id", "group_size").join(several, "digest", "left_anti")
-    met = salted.join(several, "digest", "left_semi").groupBy("digest", "body").agg(
-        F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-    return written(met), alone
+    # Tasks combine their own copies before they send anything (the partial aggregate). A hot digest's groups are salted by
+    # the task, so a text leaves a task once and is merged by up to SALTS tasks; the digests of few rows have one salt.
+    hot = hot_keys(counts, ["digest"], total)
+    if hot is None:
+        return bodies.groupBy("digest", "body").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).drop("body")
+    flagged = bodies.withColumn("task", F.spark_partition_id() % SALTS).join(
+        F.broadcast(hot.withColumn("hot", F.lit(True))), "digest", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    salted = flagged.withColumn("salt", F.when(F.col("hot"), F.col("task")).otherwise(0))
+    salted = salted.groupBy("digest", "hot", "salt", "body").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # Salt winners of hot digests are combined globally; all others are whole already, and their texts go no further.
+    salted = written(salted.withColumn("body", F.when(F.col("hot"), F.col("body"))))
+    merged = salted.where("hot").groupBy("digest", "body").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    return salted.where("not hot").select("digest", "keep_id", "group_size").union(merged.drop("body"))
 
 
 def exact_groups(documents: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
@@ -58,27 +59,30 @@ def exact_groups(documents: DataFrame, digest: Callable[[Column], Column] = sha2
     Digests only bring texts together: every stage groups by the whole text too, so two texts with one digest stay apart,
     whatever ``digest`` is.
 
-    1. Tasks combine their own copies, and salted digest groups merge what tasks send. A text on a third of all rows
-       leaves each task once and is merged by up to SALTS tasks.
-    2. Salt winners are combined globally, for digests that more than one salt holds.
-    3. Rows without texts, (doc_id, digest, number of equal rows), look up their group, hot groups dealt over tasks.
-       Digests of several texts, should there be any, are looked up with their texts.
+    1. Rows without texts, (doc_id, digest, number of equal rows), tell how many rows a digest has, so which ones are hot.
+    2. Tasks combine their own copies, and digest groups, salted where the digest is hot, merge what tasks send. Each text
+       leaves a task once; one on a third of all rows is merged by up to SALTS tasks.
+    3. The salt winners of hot digests are combined globally.
+    4. Rows look up their group by digest, hot groups dealt over tasks. Digests of several texts, should there be any,
+       are grouped and looked up once more by their texts.
     """
     bodies = _bodies(documents, digest)
-    met, alone = _winners(bodies)
-    clashing = written(met.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"))
-    groups = met.select("digest", "keep_id", "group_size").union(alone).where("group_size > 1")
     rows = bodies.groupBy("doc_id", "digest", F.sha2(F.col("body").cast("binary"), 256).alias("text_sha256"))
-    rows = rows.agg(F.count("*").alias("copies"))
+    rows = written(rows.agg(F.count("*").alias("copies")))
+    counts = written(rows.groupBy("digest").agg(F.sum("copies").alias("n")).where("n > 1"))
+    total = rows.agg(F.sum("copies")).first()[0] or 0
+    groups = written(_winners(bodies, counts, total))
+    clashing = written(groups.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"))
     if clashing.isEmpty():
-        found = _looked_up(rows, groups, ["digest"])
+        found = spread_lookup(rows, groups.where("group_size > 1"), ["digest"], F.col("doc_id"), counts, total)
     else:
-        rows = written(rows)
-        plain = _looked_up(rows.join(clashing, "digest", "left_anti"), groups.join(clashing, "digest", "left_anti"), ["digest"])
+        plain = spread_lookup(rows.join(clashing, "digest", "left_anti"), groups.join(clashing, "digest", "left_anti"),
+                              ["digest"], F.col("doc_id"), counts, total)
         sha = F.sha2(F.col("body").cast("binary"), 256).alias("text_sha256")
-        bodied = bodies.join(clashing, "digest", "left_semi").groupBy("doc_id", "digest", "body", sha).agg(F.count("*").alias("copies"))
-        theirs = met.join(clashing, "digest", "left_semi").where("group_size > 1")
-        found = plain.unionByName(_looked_up(bodied, theirs, ["digest", "body"]).drop("body"))
+        bodied = written(bodies.join(clashing, "digest", "left_semi").groupBy("doc_id", "digest", "body", sha).agg(F.count("*").alias("copies")))
+        theirs = bodied.groupBy("digest", "body").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+        sizes = theirs.select("digest", "body", F.col("group_size").alias("n"))
+        found = plain.unionByName(spread_lookup(bodied, theirs, ["digest", "body"], F.col("doc_id"), sizes, total).drop("body"))
     each = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     own = F.col("group_size").isNull()  # the only row of its text
     keep = F.when(own, F.col("doc_id")).otherwise(F.col("keep_id"))
@@ -86,12 +90,6 @@ def exact_groups(documents: DataFrame, digest: Callable[[Column], Column] = sha2
                        (F.col("doc_id").eqNullSafe(keep) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
-def _looked_up(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    counts = groups.select(*keys, F.col("group_size").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return spread_lookup(rows, groups, keys, F.col("doc_id"), counts, total)
-
-
 def drop_copies(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns. Of rows alike in doc_id and text any one stays."""
     kept = exact_groups(documents).where("kept")
