@@ -18,7 +18,7 @@ SMOOTHING = 5
 SCALE_STEPS = 3  # digits to the base 1,000: a share is told in steps of 1e-9
 TOP = 50
 CHUNK = 4 << 20
-SHARD_TERMS = 1 << 16
+SHARD_TERMS = 1 << 13
 SHARD_CELLS = 1 << 20  # sources x terms of a shard, at most (one term at least)
 BROADCAST_BYTES = 64 << 20  # of perfect hashes at a time; more take further passes over the texts
 COUNTERS = 8 << 20  # dense slots that a task holds before it sends their counts
