@@ -5,36 +5,53 @@ the others averaged by training cover, its weight is a product over the path's f
 factor each: the indicator of the condition when known, the cover share when not. The Shapley
 value of such a product game is the integral over t in [0, 1] of its derivative along the
 diagonal, a polynomial that Gauss-Legendre points integrate exactly.
+
+A row matters to a leaf only by which of the path's features meet their conditions: a bit mask. So a leaf has a table of
+values per mask, made once per task, and a row costs a lookup. Masks of all rows of a block are carried down a
+tree together, one bit operation per edge.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendscope.operators.cleaning import _c
-from lendscope.operators.shared_storage import scratch_path
+from lendscope.operators.shared_storage import cut_lineage, scratch_path
+
+# Workers get these functions by value, so they need numpy and pyarrow but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BLOCK_ROWS = 20_000
+MOST_BITS = 12  # a leaf with more path features is integrated row by row
 
 
 @dataclass(frozen=True)
-class LeafPaths:
-    """Leaves with the same number of path features, as stacked arrays (leaves x features)."""
+class Tree:
+    """A tree as lists per node: split feature and cut, children, the cover's share that goes to the lower one.
 
-    feature: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    share: np.ndarray
-    value: np.ndarray
+    A leaf has a negative ``lower``, a value, and its path's features with their cover shares.
+    """
+
+    feature: list[int]
+    cut: list[float]
+    lower: list[int]
+    upper: list[int]
+    share: list[float]
+    value: list[float]
+    paths: list[tuple[tuple[int, ...], tuple[float, ...]] | None]
 
 
 @dataclass(frozen=True)
 class TreeExplainer:
     features: tuple[str, ...]
-    groups: tuple[LeafPaths, ...]
+    trees: tuple[Tree, ...]
     base: float
 
 
@@ -42,25 +59,27 @@ def tree_explainer(spark: SparkSession, model, features: Sequence[str]) -> TreeE
     """From a fitted Spark forest (class-1 probability) or boosted trees (log-odds, twice the raw margin)."""
     nodes, weights, boosted = _node_table(spark, model)
     total = weights.sum()
-    leaves, base = [], 0.0
-    for tree, frame in nodes.groupby("tree"):
-        weight = 2 * weights[tree] if boosted else weights[tree] / total
-        table = {r.id: r for r in frame.itertuples()}
-        for value, share, conditions in _leaf_paths(table):
-            leaves.append((weight * value, conditions))
-            base += weight * value * share
-    by_size: dict[int, list] = {}
-    for value, conditions in leaves:
-        if conditions:
-            by_size.setdefault(len(conditions), []).append((value, conditions))
-    groups = []
-    for entries in by_size.values():
-        stacked = np.array([[(f, *c) for f, c in conditions.items()] for _, conditions in entries])
-        groups.append(LeafPaths(
-            stacked[:, :, 0].astype(int), stacked[:, :, 1], stacked[:, :, 2], stacked[:, :, 3],
-            np.array([value for value, _ in entries]),
-        ))
-    return TreeExplainer(tuple(features), tuple(groups), float(base))
+    trees, base = [], 0.0
+    for number, frame in nodes.groupby("tree"):
+        weight = 2 * weights[number] if boosted else weights[number] / total
+        rows = frame.sort_values("id")
+        place = {node: i for i, node in enumerate(rows.id)}
+        at = [(place.get(a, -1), place.get(b, -1)) for a, b in zip(rows.lower, rows.upper)]
+        tree = Tree(rows.feature.tolist(), rows.cut.tolist(), [a for a, _ in at], [b for _, b in at],
+                    [], (weight * rows.value).tolist(), [None] * len(rows))
+        cover, pending = rows.cover.tolist(), [(0, 1.0, {})]
+        tree.share.extend(cover[a] / c if a >= 0 and c else 0.5 for (a, _), c in zip(at, cover))
+        while pending:
+            node, share, shares = pending.pop()
+            if tree.lower[node] < 0:
+                tree.paths[node] = (tuple(shares), tuple(shares.values()))
+                base += tree.value[node] * share
+                continue
+            f, low = tree.feature[node], tree.share[node]
+            for child, part in ((tree.lower[node], low), (tree.upper[node], 1 - low)):
+                pending.append((child, share * part, {**shares, f: shares.get(f, 1.0) * part}))
+        trees.append(tree)
+    return TreeExplainer(tuple(features), tuple(trees), float(base))
 
 
 def _node_table(spark: SparkSession, model):
@@ -84,57 +103,137 @@ def _node_table(spark: SparkSession, model):
     return saved, np.array(model.treeWeights, dtype=float), boosted
 
 
-def _leaf_paths(table):
-    """(value, cover share, {feature: (above, up to, share)}) of each leaf."""
-    pending = [(0, 1.0, {})]
+def _points(size: int) -> tuple[np.ndarray, np.ndarray]:
+    points, weights = np.polynomial.legendre.leggauss(size // 2 + 1)
+    return (points + 1) / 2, weights / 2
+
+
+def mask_tables(shares: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Attributions of leaves with the same number of path features: (leaves, features, masks).
+
+    Bit j of a mask tells whether feature j meets its condition. Products over the features before and after j are
+    built up for all masks by doubling, so nothing is divided by a factor that may be 0.
+    """
+    leaves, size = shares.shape
+    points, weights = _points(size)
+    known = shares[:, :, None] + (1 - shares[:, :, None]) * points
+    factors = np.stack([shares[:, :, None] * (1 - points), known], axis=-1)  # leaf, feature, point, bit
+    after = [np.ones((leaves, len(points), 1))]
+    for j in reversed(range(1, size)):
+        after.append((after[-1][:, :, :, None] * factors[:, j, :, None, :]).reshape(leaves, len(points), -1))
+    before, out = np.ones((leaves, len(points), 1)), np.empty((leaves, size, 1 << size))
+    for j in range(size):
+        high = after[size - 1 - j]
+        others = np.einsum("lkh,lkb,k->lhb", high, before, weights) * values[:, None, None]
+        change = np.stack([-shares[:, j], 1 - shares[:, j]], axis=1)
+        out[:, j] = (others[:, :, None, :] * change[:, None, :, None]).reshape(leaves, -1)
+        before = (factors[:, j, :, :, None] * before[:, :, None, :]).reshape(leaves, len(points), -1)
+    return out
+
+
+def _integrated(known: np.ndarray, shares: np.ndarray, value: float) -> np.ndarray:
+    """Attributions of one leaf for rows (rows x features) by quadrature, without tables."""
+    points, weights = _points(shares.size)
+    out = np.zeros(known.shape)
+    for t, w in zip(points, weights, strict=True):
+        factor = np.where(known, shares + (1 - shares) * t, shares * (1 - t))
+        before = np.cumprod(np.concatenate([np.ones((len(factor), 1)), factor[:, :-1]], axis=1), axis=1)
+        after = np.cumprod(np.concatenate([np.ones((len(factor), 1)), factor[:, :0:-1]], axis=1), axis=1)[:, ::-1]
+        out += w * before * after
+    return out * (known - shares) * value
+
+
+def _tables(tree: Tree) -> dict[int, np.ndarray]:
+    """Table of each leaf with few enough path features."""
+    sizes: dict[int, list[int]] = {}
+    for leaf, path in enumerate(tree.paths):
+        if path and 0 < len(path[0]) <= MOST_BITS:
+            sizes.setdefault(len(path[0]), []).append(leaf)
+    found = {}
+    for size, leaves in sizes.items():
+        step = max(1, (1 << 21) // (size << size))
+        for at in range(0, len(leaves), step):
+            some = leaves[at : at + step]
+            made = mask_tables(np.array([tree.paths[i][1] for i in some]), np.array([tree.value[i] for i in some]))
+            found.update(zip(some, made, strict=True))
+    return found
+
+
+def explain_rows(tree: Tree, x: np.ndarray, phi: np.ndarray, tables: dict[int, np.ndarray]) -> None:
+    """Add the tree's attributions of all rows to ``phi``; both are features x rows."""
+    pending = [(0, np.zeros(x.shape[1], np.int64), {})]
     while pending:
-        node, share, conditions = pending.pop()
-        row = table[node]
-        if row.lower < 0:
-            yield row.value, share, conditions
+        node, mask, bits = pending.pop()
+        if tree.lower[node] < 0:
+            names, shares = tree.paths[node]
+            if node in tables:
+                for f, table in zip(names, tables[node], strict=True):
+                    phi[f] += table[mask]
+            elif names:
+                known = (mask[:, None] >> np.arange(len(names))) & 1 == 1
+                phi[list(names)] += _integrated(known, np.array(shares), tree.value[node]).T
             continue
-        for child, below in ((row.lower, True), (row.upper, False)):
-            part = table[child].cover / row.cover if row.cover else 0.5
-            above, upto, held = conditions.get(row.feature, (-np.inf, np.inf, 1.0))
-            bounds = (above, min(upto, row.cut)) if below else (max(above, row.cut), upto)
-            pending.append((child, share * part, {**conditions, row.feature: (*bounds, held * part)}))
+        f = tree.feature[node]
+        below = x[f] <= tree.cut[node]
+        if f in bits:
+            held = mask & (1 << bits[f])
+            low, high = mask - held * ~below, mask - held * below
+        else:
+            bits = {**bits, f: len(bits)}
+            bit = 1 << bits[f]
+            low = mask + below * bit
+            high = mask + bit - below * bit
+        pending += [(tree.lower[node], low, bits), (tree.upper[node], high, bits)]
+
+
+def _explained(trees: Sequence[Tree], n: int):
+    """Sums of the trees' attributions: (row_no, p0, p1, ...) of rows (row_no, c0, c1, ...)."""
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def result() -> pa.RecordBatch:
+            block = pa.Table.from_batches(held)
+            x = np.stack([block.column(f"c{i}").to_numpy() for i in range(n)])
+            phi = np.zeros(x.shape)
+            for tree in trees:
+                explain_rows(tree, x, phi, _tables(tree))
+            return pa.RecordBatch.from_arrays([block.column("row_no").combine_chunks(), *(pa.array(p) for p in phi)],
+                                              names=["row_no", *(f"p{i}" for i in range(n))])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= BLOCK_ROWS:
+                yield result()
+                held.clear()
+        if held:
+            yield result()
+
+    return explain
 
 
 def tree_attributions(df: DataFrame, explainer: TreeExplainer, id_column: str = "loan_id") -> DataFrame:
-    """Long attributions; per row they add up to prediction minus base."""
+    """Long attributions; per row they add up to prediction minus base.
+
+    Blocks of rows go through all trees. Where there are fewer blocks than cores, the trees are dealt out too, and the
+    sums of their shares are added per row.
+    """
     names = list(explainer.features)
-    # Plain arrays, so that workers do not need this package to unpickle them; Spark broadcasts a large closure once.
-    groups = [(g.feature, g.low, g.high, g.share, g.value) for g in explainer.groups]
-
-    @F.pandas_udf("array<double>")
-    def explain(*columns: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        phi = np.zeros(x.shape)
-        for feature, low, high, share, value in groups:
-            leaves, size = feature.shape
-            points, weights = np.polynomial.legendre.leggauss(size // 2 + 1)
-            points, weights = (points + 1) / 2, weights / 2
-            step = max(1, 2_000_000 // (leaves * size))
-            for start in range(0, len(x), step):
-                part = x[start : start + step]
-                seen = part[:, feature]
-                known = ((seen > low) & (seen <= high)).astype(float)
-                change = known - share
-                slope = np.zeros(known.shape)
-                for t, w in zip(points, weights):
-                    factor = share + change * t
-                    slope += w * factor.prod(axis=2, keepdims=True) / factor
-                gain = change * slope * value[:, None]
-                cells = np.arange(len(part))[:, None, None] * x.shape[1] + feature[None]
-                sums = np.bincount(cells.ravel(), gain.ravel(), minlength=part.size)
-                phi[start : start + len(part)] += sums.reshape(part.shape)
-        return pd.Series(list(phi))
-
-    scored = df.select(_c(id_column).alias("row_id"), *[_c(c) for c in names]).withColumn(
-        "_phi", explain(*[_c(c).cast("double") for c in names])
-    )
-    entries = [
-        F.struct(F.lit(c).alias("feature"), _c(c).cast("double").alias("value"), F.get("_phi", F.lit(i)).alias("shap"))
-        for i, c in enumerate(names)
-    ]
-    return scored.select("row_id", F.inline(F.array(*entries)))
+    n = len(names)
+    numbered = df.select(F.monotonically_increasing_id().alias("row_no"), _c(id_column).alias("row_id"),
+                         *[_c(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    rows = cut_lineage(numbered)
+    blocks = max(1, -(-rows.count() // BLOCK_ROWS))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    shares = max(1, min(len(explainer.trees), cores // blocks))
+    inputs = rows.drop("row_id").repartition(blocks) if shares > 1 else rows.drop("row_id")
+    schema = "row_no long, " + ", ".join(f"p{i} double" for i in range(n))
+    parts = [inputs.mapInArrow(_explained(explainer.trees[k::shares], n), schema) for k in range(shares)]
+    summed = parts[0]
+    for part in parts[1:]:
+        summed = summed.unionByName(part)
+    if shares > 1:
+        summed = summed.groupBy("row_no").agg(*[F.sum(f"p{i}").alias(f"p{i}") for i in range(n)])
+    entries = [F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("value"), F.col(f"p{i}").alias("shap")) for i, c in enumerate(names)]
+    return rows.join(summed, "row_no").select("row_id", F.inline(F.array(*entries)))

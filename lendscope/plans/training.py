@@ -17,6 +17,7 @@ from lendscope import fixed_values as fx
 from lendscope.operators import attribution, cleaning, evaluation, loss, oversampling, sampling
 from lendscope.operators.shared_storage import cut_lineage, ensure_checkpoint_dir, spread
 from lendscope.operators.tree_attribution import tree_attributions, tree_explainer
+from lendscope.plans.ensembles import first_trees
 from lendscope.sources import sinks
 
 LABEL = "label"
@@ -24,8 +25,9 @@ WEIGHT = "class_weight"
 VECTOR = "features"
 BOOSTING_ROUNDS = 500
 PATIENCE = 30
-FIRST_ROUNDS = 40
-ROUND_ROWS = 25_000
+FIRST_ROUNDS = PATIENCE + 10
+ROUND_ROWS = 10_000
+CHECKPOINT_ROUNDS = 25
 MODELS = ("Logistic Regression", "Random Forest", "Gradient Boosting", "Balanced Gradient Boosting")
 
 
@@ -108,7 +110,7 @@ def random_forest() -> RandomForestClassifier:
 def boosted_trees(rounds: int, weighted: bool) -> GBTClassifier:
     model = GBTClassifier(
         featuresCol=VECTOR, labelCol=LABEL, maxIter=rounds, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
-        featureSubsetStrategy="0.8", seed=fx.SEED, maxMemoryInMB=512,
+        featureSubsetStrategy="0.8", seed=fx.SEED, maxMemoryInMB=512, checkpointInterval=CHECKPOINT_ROUNDS,
     )
     return model.setWeightCol(WEIGHT) if weighted else model
 
@@ -128,8 +130,9 @@ def fit_boosted(data: TrainingData, weighted: bool, rounds: int = BOOSTING_ROUND
                 first_rounds: int = FIRST_ROUNDS) -> tuple[PipelineModel, int]:
     """Boosting with early stopping on the validation loss.
 
-    Rounds are deterministic, so a longer fit starts with the same trees: the fit is doubled
-    until the loss has not improved for ``patience`` rounds, then repeated at the best length.
+    One fit gives the losses of all its rounds in one pass, and the ensemble is cut to its best length through its
+    stored trees, so nothing is fitted at that length again. Only if the loss still improves at the end of a fit, a fit of
+    twice the rounds takes its place.
     """
     ensure_checkpoint_dir(data.train.sparkSession)
     assembler = _assembler(data.features)
@@ -146,9 +149,7 @@ def fit_boosted(data: TrainingData, weighted: bool, rounds: int = BOOSTING_ROUND
             if stopped or length >= rounds:
                 break
             length = min(rounds, 2 * length)
-        if best < length:
-            model = boosted_trees(best, weighted).fit(train)
-        return PipelineModel([assembler, model]), best
+        return PipelineModel([assembler, first_trees(train.sparkSession, model, best)]), best
     finally:
         train.unpersist()
         validation.unpersist()

@@ -125,15 +125,15 @@ def test_tree_attributions(spark, data, kind):
     wanted = model.transform(sample).select("loan_id", column.alias("p"), *FEATURES).toPandas().set_index("loan_id")
     assert (long.sum(axis=1) + explainer.base).to_numpy() == pytest.approx(wanted.loc[long.index].p.to_numpy())
 
+    def follow(tree, node, x, known):
+        if tree.lower[node] < 0:
+            return tree.value[node]
+        low, high = (follow(tree, child, x, known) for child in (tree.lower[node], tree.upper[node]))
+        f = tree.feature[node]
+        return (low if x[f] <= tree.cut[node] else high) if f in known else tree.share[node] * low + (1 - tree.share[node]) * high
+
     def predict(x, known):
-        total = explainer.base - sum(g.value[i] * g.share[i].prod() for g in explainer.groups for i in range(len(g.value)))
-        for g in explainer.groups:
-            for i in range(len(g.value)):
-                weight = 1.0
-                for f, low, high, share in zip(g.feature[i], g.low[i], g.high[i], g.share[i], strict=True):
-                    weight *= (low < x[f] <= high) if f in known else share
-                total += g.value[i] * weight
-        return total
+        return sum(follow(tree, 0, x, known) for tree in explainer.trees)
 
     row = long.index[0]
     expected = _brute_force(predict, wanted.loc[row, FEATURES].to_numpy(), None, 3)
@@ -151,9 +151,9 @@ def test_isolation_scores(spark, table):
 
 def test_full_bottleneck_has_no_error(table):
     matrix = cleaning.feature_matrix(table, "y", "loan_id")
-    full = reconstruction.score_reconstruction(matrix, reconstruction.fit_bottleneck(matrix, FEATURES, k=3))
+    full = reconstruction.score_reconstruction(matrix, reconstruction.fit_bottleneck(matrix, FEATURES, 3, "linear"))
     assert full.agg(F.max("reconstruction_error")).first()[0] < 1e-9
-    narrow = reconstruction.score_reconstruction(matrix, reconstruction.fit_bottleneck(matrix, FEATURES, k=1))
+    narrow = reconstruction.score_reconstruction(matrix, reconstruction.fit_bottleneck(matrix, FEATURES, 1, "linear"))
     assert narrow.agg(F.min("reconstruction_error")).first()[0] >= 0
 
 

@@ -145,7 +145,7 @@ def p03_embeddings(spark, sf_dir):
 @query("a03_embedding_error")
 def a03_embeddings(spark, sf_dir):
     rows = _dimensions(spark, sf_dir)
-    bottleneck = reconstruction.fit_bottleneck(rows, [c for c in rows.columns if c != "vec_id"])
+    bottleneck = reconstruction.fit_bottleneck(rows, [c for c in rows.columns if c != "vec_id"], method="linear")
     return reconstruction.score_reconstruction(rows, bottleneck).select("vec_id", "reconstruction_error")
 
 
