@@ -186,29 +186,32 @@ def explain_rows(tree: Tree, x: np.ndarray, phi: np.ndarray, tables: dict[int, n
         pending += [(tree.lower[node], low, bits), (tree.upper[node], high, bits)]
 
 
-def _explained(trees: Sequence[Tree], n: int):
-    """Sums of the trees' attributions: (row_no, p0, p1, ...) of rows (row_no, c0, c1, ...)."""
+def _explained(trees: Sequence[Tree], n: int, shares: int):
+    """Sums of the attributions of every ``shares``-th tree from ``share`` on: (row_no, p0, p1, ...) of rows (row_no, share, c0, c1, ...)."""
 
     def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def result() -> pa.RecordBatch:
+        def result() -> Iterator[pa.RecordBatch]:
             block = pa.Table.from_batches(held)
-            x = np.stack([block.column(f"c{i}").to_numpy() for i in range(n)])
-            phi = np.zeros(x.shape)
-            for tree in trees:
-                explain_rows(tree, x, phi, _tables(tree))
-            return pa.RecordBatch.from_arrays([block.column("row_no").combine_chunks(), *(pa.array(p) for p in phi)],
-                                              names=["row_no", *(f"p{i}" for i in range(n))])
+            share = block.column("share").to_numpy()
+            for k in np.unique(share).tolist():
+                part = block.filter(pa.array(share == k))
+                x = np.stack([part.column(f"c{i}").to_numpy() for i in range(n)])
+                phi = np.zeros(x.shape)
+                for tree in trees[k::shares]:
+                    explain_rows(tree, x, phi, _tables(tree))
+                yield pa.RecordBatch.from_arrays([part.column("row_no").combine_chunks(), *(pa.array(p) for p in phi)],
+                                                 names=["row_no", *(f"p{i}" for i in range(n))])
 
         for batch in batches:
             if batch.num_rows:
                 held.append(batch)
             if sum(b.num_rows for b in held) >= BLOCK_ROWS:
-                yield result()
+                yield from result()
                 held.clear()
         if held:
-            yield result()
+            yield from result()
 
     return explain
 
@@ -227,12 +230,11 @@ def tree_attributions(df: DataFrame, explainer: TreeExplainer, id_column: str =
     blocks = max(1, -(-rows.count() // BLOCK_ROWS))
     cores = df.sparkSession.sparkContext.defaultParallelism
     shares = max(1, min(len(explainer.trees), cores // blocks))
-    inputs = rows.drop("row_id").repartition(blocks) if shares > 1 else rows.drop("row_id")
+    inputs = rows.drop("row_id").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    if shares > 1:
+        inputs = inputs.repartitionByRange(shares * blocks, "share", "row_no")
     schema = "row_no long, " + ", ".join(f"p{i} double" for i in range(n))
-    parts = [inputs.mapInArrow(_explained(explainer.trees[k::shares], n), schema) for k in range(shares)]
-    summed = parts[0]
-    for part in parts[1:]:
-        summed = summed.unionByName(part)
+    summed = inputs.mapInArrow(_explained(explainer.trees, n, shares), schema)
     if shares > 1:
         summed = summed.groupBy("row_no").agg(*[F.sum(f"p{i}").alias(f"p{i}") for i in range(n)])
     entries = [F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("value"), F.col(f"p{i}").alias("shap")) for i, c in enumerate(names)]
