@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendscope.llm.tables import columns, written
+from lendscope.llm.tables import columns, own_name, written
 from lendscope.llm.words import WORD_PATTERN
 
 MAX_REPEATS = 3
@@ -51,8 +51,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
-        max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
-    """How much of each document a mix takes: (doc_id, size, source_size, target, taken).
+        max_repeats: int = MAX_REPEATS, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """How much of each document a mix takes: (doc_id, size, source_size, target, taken), and the columns ``keep``.
 
     ``documents`` has (doc_id, source, text). A source takes its documents whole as often as its
     target holds its size, and once more in an order of random keys until its budget is used
@@ -68,7 +68,7 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     """
     digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, KEY_DIGITS)
     key = F.conv(digits, 16, 10).cast("long")
-    sized = written(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key")))
+    sized = written(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"), *keep))
     sources = written(source_targets(sized, weights, share, max_repeats))
     named = sources.withColumnRenamed("source", "its_source")
     rows = sized.join(named, F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
@@ -86,7 +86,7 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     full = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     left = budget - full * F.col("source_size")
     taken = full * F.col("size") + F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left - start))
-    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), *keep)
 
 
 def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
@@ -94,14 +94,14 @@ def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, sh
     """The documents that a mix is made of: a row for each time that a document is taken.
 
     A document taken in part (one per source at most) has its first words only. Documents without
-    words carry nothing into a mix and are left out. Columns are those of ``documents``; doc_id is taken as unique:
-    rows that repeat it each get what the mix takes of their own size.
+    words carry nothing into a mix and are left out. Columns are those of ``documents``. Rows are known by a number of their
+    own, so those without doc_id or that repeat one are each taken as the plan says.
     """
-    plan = mix(documents, weights, share, max_repeats, seed).where("taken > 0").select(
-        F.col("doc_id").alias("its_id"), F.col("size").alias("its_size"), "taken")
-    plan = plan.groupBy("its_id", "its_size").agg(F.max("taken").alias("its_taken"))
-    size = word_count(F.col("text"))
-    rows = documents.join(plan, (F.col("doc_id") == F.col("its_id")) & (size == F.col("its_size")))
+    row = own_name(documents, "its_row")
+    numbered = written(documents.withColumn(row, F.monotonically_increasing_id()))
+    plan = mix(numbered.select("doc_id", "source", "text", row), weights, share, max_repeats, seed, (row,))
+    plan = plan.where("taken > 0").select(row, F.col("size").alias("its_size"), F.col("taken").alias("its_taken"))
+    rows = numbered.join(plan, row)
     whole = F.floor(F.col("its_taken") / F.col("its_size")).cast("int")
     part = (F.col("its_taken") - whole * F.col("its_size")).cast("int")
     parts = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lendscope.llm import sketches as sk
 from lendscope.llm.components import connected_components
-from lendscope.llm.tables import written
+from lendscope.llm.tables import columns, own_name, written, written_counting
 from lendscope.llm.words import chunks, split_words
 
 PERCENT = 75
@@ -55,7 +55,7 @@ def _differ(x: Column, y: Column) -> Column:
 
 
 def _linked_in_block(percent: int, most_differing: float):
-    """Links across components inside one block of a bucket, or between two blocks of it."""
+    """Pairs of components that a link inside one block of a bucket, or between two blocks of it, joins."""
 
     def links(key: tuple, table: pa.Table) -> pa.Table:
         ids, component, block = (table.column(c).to_numpy() for c in ("rep", "component", "own_block"))
@@ -95,7 +95,7 @@ def _linked_in_block(percent: int, most_differing: float):
                 x, y = root(component[i]), root(component[j])
                 if x != y:
                     parent[max(x, y)] = min(x, y)
-                    found.append((ids[i], ids[j]))
+                    found.append((component[i], component[j]))
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"x": pairs[:, 0], "y": pairs[:, 1]})
 
@@ -120,21 +120,21 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
        pairs whose estimate is below 50 %, the others are confirmed on full sets: links of a first kind.
     4. Buckets whose members now lie in one component need nothing more. In the others all pairs
        across components are examined, sketch first and then full sets, in blocks of BLOCK members;
-       a task sends out no more links than join components. No pair becomes a row before it is linked.
+       a task sends out no more links than join components. No pair becomes a row before it is linked. Links found here
+       join whole components of the first kind, so only those take part in the second search for components.
     """
     signatures = written(documents.select("doc_id", "text").mapInArrow(_signatures, _SIGNATURE))
     # A table of its own: the joins below then deal out their sides anew, and a hot class can be split.
     classes = written(signatures.where("n_shingles > 0").groupBy("a", "b").agg(F.min("doc_id").alias("rep")))
     chosen = signatures.join(classes.select("a", "b", F.col("rep").alias("doc_id")), ["a", "b", "doc_id"], "left_semi")
-    chosen = chosen.dropDuplicates(["a", "b"])
-    keys = chosen.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"))
+    chosen = written(chosen.dropDuplicates(["a", "b"]).select(F.col("doc_id").alias("rep"), "bands", "sketch"))
+    keys = chosen.select(F.explode("bands").alias("key"), "rep")
     buckets = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("members")).where("members > 1")
     members = written(keys.join(buckets, "key"))
 
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets, "rep long, shingles array<long>")
-    sets = sets.join(chosen.select(F.col("doc_id").alias("rep"), "sketch"), "rep")
-    sets = written(sets)
+    sets = written(sets.join(chosen.select("rep", "sketch"), "rep"))
 
     most = sk.differing_bits(percent / 100 - LEEWAY)
     side = {n: sets.select(F.col("rep").alias(n), F.col("shingles").alias(f"{n}_set"), F.col("sketch").alias(f"{n}_sketch"))
@@ -148,8 +148,8 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = written(pairs.where(100 * common >= percent * union).select("x", "y"))
     first = written(connected_components(links))
 
-    labelled = members.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")).drop("leader")
+    labelled = written(members.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep")).drop("leader"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
@@ -159,10 +159,26 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     unresolved = unresolved.withColumn("pair", F.explode(pair)).join(sets, "rep")
     rest = unresolved.select("key", "pair.low", "pair.high", "rep", "component", "own_block", "sketch", "shingles").groupBy(
         "key", "low", "high").applyInArrow(_linked_in_block(percent, most), "x long, y long")
-    final = written(connected_components(links.union(rest)))
-
+    rest, joined = written_counting(rest, F.lit(True))
     rows = signatures.select("doc_id", "n_shingles", "a", "b").join(classes, ["a", "b"], "left").join(
-        final.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep"))
+        first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    if joined:  # few links are found this late; they join whole components
+        last = written(connected_components(rest)).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        rows = rows.join(last, "component", "left").withColumn("component", F.coalesce("whole", "component"))
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"),
                        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def drop_near_copies(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The documents without all but one of each group of near duplicates, with all their columns.
+
+    The row of smallest doc_id stays (null last; of rows that share it, any one). Rows are known by a number of their own, so
+    neither a null nor a repeated doc_id joins or loses any. Documents without words are in no group and stay.
+    """
+    row, component = own_name(documents, "its_row"), "component_id"
+    numbered = written(documents.withColumn(row, F.monotonically_increasing_id()))
+    groups = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), percent).select(F.col("doc_id").alias(row), component)
+    ids = numbered.select(row, F.struct(F.col("doc_id").isNull(), "doc_id", row).alias("place"))
+    first = ids.join(groups, row).groupBy(component).agg(F.min("place").alias("place")).select(F.col(f"place.{row}").alias(row))
+    return numbered.join(first, row, "left_semi").select(*columns(documents.columns))

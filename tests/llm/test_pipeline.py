@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lendscope.llm import line_dedup
+from lendscope.llm import line_dedup, mixing
 from lendscope.llm.tables import table, written
 
 from . import brute
@@ -68,3 +68,56 @@ def test_one_of_many_copies_stays(spark, small_dir):
     left = [r.text for r in corpus_pipeline.drop_near_copies(spark, after, small_dir).collect()]
     assert left.count(same) == 1 and sum("passage 7" in (t or "") for t in left) == 1
     assert corpus_pipeline.drop_boilerplate(spark, docs.limit(0), small_dir).count() == 0
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _docs(spark, rows):
+    df = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], DOCS)
+    return written(df.withColumns({"size": F.lit(1), "taken": F.lit("t"), "its_row": F.lit(0), "rep": F.lit(2), "component_id": F.lit("c")}))
+
+
+def _words(n, seed):
+    return " ".join(f"w{seed}x{k}" for k in range(n))
+
+
+def test_near_copies_of_odd_rows(spark, small_dir):
+    """Rows without id, with a repeated id, exact repeats, texts without words: one row of each group stays, no other goes."""
+    near = _words(40, 1) + " tail"
+    rows = [(None, _words(30, 0), "a"), (None, _words(30, 9), "a"), (5, _words(40, 1), "a"), (5, _words(40, 1), "a"), (5, _words(30, 2), None),
+            (3, near, "a"), (None, near, "b"), (7, None, "a"), (8, "", "a"), (8, "", "a"), (None, " \t", None)]
+    docs = _docs(spark, rows)
+    after = corpus_pipeline.drop_near_copies(spark, docs, small_dir)
+    assert after.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in after.collect()), key=repr)
+    assert left == sorted([(None, _words(30, 0)), (None, _words(30, 9)), (5, _words(30, 2)), (3, near), (7, None), (8, ""), (8, ""), (None, " \t")], key=repr)
+
+
+def test_mix_of_odd_rows(spark, small_dir):
+    """The mixed table holds the words that the plan takes, rows without id or that repeat one included."""
+    rows = [(None, _words(10, 0), "a"), (None, _words(6, 1), "a"), (4, _words(9, 2), "b"), (4, _words(9, 2), "b"), (4, _words(9, 3), "b"),
+            (6, _words(1, 4), None), (7, None, "b"), (8, "", None)]
+    docs = _docs(spark, rows)
+    plan = mixing.mix(docs.select("doc_id", "source", "text")).agg(F.sum("taken")).first()[0]
+    mixed = corpus_pipeline.mix_sources(spark, docs, small_dir)
+    assert mixed.columns == docs.columns
+    got = [r.text for r in mixed.collect()]
+    assert sum(len(t.split()) for t in got) == plan == 44
+    assert all(any((own or "").startswith(t) for _, own, _ in rows) for t in got)
+
+
+def test_stages_of_nothing(spark, small_dir):
+    docs = _docs(spark, [(1, "a b", "s")]).limit(0)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, docs, small_dir).count() == 0
+    assert corpus_pipeline.keep_good(spark, docs, small_dir).count() == 0
+    assert corpus_pipeline.pack(spark, _docs(spark, [(None, "one two", "s"), (1, None, "s"), (1, "x", "s"), (1, "x", "s")]), small_dir).count() >= 4
+
+
+def test_quality_of_odd_rows(spark, small_dir):
+    """A row's fate depends on its text alone: equal texts go or stay together, whatever their ids."""
+    good = table(spark, small_dir, "labels").where("quality = 1").select("doc_id").join(table(spark, small_dir, "documents"), "doc_id").first().text
+    docs = _docs(spark, [(None, good, "a"), (1, good, "b"), (1, good, "b"), (2, None, "a"), (None, "", "a")])
+    after = corpus_pipeline.keep_good(spark, docs, small_dir)
+    assert after.columns == docs.columns and after.where(F.col("text") == good).count() in (0, 3)
