@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.tables import written, written_counting
+from lendscope.llm.tables import release, written, written_counting
 
 MOST_ROUNDS = 60
 
@@ -38,6 +38,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     rounds = 0
     while left and not _is_forest_of_stars(edges):
         rounds += 1
+        release(links.sparkSession)
         if rounds > MOST_ROUNDS:
             raise RuntimeError("components did not settle")
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lendscope.llm import sketches as sk
 from lendscope.llm.components import connected_components
-from lendscope.llm.tables import columns, own_name, written, written_counting
+from lendscope.llm.tables import columns, own_name, release, written, written_counting
 from lendscope.llm.words import chunks, split_words
 
 PERCENT = 75
@@ -146,7 +146,9 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     common = F.size(F.array_intersect("x_set", "y_set"))
     union = F.size("x_set") + F.size("y_set") - common
     links = written(pairs.where(100 * common >= percent * union).select("x", "y"))
+    release(documents.sparkSession)
     first = written(connected_components(links))
+    release(documents.sparkSession)
 
     labelled = written(members.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep")).drop("leader"))

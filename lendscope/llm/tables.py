@@ -24,6 +24,15 @@ def written_counting(df: DataFrame, rows: Column) -> tuple[DataFrame, int]:
     return out, seen.get["n"]
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of finished steps between rounds.
+
+    Spark drops shuffle files and broadcasts of a step once the driver has collected its plan as garbage. Many short rounds
+    may pass before it does, and their files and plans would pile up on disk and in the driver's heap.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def columns(names: list[str], *left_out: str) -> list[Column]:
     """Columns by name, whatever characters the names have."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names if n not in left_out]
