@@ -25,27 +25,48 @@ def star_tables(df: DataFrame, tables: Mapping[str, tuple] = fx.STAR_TABLES) ->
     return {name: t for name, t in projected.items() if t is not None}
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> str:
-    writer = df.write.mode(mode)
-    if partition_by is not None and partition_by in df.columns:
-        writer = writer.partitionBy(partition_by)
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None,
+                  only_present: bool = False) -> str:
+    """Write ``df``, in folders by ``partition_by`` where it has that column.
+
+    ``only_present`` replaces the folders of the values that ``df`` has and leaves all others as they are. Rows of a value
+    are gathered before they are written, large values in several files, so that no task writes a file for every value.
+    """
+    if partition_by is None or partition_by not in df.columns:
+        df.write.mode(mode).parquet(path)
+        return path
+    if only_present:
+        df = df.hint("rebalance", F.col(f"`{partition_by}`"))
+    writer = df.write.mode(mode).partitionBy(partition_by)
+    if only_present:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return path
 
 
-def write_star_parquet(df: DataFrame, base: str, dataset: str, rebuild: bool = True) -> list[str]:
+def write_star_parquet(df: DataFrame, base: str, dataset: str, rebuild: bool = True, partition_by: str | None = None) -> list[str]:
     """The flat table, then the star tables as projections of what was written.
 
     Reading the written table back means the feature plan runs once, not once per table.
-    ``rebuild=False`` keeps whatever is already there (S12).
+    ``rebuild=False`` keeps whatever is already there (S12). With ``partition_by`` tables that have that column lie in a
+    folder per value, and a rebuild replaces only the values that ``df`` has: a new year adds its folder, a corrected one
+    takes the place of its own, and neither reads nor writes the others. Star tables without the column follow the whole
+    flat table.
     """
     mode = "overwrite" if rebuild else "ignore"
-    flat_path = write_parquet(df, f"{base}/{dataset}_features.parquet", mode)
-    flat = df.sparkSession.read.parquet(flat_path)
-    return [flat_path] + [
-        write_parquet(table, f"{base}/{dataset}_{name}.parquet", mode)
-        for name, table in star_tables(flat).items()
-    ]
+    flat_path = write_parquet(df, f"{base}/{dataset}_features.parquet", mode, partition_by, bool(partition_by))
+    spark = df.sparkSession
+    flat = spark.read.parquet(flat_path)
+    if not partition_by or partition_by not in flat.columns:
+        return [flat_path] + [write_parquet(table, f"{base}/{dataset}_{name}.parquet", mode) for name, table in star_tables(flat).items()]
+    values = [r[0] for r in df.select(F.col(f"`{partition_by}`")).distinct().collect()]  # one per folder
+    column = F.col(f"`{partition_by}`")
+    touched = flat.where(column.isin([v for v in values if v is not None]) | (column.isNull() if None in values else F.lit(False)))
+    paths = [flat_path]
+    for name, table in star_tables(flat).items():
+        some = star_tables(touched)[name] if partition_by in table.columns else table
+        paths.append(write_parquet(some, f"{base}/{dataset}_{name}.parquet", mode, partition_by, True))
+    return paths
 
 
 def jdbc_tables(df: DataFrame, dataset: str) -> dict[str, DataFrame]:

@@ -1,10 +1,12 @@
 """Readers, sinks, ingestion plans and streams."""
 
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from lendscope import fixed_values as fx
 from lendscope.operators import features
@@ -120,3 +122,32 @@ def test_stream_gives_the_batch_features(spark, tmp_path):
     query.awaitTermination(120)
     batch = features.snapshot_features(raw.withColumnRenamed("row_id", "loan_id"), fit)
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def _files(path):
+    return {f: f.stat().st_mtime_ns for f in pathlib.Path(path).rglob("*.parquet")}
+
+
+def test_rebuilding_one_year_leaves_the_others(spark, tmp_path):
+    """Flat and star tables in folders by year: a rebuild of one year touches that year's files alone."""
+    def build(years, amount):
+        listed = "array(" + ", ".join(map(str, years)) + ")"
+        return spark.range(60).selectExpr("id AS loan_id", f"element_at({listed}, CAST(id % {len(years)} AS INT) + 1) AS issue_year",
+                                          f"{amount}D + id AS loan_amnt", "'A' AS grade", "id % 7 AS term")
+
+    base = str(tmp_path / "store")
+    paths = sinks.write_feature_store(build([2015, 2016, 2017], 100), "loans", base, partition_by="issue_year")
+    before = {p: _files(p) for p in paths}
+    again = sinks.write_feature_store(build([2016, 2018], 9000), "loans", base, partition_by="issue_year")
+    assert again == paths
+    flat = spark.read.parquet(paths[0])
+    counts = {r[0]: (r[1], r[2] > 5000) for r in flat.groupBy("issue_year").agg(F.count("*"), F.min("loan_amnt")).collect()}
+    assert counts == {2015: (20, False), 2016: (30, True), 2017: (20, False), 2018: (30, True)}
+    for path in paths:
+        table, old = spark.read.parquet(path), before[path]
+        if "issue_year" in table.columns:
+            kept = {f: t for f, t in old.items() if "2016" not in str(f.parent)}
+            assert kept and kept.items() <= _files(path).items()
+            assert table.count() == 100
+    kept = sinks.write_feature_store(build([2015], 1), "loans", base, partition_by="issue_year", rebuild=False)
+    assert kept == paths and spark.read.parquet(paths[0]).where("issue_year = 2015").count() == 20
