@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.operators.shared_storage import cut_lineage
@@ -18,10 +18,12 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def written_counting(df: DataFrame, rows: Column) -> tuple[DataFrame, int]:
-    """``written``, and the number of rows for which ``rows`` holds, counted while they are written."""
-    seen = Observation()
-    out = written(df.observe(seen, F.count(F.when(rows, 1)).alias("n")))
-    return out, seen.get["n"]
+    """``written``, and the number of its rows for which ``rows`` holds.
+
+    They are counted in the table: an observation would leave the session with a member that Spark cannot send to tasks.
+    """
+    out = written(df)
+    return out, out.where(rows).count()
 
 
 def release(spark: SparkSession) -> None:
