@@ -1,7 +1,7 @@
-"""Log-probabilities of documents under an n-gram model with backoff.
+"""Log-probabilities of documents under an n-gram model with backoff, as a weighted automaton with failure arcs.
 
-``build`` and ``traverse`` hold a model in one process, as a weighted backoff automaton. ``score`` gives what that
-automaton gives with every n-gram of the training texts in it, but no process ever holds the model.
+``build`` makes the automaton of a whole model and ``traverse`` walks it, both in one process. ``score`` holds no whole model
+anywhere: each task builds the part of the automaton that its own texts can reach (``reachable``) and walks that.
 """
 
 from __future__ import annotations
@@ -91,7 +91,7 @@ class Automaton(NamedTuple):
     arc_target: np.ndarray
     arc_log: np.ndarray
     fail: np.ndarray
-    backoff: np.ndarray  # log10
+    backoff: np.ndarray | None  # log10; None where the weights are not known yet
 
 
 def build(levels: list[Grams], total: int, discount: float, order: int) -> Automaton:
@@ -136,11 +136,49 @@ def build(levels: list[Grams], total: int, discount: float, order: int) -> Autom
                      np.log10(np.concatenate(prob))[ordered], np.concatenate(fails), np.concatenate(backoffs))
 
 
-def traverse(model: Automaton, words: np.ndarray, first: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """log10 probability of each token by one walk from left to right; ``words`` are numbers, -1 for an unknown word.
+def reachable(numbers: np.ndarray, at: list[np.ndarray], count: np.ndarray, total: int, discount: float,
+              words: np.ndarray) -> tuple[Automaton, np.ndarray]:
+    """The part of the whole automaton that some texts can reach, and the n-gram of each state.
+
+    ``numbers`` is the word at each token, ``at`` and ``count`` the n-gram of each length that ends there and how often
+    training texts hold each n-gram. Every n-gram of the texts that is in training gives its arc, and those shorter than the longest
+    are states; the suffixes and prefixes of such an n-gram are in training too, so arcs and failures end inside the part.
+    Backoff weights depend on words that these texts may not hold and are left open.
+    """
+    order, base = len(at) - 1, np.uint64(max(len(words), 1))
+    state = np.zeros(len(count) + 1, np.int64)  # the last one stands for the empty n-gram, which has the number -1
+    held = []
+    for n in range(1, order + 1):
+        place = np.full(len(count), -1, np.int64)
+        inner = np.flatnonzero(at[n] >= 0)
+        place[at[n][inner]] = inner
+        held.append(place[(place >= 0) & (count > 0)])
+    owners = np.concatenate([at[n][held[n - 1]] for n in range(1, order)])
+    state[owners] = np.arange(1, len(owners) + 1)
+    keys, lands, logs, fails = [], [], [], [np.zeros(1, np.int64)]
+    for n, place in enumerate(held, 1):
+        gram = at[n][place]
+        before = at[n - 1][place - 1] if n > 1 else np.full(len(place), -1, np.int64)
+        keys.append(state[before].astype(np.uint64) * base + numbers[place].astype(np.uint64))
+        suffix = at[n - 1][place] if n > 1 else np.full(len(place), -1, np.int64)
+        lands.append(state[gram] if n < order else state[suffix])
+        if n < order:
+            fails.append(state[suffix])
+        logs.append(np.log10((count[gram] - DISCOUNT) / count[before]) if n > 1
+                    else np.log10(np.maximum(count[gram] - discount, 1e-300) / max(total, 1)))
+    keys = np.concatenate(keys)
+    ordered = np.argsort(keys)
+    model = Automaton(words, np.zeros(0, np.int64), keys[ordered], np.concatenate(lands)[ordered], np.concatenate(logs)[ordered],
+                      np.concatenate(fails), None)
+    return model, np.append(-1, owners)
 
-    An unknown word costs the failures to state 0; its own probability is added elsewhere. A state depends
-    on order - 1 tokens only, so a text is walked as segments that begin that much earlier, all of
+
+def walk(model: Automaton, words: np.ndarray, first: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """log10 weight of the arcs that each token takes, by one walk from left to right; and the failures on the way as
+    tokens and the states that failed there, whose backoff weights are still to be added.
+
+    ``words`` are numbers, -1 for an unknown word: that one costs the failures to state 0; its own probability is added
+    elsewhere. A state depends on order - 1 tokens only, so a text is walked as segments that begin that much earlier, all of
     them in step: each step moves every segment by a token.
     """
     lengths = np.diff(first)
@@ -150,31 +188,37 @@ def traverse(model: Automaton, words: np.ndarray, first: np.ndarray, order: int
     end = np.minimum(start + SEGMENT, first[document + 1])
     at = np.maximum(start - (order - 1), first[document])
     out = np.zeros(len(words))
+    failed_at, failed_state = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     state = np.zeros(len(at), np.int64)
     base = np.uint64(max(len(model.words), 1))
     active = np.arange(len(at))
     while len(active):
         place = at[active]
         word, here = words[place], state[active]
-        log = np.zeros(len(active))
+        counted = place >= start[active]
         going = np.arange(len(active))
         while len(going):
             w, s = word[going], here[going]
             arc = np.where(w >= 0, _find(model.arc_keys, s.astype(np.uint64) * base + np.maximum(w, 0).astype(np.uint64)), -1)
             hit = arc >= 0
-            log[going[hit]] += model.arc_log[arc[hit]]
-            here[going[hit]] = model.arc_target[arc[hit]]
+            taken = going[hit]
+            out[place[taken][counted[taken]]] = model.arc_log[arc[hit]][counted[taken]]
+            here[taken] = model.arc_target[arc[hit]]
             failed = going[~hit]
-            stuck = failed[here[failed] > 0]
-            log[stuck] += model.backoff[here[stuck]]
-            here[stuck] = model.fail[here[stuck]]
-            going = stuck
+            going = failed[here[failed] > 0]
+            failed_at.append(place[going][counted[going]])
+            failed_state.append(here[going][counted[going]])
+            here[going] = model.fail[here[going]]
         state[active] = here
-        counted = place >= start[active]
-        out[place[counted]] = log[counted]
         at[active] += 1
         active = active[at[active] < end[active]]
-    return out
+    return out, np.concatenate(failed_at), np.concatenate(failed_state)
+
+
+def traverse(model: Automaton, words: np.ndarray, first: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """log10 probability of each token: the arcs and failures of ``walk`` in a model whose weights are known."""
+    out, failed_at, failed_state = walk(model, words, first, order)
+    return out + np.bincount(failed_at, model.backoff[failed_state], len(words))
 
 
 def _boxed(*arrays: np.ndarray) -> bytes:
@@ -308,9 +352,13 @@ def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
        to the part of its hash, and what it needs to go on (its words as numbers) to any part, which hands it on.
     2. Parts add up the counts and answer every run. So an n-gram that is everywhere costs one entry per run, and
        parts are even however hot a word is.
-    3. A run now knows the counts of all its n-grams. Where one was not seen, the context's backoff weight is due. It
-       depends on all words seen after the context: each n-gram is reported to its context by one run, if any held-out row has that context.
-    4. A second round of the same kind adds up these reports and answers the runs that need weights.
+    3. A run now knows the counts of all its n-grams, so it builds the states and arcs that its texts can reach and walks them once from
+       left to right. Each failure on the way owes its state's backoff weight. It depends on all words seen after the state: each
+       n-gram is reported to its context by one run, if any held-out row has that context.
+    4. A second round of the same kind adds up these reports and answers the runs that owe weights.
+
+    Runs are numbered by task and place, so a task that runs again must meet its rows in the same order: true of a file or a
+    written table, which ``documents`` should be.
     """
     docs = documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held"))
     spark = docs.sparkSession
@@ -358,12 +406,7 @@ def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
         value = np.concatenate([_unboxed(b)[0] for b in answers])
         first_here, wanted = (value & 2) > 0, (value & 1) > 0
         count = [np.where(a >= 0, (value >> 2)[a], 0) for a in at]
-        row = np.repeat(np.arange(len(lengths)), lengths)
-        n_tokens = len(row)
-
         follow, lower = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        logs, pending = np.zeros(n_tokens), np.ones(n_tokens, bool)
-        asked_key, asked_row, asked_facts = [], [], []
         for n in range(order, 1, -1):
             inner = np.flatnonzero(at[n] >= 0)
             # Of each n-gram that this run reports, any one place.
@@ -373,22 +416,16 @@ def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
             place = place[wanted[at[n - 1][place - 1]]]
             np.add.at(follow, at[n - 1][place - 1], 1)
             np.add.at(lower, at[n - 1][place - 1], count[n - 1][place])
-            here = inner[pending[inner]]
-            seen = here[count[n][here] > 0]
-            logs[seen] += np.log10((count[n][seen] - DISCOUNT) / count[n - 1][seen - 1])
-            pending[seen] = False
-            due = here[(count[n][here] == 0) & (count[n - 1][here - 1] > 0)]
-            asked_key.append(at[n - 1][due - 1])
-            asked_row.append(row[due])
-            shorter = count[n - 2][due - 1] if n > 2 else np.full(len(due), total, np.int64)
-            asked_facts.append(np.stack([count[n - 1][due - 1], shorter, np.full(len(due), n, np.int64)]))
-        last = np.flatnonzero(pending)
-        once_seen = count[1][last] > 0
-        logs[last] += np.where(once_seen, np.log10(np.maximum(count[1][last] - discount, 1e-300) / max(total, 1)), unknown)
-
-        keys, rows_of = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (asked_key, asked_row))
-        context, first_ask, entry = np.unique(keys, return_index=True, return_inverse=True)
-        about = np.concatenate([np.zeros((3, 0), np.int64), *asked_facts], axis=1)[:, first_ask]
+
+        numbers = numbers.astype(np.int64)
+        model, gram = reachable(numbers, at, value >> 2, total, discount, words)
+        logs, failed_at, failed_state = walk(model, np.where(count[1] > 0, numbers, -1), np.append(0, np.cumsum(lengths)), order)
+        logs[count[1] == 0] += unknown
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        rows_of = row[failed_at]
+        context, first_ask, entry = np.unique(gram[failed_state], return_index=True, return_inverse=True)  # answers come in this order
+        shorter = gram[model.fail[failed_state[first_ask]]]
+        about = np.stack([(value >> 2)[context], np.where(shorter < 0, total, (value >> 2)[shorter]), (shorter < 0).astype(np.int64)])
         starts = np.cumsum(lengths) - lengths
         own = _boxed(lengths, ids, known, held, np.add.reduceat((count[1] > 0).astype(np.int64), starts),
                      np.add.reduceat(np.log10(count[1] + 1.0), starts), np.add.reduceat(logs, starts),
@@ -404,10 +441,10 @@ def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
 
     def finish(table: pa.Table) -> pa.Table:
         _, own, answers = _gathered(table)
-        lengths, ids, known, held, n_known, base, logs, here, shorter, n, entry, rows_of = own
+        lengths, ids, known, held, n_known, base, logs, here, shorter, single, entry, rows_of = own
         found = [_unboxed(b) for b in answers]
         follow, lower = (np.concatenate([np.zeros(0, np.int64), *c]).astype(float) for c in (zip(*found, strict=True) if found else ([], [])))
-        spared = np.where(n == 2, discount, DISCOUNT)
+        spared = np.where(single > 0, discount, DISCOUNT)
         # What the context leaves, over what the shorter context gives to words not seen after the longer one.
         weight = np.log10(DISCOUNT * follow / here) - np.log10((shorter - lower + spared * follow) / shorter)
         return pa.table({
@@ -415,10 +452,10 @@ def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
             "base": base, "logs": logs + np.bincount(rows_of, weight[entry], len(lengths))})
 
     rows = (docs.mapInArrow(ask, _SENT)
-            .groupBy("part").applyInArrow(lambda table: _answered(table, _total_counts), _SENT)
-            .groupBy("run").applyInArrow(settle, _SENT)
-            .groupBy("part").applyInArrow(lambda table: _answered(table, _total_contexts), _SENT)
-            .groupBy("run").applyInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, logs double"))
+            .repartition(parts, "part").groupBy("part").applyInArrow(lambda table: _answered(table, _total_counts), _SENT)
+            .repartition(parts, "run").groupBy("run").applyInArrow(settle, _SENT)
+            .repartition(parts, "part").groupBy("part").applyInArrow(lambda table: _answered(table, _total_contexts), _SENT)
+            .repartition(parts, "run").groupBy("run").applyInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, logs double"))
     return rows.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * float(np.log10(total + kinds + 1))).alias("base_score"), F.col("logs").alias("score"))
