@@ -20,12 +20,14 @@ WINDOW = 8_192  # pieces among which sequences are filled
 CARRIED = 1_024  # pieces left of a window that the next one takes over
 TASK_PIECES = 65_536
 SEQUENCES = 1 << 36  # sequence numbers of one task
+SPECIAL = {"<|endoftext|>": 50_256}  # the token that the .json vocabulary adds to the ranks
 
 
-def encoder(path: str):
+def encoder(path: str, special: dict[str, int] = SPECIAL):
     """``f(text)`` to an array of ids, for a tokenizers (.json) or tiktoken (.tiktoken) vocabulary.
 
-    Strings of special tokens in a text are ordinary text.
+    The string of a special token in a text is that token, as the tokenizers library has it by default. A .json
+    file names its special tokens itself; a .tiktoken file does not, so they are given. With none it is ordinary text.
     """
     if path.endswith(".tiktoken"):
         import base64
@@ -35,12 +37,12 @@ def encoder(path: str):
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        ranked = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda text: ranked.encode_to_numpy(text, disallowed_special=())
+        ranked = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        return lambda text: ranked.encode_to_numpy(text, allowed_special="all")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = not special
     return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
