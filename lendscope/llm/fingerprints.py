@@ -86,6 +86,18 @@ def common_extension(a: PrefixHashes, i: int, b: PrefixHashes, j: int) -> int:
     return low
 
 
+def common_prefix(x: str, y: str) -> int:
+    """How many code points two texts begin with in common: blocks of growing size, the first unequal one searched."""
+    at, size, most = 0, 64, min(len(x), len(y))
+    while at < most:
+        end = min(at + size, most)
+        equal = common_extension(PrefixHashes(code_points(x[at:end])), 0, PrefixHashes(code_points(y[at:end])), 0)
+        if at + equal < end:
+            return at + equal
+        at, size = end, min(2 * size, BLOCK)
+    return at
+
+
 def _marks(n: int) -> list[int]:
     """Prefix lengths that a fingerprint of n code points knows: 1, 2, 3, 4, 6, 8, 12, 16, ... below n."""
     out, step = [1, 2, 3], 4
@@ -125,23 +137,24 @@ def fingerprint(text: str) -> str:
             near = np.unique(found[found <= cut])
             found = near if len(near) >= SKETCH else found
         least = np.unique(np.concatenate([least, found]))[:SKETCH]
-    return "-".join((f"{n:x}", "".join(f"{w:08x}" for w in whole), prefix.astype(">u2").tobytes().hex(), least.astype(">u4").tobytes().hex()))
+    return "-".join((f"{n:x}", "".join(f"{w:08x}" for w in whole), prefix.astype(">u4").tobytes().hex(), least.astype(">u4").tobytes().hex()))
 
 
 def likeness(x: str, y: str) -> float:
     """Likeness of two texts by their fingerprints, 0 to 1: 1 for equal ones.
 
     The larger of two shares: spans in common (twice the common ones over both, estimated from the sketches), and the
-    common prefix over the longer text (binary search over the prefix hashes in both).
+    common prefix over the longer text (binary search over the prefix hashes in both). A fingerprint knows some prefixes only, so
+    that share is rounded down by up to a third; ``common_prefix`` tells it exactly from the texts.
     """
     if x == y:
         return 1.0
     (nx, _, px, sx), (ny, _, py, sy) = x.split("-"), y.split("-")
     nx, ny = int(nx, 16), int(ny, 16)
-    low, high = 0, min(len(px), len(py)) // 4
+    low, high = 0, min(len(px), len(py)) // 8
     while low < high:
         middle = (low + high + 1) // 2
-        if px[4 * (middle - 1):4 * middle] == py[4 * (middle - 1):4 * middle]:
+        if px[8 * (middle - 1):8 * middle] == py[8 * (middle - 1):8 * middle]:
             low = middle
         else:
             high = middle - 1
@@ -153,21 +166,26 @@ def likeness(x: str, y: str) -> float:
     return min(max(prefix, 2 * similarity / (1 + similarity)), 1.0 - 1.0 / (max(nx, ny) + 1))
 
 
-_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+           "common_edited long, common_next long")
 _EDGES = _RESULT + ", part int, head string, tail string"
 _NAMES = [field.split()[0] for field in _EDGES.split(", ")]
 
 
+_WIDTH = len(_RESULT.split(", "))
+
+
 def _compared(doc_id, text: str, own: str, following: str, next_own: str) -> tuple:
     n = len(text)
     edited = text[:n - n // 2] + following[:n // 2]
     other = fingerprint(edited)
     digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    return doc_id, n, digest, own, other, likeness(own, other), likeness(own, next_own)
+    return (doc_id, n, digest, own, other, likeness(own, other), likeness(own, next_own),
+            common_prefix(text, edited), common_prefix(text, following))
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    types = dict(zip(_NAMES, [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.string()], strict=True))
+    types = dict(zip(_NAMES, [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string()], strict=True))
     return pa.RecordBatch.from_arrays([pa.array(c, types[n]) for n, c in zip(names, zip(*rows, strict=True), strict=True)], names=names)
 
 
@@ -188,13 +206,13 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if rows:
                 yield _batch(rows, _NAMES)
     if last:
-        yield _batch([(last[0], *[None] * 6, TaskContext.get().partitionId(), head, last[1])], _NAMES)
+        yield _batch([(last[0], *[None] * (_WIDTH - 1), TaskContext.get().partitionId(), head, last[1])], _NAMES)
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for doc_id, tail, following in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tail", "following")), strict=True):
-            yield _batch([_compared(doc_id, tail, fingerprint(tail), following, fingerprint(following))], _NAMES[:7])
+            yield _batch([_compared(doc_id, tail, fingerprint(tail), following, fingerprint(following))], _NAMES[:_WIDTH])
 
 
 def document_fingerprints(documents: DataFrame) -> DataFrame:
@@ -203,7 +221,8 @@ def document_fingerprints(documents: DataFrame) -> DataFrame:
     The edited text is the text with its last floor(n / 2) code points replaced by as many first ones of the
     next document, or all if it is shorter. Next is by descending doc_id, nulls last, and after the last
     comes the first; rows that share doc_id go by a hash of the text. A null text is empty; a single document is its own next.
-    Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    and common_edited and common_next, the code points that the text begins with in common with the edited text and the next one.
 
     Texts are shuffled once, into ranges of doc_id that are sorted and read row by row. Only the two ends
     of each range meet those of its neighbours, in a second step over one row per range.
@@ -220,4 +239,4 @@ def document_fingerprints(documents: DataFrame) -> DataFrame:
     pairs = numbers.select("part", after.alias("following_part"))
     heads = edges.select(F.col("part").alias("following_part"), F.col("head").alias("following"))
     ends = edges.select("doc_id", "part", "tail").join(pairs, "part").join(heads, "following_part").select("doc_id", "tail", "following")
-    return found.where(F.col("part").isNull()).select(*_NAMES[:7]).union(ends.mapInArrow(_across, _RESULT))
+    return found.where(F.col("part").isNull()).select(*_NAMES[:_WIDTH]).union(ends.mapInArrow(_across, _RESULT))
