@@ -34,6 +34,12 @@ NOT_TEXT_WORDS = frozenset(
     "recommendations newsletter subscribe subscription signup login register search searchbox widget widgets skip tags taboola outbrain "
     "copyright legal disclaimer".split())
 HEADER_WORDS = frozenset("header head".split())
+# Words that say where such a part stands or how it is built. A name with any other word (market-share, search-history) is the article's own.
+FRAME_WORDS = frozenset(
+    "area bar body bottom box block btn button buttons card cards center col column container content cta dialog fixed float form global group "
+    "holder icon icons inline inner item items js layout left level line link links list lists main message module more new outer page panel pane "
+    "placeholder policy post posts primary right row secondary section site slot small sticky sub tab text thread title tools top unit ui user "
+    "view wrap wrapper zone".split())
 KEPT_TAGS = frozenset("html body article main".split())
 CLOSES = {  # a start tag ends an open element of these names, unless one of the others lies between
     "li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th caption", "table"),
@@ -57,7 +63,8 @@ _COMMA = re.compile("[,،、，]")
 
 SHORTEST = 25  # a shorter paragraph gives no points
 POINTS_LENGTH = 100  # a point for so many characters of a paragraph
-SIBLING_SHARE = 0.2
+SIBLING_SHARE = 0.2  # of the points of an article: an element beside it that has so many is part of it
+SIBLING_POINTS = 10.0
 MENU_DENSITY = 0.6
 
 
@@ -79,9 +86,11 @@ class Page:
             if name == "role" and value.lower() in NOT_TEXT_ROLES:
                 return True
             if name in ("class", "id") and tag not in KEPT_TAGS:
-                words = {w.lower() for w in _WORD.findall(value)}
-                if words & NOT_TEXT_WORDS or words & HEADER_WORDS and not in_article and tag not in ("h1", "h2"):
-                    return True
+                unwanted = NOT_TEXT_WORDS if in_article or tag in ("h1", "h2") else NOT_TEXT_WORDS | HEADER_WORDS
+                for one in value.split():
+                    words = {w.lower() for w in _WORD.findall(one)}
+                    if words & unwanted and words <= unwanted | FRAME_WORDS | HEADER_WORDS:
+                        return True
         return tag == "article" and bool({"comment", "comments", "reply"} & {w.lower() for w in _WORD.findall(rest)})
 
     def _read(self, source: str) -> None:
@@ -161,8 +170,9 @@ def main_text(source: str | None) -> str:
     n = len(page.tag)
     tag, parent = page.tag, page.parent
     # The block that holds each run, and the link that it lies in.
-    block, in_link = list(range(n)), [False] * n
+    block, in_link, in_article = list(range(n)), [False] * n, [False] * n
     for i in range(1, n):
+        in_article[i] = tag[i] in ("article", "main") or in_article[parent[i]]
         if tag[i] not in BLOCK:
             block[i] = block[parent[i]]
         in_link[i] = tag[i] == "a" or in_link[parent[i]]
@@ -183,11 +193,11 @@ def main_text(source: str | None) -> str:
     def density(i: int) -> float:
         return linked[i] / length[i] if length[i] else 0.0
 
-    # Lists and boxes that are mostly links are menus, wherever they stand.
+    # Lists and boxes that are mostly links are menus, but for those in what says it is the article.
     gone = list(page.dropped)
     for i in range(1, n):
         gone[i] = gone[i] or gone[parent[i]] or (
-            tag[i] in ("ul", "ol", "dl", "div", "section", "table") and links[i] > 1 and density(i) > MENU_DENSITY)
+            not in_article[i] and tag[i] in ("ul", "ol", "dl", "div", "section", "table") and links[i] > 1 and density(i) > MENU_DENSITY)
     points: dict[int, float] = {}
     for i in range(n):
         if gone[i] or tag[i] not in PARAGRAPH or not own[i]:
@@ -211,14 +221,15 @@ def main_text(source: str | None) -> str:
                 best = at
                 break
             at = parent[at]
-        least = max(10.0, points.get(best, 0.0) * SIBLING_SHARE)
         chosen = {best}
-        if best > 0 and tag[best] != "main":
-            for i in range(1, n):
-                if parent[i] == parent[best] and not gone[i]:
-                    text_like = tag[i] == "p" and length[i] > 80 and density(i) < 0.25
-                    if points.get(i, 0.0) >= least or text_like:
-                        chosen.add(i)
+        beside = [i for i in range(1, n) if best > 0 and parent[i] == parent[best] and not gone[i] and i != best]
+        if tag[best] == "article":  # its like beside it, and its title if that stands before it
+            least = max(SIBLING_POINTS, points.get(best, 0.0) * SIBLING_SHARE)
+            chosen |= {i for i in beside if points.get(i, 0.0) >= least}
+            titled = any(tag[i] == "h1" and in_article[i] and not gone[i] for i in range(n))
+            chosen |= {i for i in beside if tag[i] == "h1" and i < best and not titled}
+        elif tag[best] != "main":  # nothing says what the article is: all beside the best that is not mostly links
+            chosen |= {i for i in beside if density(i) <= MENU_DENSITY}
     else:  # nothing long enough: what calls itself the article, else all that is no menu or frame
         chosen = {i for i in range(n) if tag[i] in ("article", "main") and not gone[i]} or {0}
     inside = [False] * n
@@ -242,10 +253,11 @@ def extract_text(pages: DataFrame, source: str = "html") -> DataFrame:
 
     The whole html is read into a tree as browsers do (open paragraphs, unclosed tags and comments, and a page that breaks
     off are fine). Menus, page headers and footers, asides, forms, scripts, hidden elements, adverts, notices and reader
-    comments go by element, role, and words in class and id. Each paragraph of 25 characters or more gives
+    comments go by element, role, and names in class and id that consist of such words. Each paragraph of 25 characters or more gives
     its parent a point, one per comma and one per 100 characters; the grandparent gets half, and farther
     ancestors less. Points are discounted by the share of the text that lies in links. The best element, or the
-    article or main element around it, is kept with siblings that score a fifth of it or are plain paragraphs.
+    article or main element around it, is kept; of its siblings all that are not mostly links, or beside an article those that score
+    a fifth of it and a title before it. Link lists outside article and main are menus, those inside are references.
     A null or empty page, and one without any text, gives an empty text of 0 code points. Rows do not depend on each other.
     """
     carried = [c for c in pages.columns if c not in ("text", "n_chars")]
