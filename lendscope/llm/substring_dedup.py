@@ -284,9 +284,9 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     buckets = partitions(spark, size, BUCKET_BYTES)
     docs = _with_bucket(documents, buckets)
     probes = docs.select("doc", "version", "text").mapInArrow(_probe(block, parts, buckets), _ROUTED)
-    hits = written(probes.groupBy("part").applyInArrow(_hits(block, buckets), _ROUTED).select("bucket", "blob"))
-    grouped = docs.groupBy("bucket")
-    windows = grouped.cogroup(hits.groupBy("bucket")).applyInArrow(_extend(window, block, parts, buckets), _ROUTED)
-    repeats = windows.groupBy("part").applyInArrow(_later(buckets), _ROUTED).select("bucket", "blob")
-    return grouped.cogroup(repeats.groupBy("bucket")).applyInArrow(
+    hits = written(probes.repartition(parts, "part").groupBy("part").applyInArrow(_hits(block, buckets), _ROUTED).select("bucket", "blob"))
+    grouped = docs.repartition(buckets, "bucket").groupBy("bucket")
+    windows = grouped.cogroup(hits.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(_extend(window, block, parts, buckets), _ROUTED)
+    repeats = windows.repartition(parts, "part").groupBy("part").applyInArrow(_later(buckets), _ROUTED).select("bucket", "blob")
+    return grouped.cogroup(repeats.repartition(buckets, "bucket").groupBy("bucket")).applyInArrow(
         _remaining(window), "doc_id long, text string, n_words long, n_removed long, removed array<int>")
