@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import os
 import random
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -110,6 +112,44 @@ def test_html_rows(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+class _Article(HTMLParser):
+    """Text of article elements by the standard parser, without what stands in navigation, adverts and the like."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.blocks = [], []
+
+    def handle_starttag(self, tag, attributes):
+        if tag in ("p", "li", "h1", "h2", "div", "ul", "article"):
+            self.blocks.append("")
+        if tag == "br":
+            self.blocks.append(self.blocks.pop() + "\n")
+        elif tag != "meta":
+            self.open.append((tag, dict(attributes).get("class")))
+
+    def handle_endtag(self, tag):
+        if tag in [t for t, _ in self.open]:
+            while self.open.pop()[0] != tag:
+                pass
+            if tag in ("p", "li", "h1", "h2", "div", "ul", "article"):
+                self.blocks.append("")
+
+    def handle_data(self, data):
+        tags = {t for t, _ in self.open}
+        if "article" in tags and not tags & {"nav", "script", "style", "footer"} and "ad" not in {c for _, c in self.open} and self.blocks:
+            self.blocks[-1] += data
+
+
+def test_html_against_the_standard_parser(spark):
+    pages = table(spark, "/root/testdata/sf0.01", "pages")
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    for r in pages.collect():
+        parser = _Article()
+        parser.feed(r.html)
+        parser.close()
+        assert got[r.page_id] == " ".join(" ".join(b.split()) for b in parser.blocks if b.split()), r.page_id
+
+
 @pytest.mark.parametrize("window", [20, 5, 3])
 def test_repeats(documents, texts, window):
     got = substring_dedup.remove_repeats(documents, window)
@@ -161,6 +201,9 @@ def test_fingerprints(spark, documents, texts, nothing):
         assert r.fingerprint == fingerprints.fingerprint(texts[i] or "")
         assert r.near_next == fingerprints.likeness(r.fingerprint, got[want[i][2]].fingerprint)
         assert r.near_edited == fingerprints.likeness(r.fingerprint, r.edited_fingerprint)
+        text, following = texts[i] or "", texts[want[i][2]] or ""
+        edited = text[:len(text) - len(text) // 2] + following[:len(text) // 2]
+        assert (r.common_edited, r.common_next) == tuple(len(os.path.commonprefix([text, other])) for other in (edited, following))
     assert got[1].fingerprint == got[7].fingerprint != got[13].fingerprint
     alone = fingerprints.document_fingerprints(spark.createDataFrame([(None, "abcd")], "doc_id long, text string")).collect()
     assert [(r.n_chars, r.edited_sha256, r.near_next) for r in alone] == [(4, hashlib.sha256(b"abab").hexdigest(), 1.0)]
@@ -205,7 +248,6 @@ def test_packing(spark, documents, texts, nothing):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary("json"))
-    tokenizer.encode_special_tokens = True
     both = documents.union(documents.where("doc_id in (1, 5)"))
     cut = packing.pieces(both, vocabulary(), with_ids=True)
     rows = packing.pack(cut.withColumn("offset", F.lit("old")), window=8, carried=3).collect()
@@ -229,6 +271,19 @@ def test_vocabularies_agree(spark, small_dir):
     assert packing.pieces(docs, vocabulary()).exceptAll(packing.pieces(docs, vocabulary("json"))).count() == 0
 
 
+def test_special_tokens_are_those_of_the_library(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary("json"))
+    rows = {1: "end <|endoftext|> start", 2: "<|endoftext|>", 3: "<|endoftext|><|endoftext|>\n<|endoftex|>", 4: "a<|endoftext|>b"}
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in rows.items()}
+    assert want[1] == [437, 220, 50256, 923, 1]
+    for kind in ("tiktoken", "json"):
+        assert {r.doc_id: r.ids for r in packing.pieces(df, vocabulary(kind), with_ids=True).collect()} == want
+        assert 50256 not in packing.encoder(vocabulary(kind), special={})(rows[1])
+
+
 def test_mixing(spark, documents, texts, nothing, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_ROWS", 2)
     rows = {r.doc_id: r for r in mixing.mix(documents).collect()}

@@ -97,6 +97,12 @@ def test_extension_by_binary_search(x, y, i, j):
     assert (fp.fingerprint(x) == fp.fingerprint(y)) == (x == y)
 
 
+def test_common_prefix_by_blocks(monkeypatch):
+    monkeypatch.setattr(fp, "BLOCK", 128)
+    for n in (0, 1, 63, 64, 65, 191, 192, 193, 1000):
+        assert fp.common_prefix("é" * n + "x", "é" * n + "yz") == n == fp.common_prefix("a" * n, "a" * n + "b")
+
+
 def test_fingerprints_of_blocks_and_likeness(monkeypatch):
     rng = random.Random(4)
     text = "".join(rng.choice("abcdefgh 日") for _ in range(5000))
@@ -182,6 +188,15 @@ ARTICLE = "First paragraph is rather long, has commas, and says something about
     (f"<body><script>var a='</p>, , ,';</script><style>p,q{{}}</style><div><p>{ARTICLE}<!-- no, no, no --></div>", ARTICLE),
     (f"<div><p>{ARTICLE}<b>bo</b>ld<br>next</div><ul><li><a href=1>one link</a><li><a href=2>other link</a></ul>", f"{ARTICLE}bold next"),
     (f"<article><p>{ARTICLE}</p><p>cut off &quo", f"{ARTICLE} cut off &quo"), ("<article><p>a<a href='x", "a"),
+    (f"<div id=page><h1>Title</h1><div><p>{ARTICLE}<p>{ARTICLE}</div></div>", f"Title {ARTICLE} {ARTICLE}"),
+    (f"<body><section><h2>One</h2><p>{ARTICLE}</section><section><p>{ARTICLE}<p>{ARTICLE}</section><section><h2>Three</h2><p>The end.</section>",
+     f"One {ARTICLE} {ARTICLE} {ARTICLE} Three The end."),
+    (f"<article><p>{ARTICLE}</p><div class='market-share'><p>{ARTICLE}</div><section id=search-history>{ARTICLE}</section>"
+     f"<div class='share-buttons'>{ARTICLE}</div><div id='commentList'>{ARTICLE}</div></article>", " ".join([ARTICLE] * 3)),
+    (f"<article><p>{ARTICLE}</p><ul><li><a href=1>First reference</a><li><a href=2>Second reference</a></ul></article>",
+     f"{ARTICLE} First reference Second reference"),
+    (f"<body><h1>Title</h1><article><p>{ARTICLE}</article><div>Other</div>", f"Title {ARTICLE}"),
+    (f"<div class='page site-header'>Site, name, of, this, page, in, words.</div><article><h1>T</h1><p>{ARTICLE}</article>", f"T {ARTICLE}"),
     ("<p title=\"a>b\">x < y</p>", "x < y"), ("<div hidden><p>no</p></div><p style='display: none'>no</p>yes", "yes"),
 ])
 def test_main_text(source, want):
