@@ -1,8 +1,8 @@
 """Running sums and row numbers that stay parallel within one large group.
 
 A window without enough partitions sorts a whole group in one task. Here groups above a row
-limit are cut into value ranges at approximate quantiles (any cuts give the same result, they
-only balance the work). Totals per range are small; their running sums are added to a window
+limit are cut into value ranges at approximate quantiles, or for row numbers into sorted ranges of
+whole rows (any cuts give the same result, they only balance the work). Totals per range are small; their running sums are added to a window
 that runs inside each range. Groups below the limit use the ordinary window.
 """
 
@@ -14,9 +14,11 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lendscope.operators.shared_storage import cut_lineage
+
 GROUP_ROWS = 1_000_000
 MOST_RANGES = 10_000
-SAMPLED_PER_RANGE = 20
+MOST_BROADCAST = 100_000
 
 
 def range_count(rows: int, group_rows: int = GROUP_ROWS) -> int:
@@ -118,65 +120,37 @@ def number_rows(
 ) -> DataFrame:
     """1-based row number per key in the given order, with large keys cut into ranges.
 
-    The keys above the limit are few (rows / limit). Their rows are cut by the first order
-    column, and where one value of it is hot, also by the second if that is a number or a time. Text
-    is cut between sampled values and compared as text, never turned into numbers.
+    The keys above the limit are few (rows / limit), and only their rows are dealt out by range. A null key is a key like others.
+    """
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    above = F.col("_n") > group_rows
+    keys, rows = sizes.agg(F.count_if(above), F.sum(F.when(above, F.col("_n")))).first()
+    plain = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long")
+    if not keys:
+        return df.withColumn(output, plain)
+    large = sizes.filter(above).select(F.col(key).alias("_large_key"), F.lit(True).alias("_large"))
+    large = F.broadcast(large) if keys <= MOST_BROADCAST else large
+    marked = df.join(large, F.col(key).eqNullSafe(F.col("_large_key")), "left").drop("_large_key")
+    small = marked.filter("_large IS NULL").drop("_large").withColumn(output, plain)
+    placed = dealt_by_range(marked.filter("_large").drop("_large"), [key, *order], range_count(rows, group_rows))
+    # Within a range a key's rows have consecutive places; the rows of the ranges before come first.
+    pieces = placed.groupBy(key, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_first")
+    offsets = pieces.select(F.col(key).alias("_piece_key"), F.col("_range").alias("_piece"), shift.alias("_shift"))
+    same = F.col(key).eqNullSafe(F.col("_piece_key")) & (F.col("_range") == F.col("_piece"))
+    offsets = F.broadcast(offsets) if keys <= MOST_BROADCAST else offsets  # a row per range, and one more per key
+    numbered = placed.join(offsets, same).select(*df.columns, (F.col("_at") + F.col("_shift")).alias(output))
+    return numbered.unionByName(small)
+
+
+def dealt_by_range(df: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+    """The rows as a table in ``ranges`` sorted ranges of about equal size, with _range and place _at, both ascending in ``order``.
+
+    Rows that tie in all of ``order`` go by a hash of the whole row, so one value, of whatever type, may be on every
+    row: only rows that are equal altogether stay in one range.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    most = counts.agg(F.max("_n")).first()[0] or 0
-    if most <= group_rows:
-        return df.withColumn(output, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))
-
-    large = counts.filter(F.col("_n") > group_rows).select(key)
-    ranges = range_count(most, group_rows)
-    marked = df.join(large.withColumn("_large", F.lit(True)), key, "left")
-    cut = _cut_ranges(marked, df.join(large, key, "left_semi"), order, ranges)
-    totals = cut.filter("_large").groupBy(key, "_r1", "_r2").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy("_r1", "_r2").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_r1", "_r2", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    local = F.row_number().over(Window.partitionBy(key, "_r1", "_r2").orderBy(*order)).cast("long")
-    numbered = cut.withColumn("_local", local).join(offsets, [key, "_r1", "_r2"], "left")
-    return numbered.select(*df.columns, (F.col("_local") + F.coalesce("_before", F.lit(0))).alias(output))
-
-
-def _cut_text(marked: DataFrame, large_rows: DataFrame, column: str, ranges: int) -> DataFrame:
-    """Ranges of a text column between sampled values; which ones are drawn only changes the balance."""
-    held = large_rows.select(column).where(F.col(column).isNotNull())
-    drawn = min(1.0, SAMPLED_PER_RANGE * ranges / max(held.count(), 1))
-    sample = sorted(r[0] for r in held.sample(drawn, seed=1).limit(4 * SAMPLED_PER_RANGE * ranges).collect())
-    points = sorted(set(sample[:: max(1, len(sample) // ranges)]))
-    number = F.coalesce(F.size(F.filter(F.array(*[F.lit(p) for p in points]).cast("array<string>"), lambda p: p <= F.col(column))), F.lit(-1))
-    return marked.withColumns({"_r1": F.when(F.col("_large").isNull(), 0).otherwise(number), "_r2": F.lit(0)})
-
-
-def _cut_ranges(marked: DataFrame, large_rows: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
-    if dict(marked.dtypes)[order[0]] == "string":
-        return _cut_text(marked, large_rows, order[0], ranges)
-    first = _as_number(marked, order[0])
-    points, hot = split_points(large_rows.select(first.alias("_v1")), "_v1", ranges)
-    single = sorted(hot)
-    splits = sorted({*points, *[math.nextafter(v, math.inf) for v in single]})
-    cut = range_number(marked.withColumn("_v1", first), "_v1", splits, "_r1")
-    if single and len(order) > 1 and dict(marked.dtypes)[order[1]] != "string":
-        second = _as_number(marked, order[1])
-        tied = large_rows.filter(_as_number(large_rows, order[0]).isin(single))
-        points2, _ = split_points(tied.select(second.alias("_v2")), "_v2", ranges)
-        cut = range_number(cut.withColumn("_v2", second), "_v2", points2, "_r2")
-        cut = cut.withColumn("_r2", F.when(F.col("_v1").isin(single), F.col("_r2")).otherwise(0)).drop("_v2")
-    else:
-        cut = cut.withColumn("_r2", F.lit(0))
-    small = F.col("_large").isNull()
-    return cut.withColumns({r: F.when(small, F.lit(0)).otherwise(F.col(r)) for r in ("_r1", "_r2")}).drop("_v1")
-
-
-def _as_number(df: DataFrame, column: str) -> Column:
-    """An order-preserving double of a numeric, date or timestamp column."""
-    kind = dict(df.dtypes)[column]
-    c = F.col(column)
-    if kind == "timestamp_ntz":
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if kind == "timestamp":
-        return F.unix_micros(c).cast("double")
-    if kind == "date":
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
+    tied = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    ranged = tied.repartitionByRange(ranges, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    placed = cut_lineage(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    return placed.withColumn("_range", F.shiftright("_at", 33))  # the id holds the partition's number above 33 bits

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendscope.operators import evaluation, neighbours, sampling, sequences
 from lendscope.operators.quantiles import exact_quantiles
-from lendscope.operators.running import number_rows, running_counts
+from lendscope.operators.running import dealt_by_range, number_rows, running_counts
 from lendscope.operators.shared_storage import cut_lineage, scratch_path, shared_folder
 
 
@@ -125,6 +125,22 @@ def test_row_numbers_by_a_text_column(spark):
     assert plain == cut and len(plain) == 1501
 
 
+def test_one_text_value_on_a_whole_key_is_shared_among_tasks(spark):
+    rows = [("big", "2020/01", i) for i in range(4000)] + [(None, "2020/01", -i) for i in range(900)] + [("small", None, i) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, period string, v int").repartition(5)
+    sizes = [r["count"] for r in dealt_by_range(df.where("k = 'big'"), ["k", "period"], 16).groupBy("_range").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 4000 / 8
+    numbered = number_rows(df, "k", ["period"], group_rows=500)
+    assert numbered.columns == ["k", "period", "v", "row_no"]
+    got = numbered.toPandas()
+    for key, n in (("big", 4000), ("small", 5)):
+        assert sorted(got.row_no[got.k == key]) == list(range(1, n + 1))
+    assert sorted(got.row_no[got.k.isna()]) == list(range(1, 901))
+    assert sorted(got.v) == sorted(r[2] for r in rows)
+    by_value = number_rows(df, "k", ["period", "v"], group_rows=500).where("k = 'big'")
+    assert by_value.filter("row_no = v + 1").count() == 4000
+
+
 def test_macro_join_does_not_shuffle_loans(spark):
     from lendscope.operators import macro
 
