@@ -3,10 +3,12 @@
 Each query computes its facts over all rows of the result in question; the SQL states what they have to be.
 """
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from lendscope import fixed_values as fx
-from lendscope.operators import cleaning, evaluation
+from lendscope.operators import cleaning, evaluation, isolation, reconstruction
 from lendscope.operators.shared_storage import cut_lineage, scratch_path
 from lendscope.plans import ingestion, training
 from lendscope.sources import readers, schemas, sinks
@@ -45,6 +47,30 @@ for _id, _name in zip(("m01", "m02", "m03", "m04"), training.MODELS, strict=True
 WITH {PARTS} SELECT {TEST_ROWS} AS rows, 0::BIGINT AS outside, 0::BIGINT AS wrong_class, true AS auc_in_range""")(_model_facts(_name))
 
 
+LEARNS = 0.95
+
+
+@lru_cache(maxsize=4)
+def _taught(spark, sf_dir):
+    """Training data whose target follows from the given features: 1 from the age of 60 on."""
+    rows = models.feature_table(spark, sf_dir)
+    rule = F.coalesce((F.col("age") >= 60).cast("int"), F.lit(0)).cast(rows.schema[TARGET].dataType)
+    return training.prepare(rows.withColumn(TARGET, rule), TARGET)
+
+
+def _taught_facts(name):
+    def build(spark, sf_dir):
+        data = _taught(spark, sf_dir)
+        scored = training.score(training.train_model(name, data, rounds=training.FIRST_ROUNDS).model, data.test).withColumn("model", F.lit(name))
+        return evaluation.auc_gini(scored).select("model", (F.col("auc_roc") >= LEARNS).alias("learns"))
+
+    return build
+
+
+for _id, _name in zip(("m01", "m02", "m03", "m04"), training.MODELS, strict=True):
+    query(f"{_id}_learning_facts", f"SELECT '{_name}' AS model, true AS learns")(_taught_facts(_name))
+
+
 @query("m05_training_facts", "SELECT 4::BIGINT AS models, 4::BIGINT AS timed, 2::BIGINT AS boosted, true AS rounds_in_bounds")
 def m05(spark, sf_dir):
     runs = models.m05(spark, sf_dir)
@@ -113,6 +139,31 @@ def a03(spark, sf_dir):
     return models.a03(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"), F.count_if(~(F.col("reconstruction_error") >= 0)).alias("negative"))
 
 
+def _outlier_facts(fitted, output):
+    """How many rows were scored, and whether rows ten deviations away in every feature score above those as they are."""
+
+    def build(spark, sf_dir):
+        rows = models.matrix(spark, sf_dir)
+        features = cleaning.feature_columns(rows, TARGET)
+        deviations = rows.agg(*[F.stddev(F.col(f"`{c}`")).alias(c) for c in features]).first().asDict()
+        kept = [F.col(f"`{c}`").cast("double").alias(c) for c in features]
+        moved = [(F.col(f"`{c}`").cast("double") + F.lit(10 * (deviations[c] or 1.0))).alias(c) for c in features]
+        both = rows.select(*kept, F.lit(0).alias("label")).unionByName(rows.select(*moved, F.lit(1).alias("label")))
+        scored = fitted(cleaning.healthy_only(rows, TARGET), features, both)
+        scored = cut_lineage(scored.select("label", F.col(output).alias("score"), F.lit("detector").alias("model")))
+        auc = evaluation.auc_gini(scored).select((F.col("auc_roc") >= LEARNS).alias("outliers_above"))
+        return scored.agg(F.count(F.lit(1)).alias("rows")).crossJoin(F.broadcast(auc))  # one row each
+
+    return build
+
+
+_TWICE = f"WITH {DISTINCT} SELECT 2 * count(*) AS rows, true AS outliers_above FROM d"
+query("a01_outlier_facts", _TWICE)(_outlier_facts(
+    lambda healthy, features, rows: isolation.score_isolation(rows, isolation.fit_isolation_forest(healthy, features)), "iso_forest_score"))
+query("a03_outlier_facts", _TWICE)(_outlier_facts(
+    lambda healthy, features, rows: reconstruction.score_reconstruction(rows, reconstruction.fit_bottleneck(healthy, features)), "reconstruction_error"))
+
+
 @query("p04_balance_facts", f"""
 WITH {PARTS}, sizes AS (SELECT count(*) FILTER (SeriousDlqin2yrs = 1) AS ones, count(*) FILTER (SeriousDlqin2yrs = 0) AS zeros FROM parts WHERE split = 'train')
 SELECT greatest(ones, zeros) AS ones, greatest(ones, zeros) AS zeros FROM sizes""")
