@@ -71,7 +71,10 @@ class PrefixHashes:
         return out
 
     def span(self, start: int, length: int) -> int:
-        return int(self.spans(np.array([start]), length)[0])
+        out = 0
+        for sums, prime, (_, inverse) in zip(self.sums, PRIMES, _tables(self.n), strict=True):
+            out = out << 31 | (int(sums[start + length]) - int(sums[start])) % prime * int(inverse[start]) % prime
+        return out
 
 
 def common_extension(a: PrefixHashes, i: int, b: PrefixHashes, j: int) -> int:
@@ -88,12 +91,12 @@ def common_extension(a: PrefixHashes, i: int, b: PrefixHashes, j: int) -> int:
 
 def common_prefix(x: str, y: str) -> int:
     """How many code points two texts begin with in common: blocks of growing size, the first unequal one searched."""
-    at, size, most = 0, 64, min(len(x), len(y))
+    at, size, most = 0, 1 << 10, min(len(x), len(y))
     while at < most:
         end = min(at + size, most)
-        equal = common_extension(PrefixHashes(code_points(x[at:end])), 0, PrefixHashes(code_points(y[at:end])), 0)
-        if at + equal < end:
-            return at + equal
+        a, b = (PrefixHashes(code_points(t[at:end])) for t in (x, y))
+        if a.span(0, a.n) != b.span(0, b.n):
+            return at + common_extension(a, 0, b, 0)
         at, size = end, min(2 * size, BLOCK)
     return at
 
