@@ -1,7 +1,7 @@
 """Nearest neighbours between the rows of one frame: approximate in linear time, or exact.
 
-``projected_neighbours`` compares rows inside the leaves of several random-projection trees only, so its
-cost is linear in the rows. ``nearest_neighbours`` is exact: rows are placed in the leaves of a small space partition. Each leaf gives its rows an upper
+``projected_neighbours`` compares rows inside the leaves of a few random-projection trees and refines the
+lists by local joins, so its cost is linear in the rows. ``nearest_neighbours`` is exact: rows are placed in the leaves of a small space partition. Each leaf gives its rows an upper
 bound of their neighbour distance, and a row is then sent only to leaves whose bounding box
 comes within that bound, so no neighbour is missed and far leaves are never compared. Leaves
 with many visitors are split over several tasks.
@@ -25,8 +25,9 @@ VISITORS_PER_TASK = 20_000
 MOST_TASKS = 10_000
 
 
-TREES = 8
+TREES = 3
 TREE_LEAF_ROWS = 1_000
+CHANGE = 0.01
 
 
 def projected_neighbours(
@@ -35,75 +36,175 @@ def projected_neighbours(
     k: int,
     trees: int = TREES,
     leaf_rows: int = TREE_LEAF_ROWS,
+    width: int | None = None,
+    change: float = CHANGE,
     most_leaves: int = MOST_LEAVES,
     seed: int = 1,
 ) -> DataFrame:
-    """Per wanted point (key): ``k`` near other rows as vectors, the best found in any of ``trees`` trees.
-
-    Input and result are those of :func:`nearest_neighbours`. Each tree cuts the rows at medians along
-    random directions, fitted on a bounded sample, and a row meets the rows of its own leaf: it visits exactly
-    ``trees`` leaves. A leaf that turns out larger than ``leaf_rows`` is cut further inside its task.
-    With one leaf the result is exact; else recall grows with trees and leaf size.
+    """Per wanted point (key): ``k`` near other rows as vectors.
+
+    Input and result are those of :func:`nearest_neighbours`. Each of ``trees`` trees cuts the rows at medians along
+    random directions, fitted on a bounded sample, and a row meets the rows of its own leaf. A leaf that turns out larger
+    than ``leaf_rows`` is cut further inside its task. The ``width`` nearest rows so found (2 k, at least 10) are then
+    refined by local joins: a row meets the neighbours of its neighbours and the other neighbours of rows that list it,
+    until a round replaces at most the share ``change`` of all entries. Lists only ever get nearer, so rounds end.
+    Lists hold keys and distances; vectors join them once at the end. The result is approximate unless one leaf holds all rows.
     """
     features = list(features)
+    width = max(k, width or max(2 * k, 10))
     columns = [F.col(f"`{c}`").cast("double").alias(c) for c in features]
     rows = cut_lineage(points.select(F.col("key").cast("long").alias("key"), F.col("copies").cast("long").alias("copies"), "wanted", *columns))
     n = rows.count()
     leaves = max(1, min(most_leaves, -(-n // leaf_rows)))
-    trees = trees if n > leaf_rows else 1
     sample = hash_sample(rows, leaves * SAMPLE_PER_LEAF, "key").select(*[F.col(f"`{c}`") for c in features]).toPandas().to_numpy(float)
     forest = [_projection_tree(sample, max(2, len(sample) // leaves), np.random.default_rng([seed, t])) for t in range(trees)]
 
     def place(batches):
         for pdf in batches:
             x = pdf[features].to_numpy(float)
+            found = np.zeros((len(x), len(forest)), dtype=np.int64)
             for t, cuts in enumerate(forest):
-                node = np.zeros(len(x), dtype=np.int64)
+                node = found[:, t]
                 for number, direction, cut in cuts:
                     at = np.flatnonzero(node == number)
                     node[at] = 2 * number + 1 + (x[at] @ direction > cut)
-                yield pdf.assign(tree=t, leaf=node)
+            yield pdf.assign(leaves=list(found))
 
     names = ", ".join(f"`{c}` double" for c in features)
-    placed = rows.mapInPandas(place, f"key long, copies long, wanted boolean, {names}, tree int, leaf long")
+    homes = cut_lineage(rows.mapInPandas(place, f"key long, copies long, wanted boolean, {names}, leaves array<long>"))
+    lists = cut_lineage(_nearest_lists(_leaf_pairs(homes, features, width, leaf_rows, seed), width))
+    while True:
+        lists = cut_lineage(_local_join(lists, homes, features, width))
+        replaced = lists.agg(F.sum("fresh")).first()[0] or 0
+        if replaced <= change * n * width:
+            return _with_vectors(lists, homes, features, k)
+
+
+def _leaf_pairs(homes: DataFrame, features: list[str], width: int, leaf_rows: int, seed: int) -> DataFrame:
+    """(key, distance, other): the ``width`` nearest rows of each row in its leaf of each tree."""
 
     def near(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, keys, copies = pdf[features].to_numpy(float), pdf["key"].to_numpy(), pdf["copies"].to_numpy()
-        wanted = pdf["wanted"].to_numpy()
+        x, keys = pdf[features].to_numpy(float), pdf["key"].to_numpy()
         rng = np.random.default_rng([seed, int(pdf["tree"].iloc[0]), int(pdf["leaf"].iloc[0]) % 2**31])
         pending, out = [np.argsort(keys)], []
         while pending:
             own = pending.pop()
             if len(own) > leaf_rows:
-                along = x[own] @ rng.normal(size=x.shape[1])
-                high = along > np.median(along)
-                if high.any() and not high.all():
+                high = _upper_half((x[own] - x[own[0]]) @ rng.normal(size=x.shape[1]))
+                if high is None:  # a direction rounds their differences away: one of the columns tells them apart
+                    high = _upper_half(x[own, np.argmax([len(np.unique(x[own, j])) for j in range(x.shape[1])])])
+                if high is not None:
                     pending += [own[~high], own[high]]
                     continue
-                if len(own) > 4 * leaf_rows:  # distinct rows that no direction tells apart
-                    pending += np.array_split(own, -(-len(own) // leaf_rows))
-                    continue
-            asked = own[wanted[own]]
-            if not len(asked):
+            if len(own) < 2:
                 continue
-            d = np.maximum(0, (x[asked]**2).sum(1)[:, None] + (x[own]**2).sum(1)[None, :] - 2 * x[asked] @ x[own].T)
-            d[keys[asked][:, None] == keys[own][None, :]] = 0.0
-            best = np.argpartition(d, min(k, len(own) - 1), axis=1)[:, : k + 1]
-            for i, row in enumerate(best):
-                entries = []
-                for j in row:
-                    held = int(copies[own[j]]) - int(own[j] == asked[i])
-                    if held:
-                        entries.append({"distance": float(d[i, j]), "key": int(keys[own[j]]), "copies": min(held, k), "vector": x[own[j]].tolist()})
-                out.append((int(keys[asked[i]]), entries))
-        return pd.DataFrame({"key": pd.Series([r[0] for r in out], dtype="int64"), "found": pd.Series([r[1] for r in out], dtype=object)})
-
-    found = placed.groupBy("tree", "leaf").applyInPandas(
-        near, "key long, found array<struct<distance: double, key: long, copies: int, vector: array<double>>>")
-    merged = F.array_sort(F.array_distinct(F.transform(F.flatten(F.collect_list("found")), lambda f: F.struct(
-        F.round(f["distance"], 9).alias("distance"), f["key"].alias("key"), f["copies"].alias("copies"), f["vector"].alias("vector")))))
-    repeated = F.flatten(F.transform(merged, lambda f: F.array_repeat(f["vector"], f["copies"])))
-    return found.groupBy("key").agg(F.slice(repeated, 1, k).alias("neighbours"))
+            size = max(1, 4_000_000 // len(own))
+            near_zero = x[own] - x[own[0]]  # large common offsets would drown the differences
+            squares = (near_zero**2).sum(1)
+            for start in range(0, len(own), size):
+                asked = own[start : start + size]
+                d = squares[start : start + size, None] + squares[None, :] - 2 * near_zero[start : start + size] @ near_zero.T
+                d[np.arange(len(asked)), start + np.arange(len(asked))] = np.inf
+                best = own[np.argpartition(d, min(width, len(own) - 1) - 1, axis=1)[:, : min(width, len(own) - 1)]]
+                left = np.repeat(asked, best.shape[1])
+                out.append((keys[left], _distances(x, left, best.ravel()), keys[best.ravel()]))
+        return _pairs_frame(out)
+
+    each = homes.select("key", *[F.col(f"`{c}`") for c in features], F.posexplode("leaves").alias("tree", "leaf"))
+    return each.groupBy("tree", "leaf").applyInPandas(near, "key long, distance double, other long")
+
+
+def _local_join(lists: DataFrame, homes: DataFrame, features: list[str], width: int) -> DataFrame:
+    """One round: who lists a row, and whom it lists, meet the rows it lists. ``fresh`` counts a list's new entries.
+
+    The meeting place of a row is its leaf in the first tree, where most of its neighbours live, so a vector travels
+    to few places. Only pairs nearer than the last entry of the list they go to leave a task.
+    """
+    edges = lists.select("key", F.explode("near").alias("entry")).select("key", F.col("entry.other").alias("other"))
+    place = homes.select(F.col("key").alias("host"), F.col("leaves")[0].alias("place"))
+    members = edges.select(F.col("key").alias("host"), F.col("other").alias("member"), F.lit(True).alias("listed")).unionByName(
+        edges.select(F.col("other").alias("host"), F.col("key").alias("member"), F.lit(False).alias("listed"))).join(place, "host")
+    last = F.when(F.size("near") >= width, F.get("near", F.lit(width - 1))["distance"]).otherwise(F.lit(float("inf")))
+    vectors = homes.select(F.col("key").alias("member"), *[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(features)]).join(
+        lists.select(F.col("key").alias("member"), last.alias("last")), "member")
+    axes = [f"x{i}" for i in range(len(features))]
+    # Aliased, so that both sides of the cogroup have columns of their own.
+    visits = members.select(F.col("place").alias("place"), F.col("member").alias("member")).distinct().join(vectors, "member")
+    needed = visits.select(*[F.col(c).alias(c) for c in ("place", "member", *axes, "last")])
+
+    def meet(pairs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("member")
+        keys, x, last = rows["member"].to_numpy(), rows[axes].to_numpy(float), rows["last"].to_numpy(float)
+        hosts, host = np.unique(pairs["host"].to_numpy(), return_inverse=True)
+        member = np.searchsorted(keys, pairs["member"].to_numpy())
+        listed = pairs["listed"].to_numpy(bool)
+        order = np.argsort(host[listed], kind="stable")
+        group, guest = host[listed][order], member[listed][order]
+        column = np.arange(len(group)) - np.searchsorted(group, group)
+        table = np.full((len(hosts), width), -1, dtype=np.int64)
+        table[group, column] = guest
+        meetings = np.unique(host.astype(np.int64) * len(keys) + member)
+        out = []
+        for start in range(0, len(meetings), 50_000):
+            at, who = np.divmod(meetings[start : start + 50_000], len(keys))
+            left, right = np.repeat(who, width), table[at].ravel()
+            usable = (right >= 0) & (right != left)
+            pair = np.unique(left[usable] * len(keys) + right[usable])
+            left, right = np.divmod(pair, len(keys))
+            d = _distances(x, left, right)
+            better = d < last[left]
+            out.append((keys[left[better]], d[better], keys[right[better]]))
+        return _pairs_frame(out)
+
+    nearer = members.groupBy("place").cogroup(needed.groupBy("place")).applyInPandas(meet, "key long, distance double, other long")
+    known = lists.select("key", F.explode("near").alias("entry")).select("key", "entry.distance", "entry.other", F.lit(True).alias("known"))
+    return _nearest_lists(known.unionByName(nearer.withColumn("known", F.lit(False))), width)
+
+
+def _nearest_lists(pairs: DataFrame, width: int) -> DataFrame:
+    """(key, near, fresh) from (key, distance, other): the ``width`` nearest others, ties to the smaller key."""
+    if "known" not in pairs.columns:
+        pairs = pairs.withColumn("known", F.lit(False))
+    found = pairs.groupBy("key").agg(
+        F.slice(F.array_sort(F.collect_set(F.struct("distance", "other"))), 1, width).alias("near"),
+        F.collect_set(F.when(F.col("known"), F.col("other"))).alias("before"),
+    )
+    others = F.transform("near", lambda entry: entry["other"])
+    return found.select("key", "near", F.size(F.array_except(others, F.col("before"))).alias("fresh"))
+
+
+def _with_vectors(lists: DataFrame, homes: DataFrame, features: list[str], k: int) -> DataFrame:
+    """(key, neighbours) of the wanted rows: further copies of the row itself first, then its list."""
+    wanted = homes.where("wanted")
+    vector = F.array(*[F.col(f"`{c}`") for c in features]).alias("vector")
+    entries = lists.join(wanted.select("key"), "key").select("key", F.explode(F.slice("near", 1, k)).alias("entry"))
+    others = entries.select("key", "entry.distance", "entry.other").join(homes.select(F.col("key").alias("other"), "copies", vector), "other")
+    own = wanted.where("copies > 1").select("key", F.lit(-1.0).alias("distance"), F.col("key").alias("other"), (F.col("copies") - 1).alias("copies"), vector)
+    sorted_entries = F.array_sort(F.collect_list(F.struct("distance", "other", F.least("copies", F.lit(k)).cast("int").alias("copies"), "vector")))
+    repeated = F.flatten(F.transform(sorted_entries, lambda entry: F.array_repeat(entry["vector"], entry["copies"])))
+    return others.unionByName(own).groupBy("key").agg(F.slice(repeated, 1, k).alias("neighbours"))
+
+
+def _distances(x: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Squared distances of row pairs, the same number in whatever task a pair meets."""
+    total = np.zeros(len(left))
+    for j in range(x.shape[1]):
+        total += (x[left, j] - x[right, j]) ** 2
+    return total
+
+
+def _upper_half(values: np.ndarray) -> np.ndarray | None:
+    """Rows above the median, or those of the largest value; None where all values are equal."""
+    for high in (values > np.median(values), values >= values.max()):
+        if high.any() and not high.all():
+            return high
+    return None
+
+
+def _pairs_frame(parts: list[tuple]) -> pd.DataFrame:
+    if not parts:
+        return pd.DataFrame({"key": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64"), "other": pd.Series(dtype="int64")})
+    return pd.DataFrame({name: np.concatenate([p[i] for p in parts]) for i, name in enumerate(("key", "distance", "other"))})
 
 
 def _projection_tree(sample: np.ndarray, leaf: int, rng: np.random.Generator) -> list[tuple[int, np.ndarray, float]]:

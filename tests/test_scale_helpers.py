@@ -184,3 +184,44 @@ def test_oversampling_takes_text_ids(spark):
 
     df = spark.range(300).select(F.concat(F.lit("L"), "id").alias("loan_id"), F.rand(3).alias("a"), (F.col("id") % 10 == 0).cast("int").alias("y"))
     assert oversampling.synthetic_minority(df, ["a"], "y").count() == 240
+
+
+@pytest.mark.parametrize("dimensions", [17, 21])
+def test_projected_neighbours_recall_in_many_dimensions(spark, dimensions):
+    """Recall of 0.9 where trees alone find much less, against all distances."""
+    rng = np.random.default_rng(dimensions)
+    x = rng.normal(size=(4000, dimensions)) @ rng.normal(size=(dimensions, dimensions)) + 5 * rng.normal(size=(6, dimensions))[rng.integers(0, 6, 4000)]
+    names = [f"f{i}" for i in range(dimensions)]
+    points = spark.createDataFrame(pd.DataFrame(x, columns=names).assign(key=range(4000), copies=1, wanted=True))
+
+    def recall(**options):
+        found = neighbours.projected_neighbours(points, names, 5, leaf_rows=400, **options).collect()
+        assert len(found) == 4000
+        hits = 0
+        for r in found:
+            near = np.sort(((x - x[r["key"]]) ** 2).sum(1))[1:6]
+            got = ((np.array(r["neighbours"]) - x[r["key"]]) ** 2).sum(1)
+            assert len(got) == 5 and (np.diff(got) >= -1e-9).all()
+            hits += np.isclose(got[:, None], near[None, :]).any(axis=1).sum()
+        return hits / (5 * len(found))
+
+    refined = recall()
+    print("recall", dimensions, refined)
+    assert refined >= 0.9
+
+
+def test_projected_neighbours_of_rows_no_direction_tells_apart(spark):
+    """One column drowns the others in rounding: rows stay with near ones, and none loses its neighbours."""
+    rows = [(i, 1, True, 1e17, float(i)) for i in range(600)]
+    points = spark.createDataFrame(rows, "key long, copies long, wanted boolean, a double, b double")
+    found = neighbours.projected_neighbours(points, ["a", "b"], 2, leaf_rows=50).collect()
+    assert len(found) == 600
+    for r in found:
+        near = sorted((j - r["key"]) ** 2 for j in (r["key"] + s for s in (-2, -1, 1, 2)) if 0 <= j < 600)[:2]
+        assert sorted((v[1] - r["key"]) ** 2 for v in r["neighbours"]) == near
+
+
+def test_projected_neighbours_of_few_rows(spark):
+    one = spark.createDataFrame([(7, 3, True, 1.0)], "key long, copies long, wanted boolean, a double")
+    assert [r["neighbours"] for r in neighbours.projected_neighbours(one, ["a"], 5).collect()] == [[[1.0], [1.0]]]
+    assert neighbours.projected_neighbours(one.limit(0), ["a"], 5).count() == 0
