@@ -97,6 +97,25 @@ def clean(df: DataFrame, target: str, id_column: str | None = None, method: str
     return impute_medians(cut_lineage(kept), target, method)
 
 
+def clean_with_audit(df: DataFrame, target: str, id_column: str | None = None, method: str = "approx") -> tuple[DataFrame, DataFrame]:
+    """The frame of :func:`clean` and, from the same pass over ``df``, the audit row of :func:`row_flow`.
+
+    Each distinct row is written with the number of its copies, and all rows without a target as one more row, so the
+    audit is a sum over two columns of the written table: ``df`` is neither read nor grouped again, and a repeated
+    task cannot count a row twice.
+    """
+    copies = "_copies"
+    while copies in (c.lower() for c in df.columns):
+        copies = f"_{copies}"
+    labelled = _c(target).isNotNull()
+    rest = [c for c in df.columns if c != id_column]
+    least = [F.min(_c(id_column)).alias(id_column)] if id_column in df.columns else []
+    groups = df.groupBy(*[F.when(labelled, _c(c)).alias(c) for c in rest]).agg(F.count(F.lit(1)).alias(copies), *least)
+    written = cut_lineage(groups)
+    kept = written.filter(labelled).select(*[_c(c) for c in df.columns])
+    return impute_medians(kept, target, method), _flow(written, target, copies)
+
+
 def row_flow(df: DataFrame, target: str, id_column: str | None = None) -> DataFrame:
     """One audit row: rows before, after the target filter, after duplicate removal, % kept.
 
@@ -104,10 +123,14 @@ def row_flow(df: DataFrame, target: str, id_column: str | None = None) -> DataFr
     """
     rest = [c for c in df.columns if c != id_column]
     groups = df.groupBy(*[_c(c) for c in rest]).agg(F.count(F.lit(1)).alias("_copies"))
+    return _flow(groups, target, "_copies")
+
+
+def _flow(groups: DataFrame, target: str, copies: str) -> DataFrame:
     labelled = _c(target).isNotNull()
     flow = groups.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("initial_rows"),
-        F.coalesce(F.sum(F.when(labelled, F.col("_copies"))), F.lit(0)).alias("labelled_rows"),
+        F.coalesce(F.sum(copies), F.lit(0)).alias("initial_rows"),
+        F.coalesce(F.sum(F.when(labelled, F.col(copies))), F.lit(0)).alias("labelled_rows"),
         F.count_if(labelled).alias("final_rows"),
     )
     return flow.select(

@@ -62,14 +62,17 @@ def c05_approx(spark, sf_dir):
     return plain(cleaning.clean(snapshot(spark, sf_dir), TARGET, "loan_id", method="approx"))
 
 
-@query("c06_row_flow", f"""
+ROW_FLOW = f"""
 WITH g AS (SELECT {CONTENT}, count(*) AS copies FROM borrowers GROUP BY {CONTENT}),
 f AS (SELECT CAST(sum(copies) AS BIGINT) AS initial_rows,
        CAST(sum(CASE WHEN SeriousDlqin2yrs IS NOT NULL THEN copies ELSE 0 END) AS BIGINT) AS labelled_rows,
        CAST(sum(CASE WHEN SeriousDlqin2yrs IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS final_rows FROM g)
 SELECT initial_rows, labelled_rows, initial_rows - labelled_rows AS dropped_null_target,
        labelled_rows - final_rows AS dropped_duplicates, final_rows,
-       round(final_rows * 100.0::DOUBLE / initial_rows, 6) AS pct_retained FROM f""")
+       round(final_rows * 100.0::DOUBLE / initial_rows, 6) AS pct_retained FROM f"""
+
+
+@query("c06_row_flow", ROW_FLOW)
 def c06(spark, sf_dir):
     flow = cleaning.row_flow(snapshot(spark, sf_dir), TARGET, "loan_id")
     return flow.withColumn("pct_retained", F.round("pct_retained", 6))

@@ -8,7 +8,7 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from lendscope import fixed_values as fx
-from lendscope.operators import cleaning, evaluation, isolation, reconstruction
+from lendscope.operators import cleaning, evaluation, isolation, rank_sketches, reconstruction
 from lendscope.operators.shared_storage import cut_lineage, scratch_path
 from lendscope.plans import ingestion, training
 from lendscope.sources import readers, schemas, sinks
@@ -176,7 +176,21 @@ def p04(spark, sf_dir):
 def c05_approx(spark, sf_dir):
     """Whether at most 51 % of the values lie strictly on either side of each approximate median."""
     rows = cut_lineage(plain(cleaning.drop_duplicate_rows(cleaning.drop_null_target(snapshot(spark, sf_dir), TARGET), "loan_id")))
-    found = cleaning.median_values(rows, COLUMNS, "approx")
+    return _within_one_percent(rows, cleaning.median_values(rows, COLUMNS, "approx"))
+
+
+@query("c05_sketch_median_facts", f"SELECT unnest(['{"', '".join(COLUMNS)}']) AS feature, true AS within_one_percent")
+def c05_sketch(spark, sf_dir):
+    """The same of medians from sketches kept per decade of age, stored in two loads, the second of which rebuilds a decade."""
+    rows = cut_lineage(plain(cleaning.drop_duplicate_rows(cleaning.drop_null_target(snapshot(spark, sf_dir), TARGET), "loan_id")))
+    parts = rows.withColumn("decade", F.floor(F.col("age") / 10))
+    path = scratch_path(spark, "sketches")
+    rank_sketches.update_sketches(parts.where("decade <= 5"), COLUMNS, "decade", path)
+    rank_sketches.update_sketches(parts.where("decade >= 5 OR decade IS NULL"), COLUMNS, "decade", path)
+    return _within_one_percent(rows, rank_sketches.stored_medians(spark, path, COLUMNS))
+
+
+def _within_one_percent(rows, found):
     entries = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"), F.lit(found[c]).alias("median")) for c in COLUMNS]
     sides = rows.select(F.inline(F.array(*entries))).filter("value IS NOT NULL").groupBy("feature").agg(
         F.avg((F.col("value") < F.col("median")).cast("int")).alias("below"), F.avg((F.col("value") > F.col("median")).cast("int")).alias("above"))

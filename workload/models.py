@@ -90,10 +90,10 @@ def m06(spark, sf_dir):
 
 @query("p04_synthetic_minority")
 def p04(spark, sf_dir):
-    data = prepared(spark, sf_dir)
-    rows = sampling.scale(matrix(spark, sf_dir), data.scaler)
-    made = oversampling.synthetic_minority(rows, data.features, TARGET)
-    return made.select(TARGET, "base_key", *data.features)
+    """Synthetic rows of the training split, scaled by that split."""
+    data = training.prepare(feature_table(spark, sf_dir), TARGET, balance=False)
+    made = oversampling.synthetic_minority(data.train, data.features, training.LABEL)
+    return made.select(F.col(training.LABEL).alias(TARGET), "base_key", *data.features)
 
 
 @query("s14_model_round_trip")
