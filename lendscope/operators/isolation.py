@@ -53,13 +53,17 @@ def fit_isolation_forest(
     held = source.count()
     bound = min(1.0, (rows_per_tree + 8 * math.sqrt(rows_per_tree) + 16) / max(held, 1))
 
+    def number(tree: Column) -> Column:
+        return F.xxhash64("_id", tree, F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1))
+
     def draw(tree: Column) -> Column:
-        return F.pmod(F.xxhash64("_id", tree, F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
+        return number(tree) / float(1 << 52)
 
     order = Window.partitionBy("tree").orderBy("_draw", "_id")
 
     def drawn_below(limit: float) -> DataFrame:
-        chosen = F.filter(F.expr(f"sequence(0, {trees - 1})"), lambda tree: draw(tree) < limit)
+        below = F.lit(math.ceil(limit * 2.0**52))  # the same test as draw(tree) < limit, in whole numbers
+        chosen = F.filter(F.expr(f"sequence(0, {trees - 1})"), lambda tree: number(tree) < below)
         offered = source.withColumn("tree", F.explode(chosen)).withColumn("_draw", draw(F.col("tree")))
         placed = offered.withColumn("_place", F.row_number().over(order))
         return cut_lineage(placed.filter(F.col("_place") <= rows_per_tree).drop("_place"))
@@ -104,23 +108,33 @@ def fit_isolation_forest(
     return IsolationForest(tuple(features), tuple(grown), size)
 
 
+def _walkable(tree: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Feature, cut, children (lower, upper) and path per node, and the depth. A leaf is its own child, so all rows take as many steps."""
+    split, own = tree["feature"] >= 0, np.arange(len(tree["feature"]))
+    children = np.column_stack([np.where(split, tree[side], own) for side in ("lower", "upper")]).astype(np.intp)
+    level, depth = np.zeros(1, dtype=np.intp), 0
+    while split[level].any():
+        level, depth = np.unique(children[level]), depth + 1
+    return np.where(split, tree["feature"], 0).astype(np.intp), tree["cut"], children.ravel(), tree["path"], depth
+
+
 def isolation_score(forest: IsolationForest):
     """Column of anomaly scores 2^(-mean path / expected path), higher is more anomalous."""
-    trees, expected = forest.trees, average_path(forest.rows_per_tree)
+    trees, expected = [_walkable(t) for t in forest.trees], average_path(forest.rows_per_tree)
 
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(dtype=float, na_value=np.nan) for c in columns])
-        total = np.zeros(len(x))
-        for t in trees:
-            node = np.zeros(len(x), dtype=np.int64)
-            moving = np.flatnonzero(t["feature"][node] >= 0)
-            while len(moving):
-                at = node[moving]
-                low = x[moving, t["feature"][at]] <= t["cut"][at]
-                node[moving] = np.where(low, t["lower"][at], t["upper"][at])
-                moving = moving[t["feature"][node[moving]] >= 0]
-            total += t["path"][node]
+        n = len(columns[0])
+        x = np.concatenate([c.to_numpy(dtype=float, na_value=np.nan) for c in columns])  # one feature after the other
+        total = np.zeros(n)
+        for start in range(0, n, 2_048):  # few enough rows for the caches
+            rows = np.arange(start, min(n, start + 2_048))
+            for feature, cut, children, path, depth in trees:
+                node = np.zeros(len(rows), dtype=np.intp)
+                for _ in range(depth):
+                    low = x.take(feature.take(node) * n + rows) <= cut.take(node)
+                    node = children.take(2 * node + ~low)
+                total[rows] += path.take(node)
         return pd.Series(2.0 ** (-total / len(trees) / expected))
 
     return score(*[_c(c).cast("double") for c in forest.features])
