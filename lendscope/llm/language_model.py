@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.llm.counting import key_counts
-from lendscope.llm.tables import partitions
+from lendscope.llm.tables import partitions, release, written
 from lendscope.llm.words import chunks, mix, rolling, seeds, split_words
 
 ORDER = 3
@@ -25,6 +25,7 @@ DISCOUNT = 0.75
 SEGMENT = 256
 PART_BYTES = 8 << 20
 RUN_TOKENS = 1_000_000
+WAVES = 2
 FOLDS, HELD = 7, 2
 END = seeds(1, 9_999)[0]
 
@@ -63,6 +64,36 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
+class Places:
+    """Places of keys among sorted hashes, found from where those with the same first bits begin: a step or two each."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = max(1, len(hashes).bit_length())
+        self.size, self.shift = len(hashes), np.uint64(64 - bits)
+        self.hashes = np.append(hashes, np.uint64(2**64 - 1))
+        self.begin = np.zeros(1 << bits, np.int64)
+        np.cumsum(np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << bits)[:-1], out=self.begin[1:])
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """-1 where there is none."""
+        at = self.begin[(wanted >> self.shift).astype(np.int64)]
+        pending = np.flatnonzero(self.hashes[at] < wanted)
+        for _ in range(16):
+            if not len(pending):
+                break
+            at[pending] += 1
+            pending = pending[self.hashes[at[pending]] < wanted[pending]]
+        at[pending] = np.searchsorted(self.hashes, wanted[pending])
+        return np.where((self.hashes[at] == wanted) & (at < self.size), at, -1)
+
+
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, each once and sorted, and the place of each of them there."""
+    ordered = np.sort(hashes)
+    distinct = ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
+    return distinct, Places(distinct).find(hashes)
+
+
 def _numbers(levels: list[Grams], hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     """For each length, the number of the known n-gram that ends at each token, or -1."""
     words = _find(levels[0].keys, hashes)
@@ -80,7 +111,7 @@ def _numbers(levels: list[Grams], hashes: np.ndarray, first: np.ndarray) -> list
 
 
 class Automaton(NamedTuple):
-    """States are n-grams that have arcs; state 0 is empty. An arc's key is state * words + word.
+    """States are n-grams that have arcs; state 0 is empty. An arc's key is the hash (``mix``) of state * words + word.
 
     A state without an arc for a word fails to the state of its longest proper suffix, at the cost of its backoff weight.
     """
@@ -130,7 +161,7 @@ def build(levels: list[Grams], total: int, discount: float, order: int) -> Autom
     fails = [np.zeros(1, np.int64)] + [lands[n - 1][suffix[n][owners]] if n else np.zeros(len(owners), np.int64) for n, owners in sources]
     keys = [np.arange(n_words, dtype=np.uint64)]
     keys += [state[n - 1][prefix[n]].astype(np.uint64) * base + words[n].astype(np.uint64) for n in range(1, len(levels))]
-    keys = np.concatenate(keys)
+    keys = mix(np.concatenate(keys))
     ordered = np.argsort(keys)
     return Automaton(levels[0].keys, levels[0].counts, keys[ordered], np.concatenate(lands)[ordered],
                      np.log10(np.concatenate(prob))[ordered], np.concatenate(fails), np.concatenate(backoffs))
@@ -166,7 +197,7 @@ def reachable(numbers: np.ndarray, at: list[np.ndarray], count: np.ndarray, tota
             fails.append(state[suffix])
         logs.append(np.log10((count[gram] - DISCOUNT) / count[before]) if n > 1
                     else np.log10(np.maximum(count[gram] - discount, 1e-300) / max(total, 1)))
-    keys = np.concatenate(keys)
+    keys = mix(np.concatenate(keys))
     ordered = np.argsort(keys)
     model = Automaton(words, np.zeros(0, np.int64), keys[ordered], np.concatenate(lands)[ordered], np.concatenate(logs)[ordered],
                       np.concatenate(fails), None)
@@ -190,7 +221,7 @@ def walk(model: Automaton, words: np.ndarray, first: np.ndarray, order: int = OR
     out = np.zeros(len(words))
     failed_at, failed_state = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     state = np.zeros(len(at), np.int64)
-    base = np.uint64(max(len(model.words), 1))
+    base, arcs = np.uint64(max(len(model.words), 1)), Places(model.arc_keys)
     active = np.arange(len(at))
     while len(active):
         place = at[active]
@@ -199,7 +230,7 @@ def walk(model: Automaton, words: np.ndarray, first: np.ndarray, order: int = OR
         going = np.arange(len(active))
         while len(going):
             w, s = word[going], here[going]
-            arc = np.where(w >= 0, _find(model.arc_keys, s.astype(np.uint64) * base + np.maximum(w, 0).astype(np.uint64)), -1)
+            arc = np.where(w >= 0, arcs.find(mix(s.astype(np.uint64) * base + np.maximum(w, 0).astype(np.uint64))), -1)
             hit = arc >= 0
             taken = going[hit]
             out[place[taken][counted[taken]]] = model.arc_log[arc[hit]][counted[taken]]
@@ -243,13 +274,22 @@ def _steps(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=np.uint64(0)).astype(np.uint64)
 
 
-def _grams(hashes: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def _inside(lengths: np.ndarray) -> np.ndarray:
+    """How many tokens of its text come before each token."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def _grams(hashes: np.ndarray, lengths: np.ndarray, order: int, chosen=None) -> tuple[np.ndarray, list[np.ndarray]]:
     """Keys of all n-grams of the texts, each once and sorted, and for each length the place in them of the n-gram that
-    ends at each token (-1 where the text has fewer tokens before). Item 0 of the list stands for the empty n-gram."""
-    inside = np.arange(len(hashes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    ends at each token (-1 where the text has fewer tokens before). Item 0 of the list stands for the empty n-gram.
+    With ``chosen``, only keys for which it holds; the others have the place -1 as well."""
+    inside = _inside(lengths)
     ends = [np.flatnonzero(inside >= n) for n in range(order)]
     keys = [hashes] + [rolling(hashes, n + 1, n + 1)[ends[n] - n] for n in range(1, order)]
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    if chosen is not None:
+        kept = [chosen(k) for k in keys]
+        ends, keys = ([x[k] for x, k in zip(c, kept, strict=True)] for c in (ends, keys))
+    distinct, place = _distinct(np.concatenate(keys))
     at, done = [np.full(len(hashes), -1, np.int64)], 0
     for end in ends:
         at.append(np.full(len(hashes), -1, np.int64))
@@ -258,9 +298,14 @@ def _grams(hashes: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndar
     return distinct, at
 
 
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Parts are equal ranges of keys, which are hashes."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
 def _dealt(keys: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
-    """(part, start, end) of sorted keys: parts are equal ranges of keys, which are hashes."""
-    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    """(part, start, end) of sorted keys."""
+    part = _part(keys, parts)
     cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
     return zip(part[cuts[:-1]].tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
 
@@ -348,43 +393,29 @@ def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
     the next shorter context, so that all probabilities add up to one. Single words are discounted: (count - D) / N
     with D from the words seen once and twice; what that leaves is the unknown word's.
 
-    1. Tasks cut rows into runs of about RUN_TOKENS tokens. A run sends each distinct n-gram once, with its count in training rows,
-       to the part of its hash, and what it needs to go on (its words as numbers) to any part, which hands it on.
+    1. Tasks cut rows into runs of about RUN_TOKENS tokens, which are written once, as numbers of words. A run sends each distinct
+       n-gram once, with its count in training rows, to the part of its hash.
     2. Parts add up the counts and answer every run. So an n-gram that is everywhere costs one entry per run, and
-       parts are even however hot a word is.
+       parts are even however hot a word is. Most of what is shuffled is these hashes, so the parts take their turn in WAVES: the
+       answers of a wave are written, and its shuffle files go before the next one sends.
     3. A run now knows the counts of all its n-grams, so it builds the states and arcs that its texts can reach and walks them once from
        left to right. Each failure on the way owes its state's backoff weight. It depends on all words seen after the state: each
        n-gram is reported to its context by one run, if any held-out row has that context.
     4. A second round of the same kind adds up these reports and answers the runs that owe weights.
 
-    Runs are numbered by task and place, so a task that runs again must meet its rows in the same order: true of a file or a
-    written table, which ``documents`` should be.
+    Runs are numbered by task and place when they are written; all later steps read that table.
     """
     docs = documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held"))
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = partitions(spark, size, PART_BYTES)
-    counts = key_counts(docs.where("not held").select("text"), lambda texts: tokens(texts)[0], parts)
-    facts = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*"), F.count(F.when(F.col("count") == 1, 1)),
-                       F.count(F.when(F.col("count") == 2, 1))).first()
-    total, kinds, once, twice = (int(x) for x in facts)
-    discount = once / (once + 2 * twice) if once and twice else DISCOUNT
-    unknown = float(np.log10(discount * kinds / total)) if total else 0.0
-
-    def send(run: int, gathered: list[tuple]) -> pa.RecordBatch:
+    def boxed_run(run: int, gathered: list[tuple]) -> pa.RecordBatch:
         hashes, lengths, ids, known, held = (np.concatenate(c) for c in zip(*gathered, strict=True))
-        words, numbers = np.unique(hashes, return_inverse=True)
+        words, numbers = _distinct(hashes)
         own = _boxed(_steps(words), numbers.astype(np.uint32), lengths.astype(np.uint32), ids, known.astype(np.uint16), held.astype(np.uint16))
-        distinct, at = _grams(hashes, lengths, order)
-        learnt = np.repeat(~held, lengths)
-        times = sum(np.bincount(a[learnt & (a >= 0)], minlength=len(distinct)) for a in at[1:])
-        context = np.zeros(len(distinct), np.int64)
-        for n in range(2, order + 1):
-            context[at[n - 1][np.flatnonzero(~learnt & (at[n] >= 0)) - 1]] = 1
-        rows = [(part, run, False, _boxed(_steps(distinct[a:b]), 2 * times[a:b] + context[a:b])) for part, a, b in _dealt(distinct, parts)]
-        return pa.RecordBatch.from_pydict(_sent([(_own_part(run, parts), run, True, own), *rows]))
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return pa.RecordBatch.from_pydict(_sent([(0, run, True, own)]))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, gathered, n = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for part in chunks(batch, "text"):
@@ -394,10 +425,46 @@ def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
                                  ids.is_valid().to_numpy(zero_copy_only=False), part.column("held").to_numpy(zero_copy_only=False).astype(bool)))
                 n += len(hashes)
                 if n >= RUN_TOKENS:
-                    yield send(run, gathered)
+                    yield boxed_run(run, gathered)
                     run, gathered, n = run + 1, [], 0
         if n:
-            yield send(run, gathered)
+            yield boxed_run(run, gathered)
+
+    def learnt_tokens(blobs: pa.Array) -> np.ndarray:
+        out = [np.zeros(0, np.uint64)]
+        for blob in blobs:
+            words, numbers, lengths, _, _, held = _unboxed(blob.as_py())
+            out.append(np.cumsum(words, dtype=np.uint64)[numbers[np.repeat(held == 0, lengths.astype(np.int64))]])
+        return np.concatenate(out)
+
+    runs = written(docs.mapInArrow(cut, _SENT))
+    counts = key_counts(runs.select(F.col("blob").alias("text")), learnt_tokens, parts)
+    facts = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*"), F.count(F.when(F.col("count") == 1, 1)),
+                       F.count(F.when(F.col("count") == 2, 1))).first()
+    total, kinds, once, twice = (int(x) for x in facts)
+    discount = once / (once + 2 * twice) if once and twice else DISCOUNT
+    unknown = float(np.log10(discount * kinds / total)) if total else 0.0
+
+    def ask(wave: int):
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for run, blob in zip(batch.column("run"), batch.column("blob"), strict=True):
+                    words, numbers, lengths, _, _, held = _unboxed(blob.as_py())
+                    lengths = lengths.astype(np.int64)
+                    distinct, at = _grams(np.cumsum(words, dtype=np.uint64)[numbers], lengths, order,
+                                          lambda keys: _part(keys, parts) * WAVES // parts == wave)
+                    learnt, inside = np.repeat(held == 0, lengths), _inside(lengths)
+                    times = sum(np.bincount(a[learnt & (a >= 0)], minlength=len(distinct)) for a in at[1:])
+                    context = np.zeros(len(distinct), np.int64)
+                    for n in range(1, order):
+                        before = at[n][np.flatnonzero(~learnt & (inside >= n)) - 1]
+                        context[before[before >= 0]] = 1
+                    rows = [(part, run.as_py(), False, _boxed(_steps(distinct[a:b]), 2 * times[a:b] + context[a:b]))
+                            for part, a, b in _dealt(distinct, parts)]
+                    if rows:
+                        yield pa.RecordBatch.from_pydict(_sent(rows))
+
+        return send
 
     def settle(table: pa.Table) -> pa.Table:
         run, (words, numbers, lengths, ids, known, held), answers = _gathered(table)
@@ -414,8 +481,9 @@ def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
             place[at[n][inner]] = inner
             place = place[first_here & (place >= 0)]
             place = place[wanted[at[n - 1][place - 1]]]
-            np.add.at(follow, at[n - 1][place - 1], 1)
-            np.add.at(lower, at[n - 1][place - 1], count[n - 1][place])
+            owner = at[n - 1][place - 1]
+            follow += np.bincount(owner, minlength=len(distinct))
+            lower += np.bincount(owner, count[n - 1][place], len(distinct)).astype(np.int64)
 
         numbers = numbers.astype(np.int64)
         model, gram = reachable(numbers, at, value >> 2, total, discount, words)
@@ -451,10 +519,16 @@ def score(documents: DataFrame, order: int = ORDER) -> DataFrame:
             "doc_id": pa.array(ids, mask=known == 0), "held_out": held.astype(bool), "n_tokens": lengths, "n_known": n_known,
             "base": base, "logs": logs + np.bincount(rows_of, weight[entry], len(lengths))})
 
-    rows = (docs.mapInArrow(ask, _SENT)
-            .repartition(parts, "part").groupBy("part").applyInArrow(lambda table: _answered(table, _total_counts), _SENT)
-            .repartition(parts, "run").groupBy("run").applyInArrow(settle, _SENT)
-            .repartition(parts, "part").groupBy("part").applyInArrow(lambda table: _answered(table, _total_contexts), _SENT)
+    known_so_far = runs
+    for wave in range(WAVES):
+        release(spark)
+        known_so_far = known_so_far.unionByName(written(
+            runs.mapInArrow(ask(wave), _SENT)
+            .repartition(parts, "part").groupBy("part").applyInArrow(lambda table: _answered(table, _total_counts), _SENT)))
+    release(spark)
+    settled = written(known_so_far.repartition(parts, "run").groupBy("run").applyInArrow(settle, _SENT))
+    release(spark)
+    rows = (settled.repartition(parts, "part").groupBy("part").applyInArrow(lambda table: _answered(table, _total_contexts), _SENT)
             .repartition(parts, "run").groupBy("run").applyInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, logs double"))
     return rows.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),

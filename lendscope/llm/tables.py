@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,9 @@ def release(spark: SparkSession) -> None:
     Spark drops shuffle files and broadcasts of a step once the driver has collected its plan as garbage. Many short rounds
     may pass before it does, and their files and plans would pile up on disk and in the driver's heap.
     """
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first lets go of frames, the second of what their plans held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def columns(names: list[str], *left_out: str) -> list[Column]:

@@ -52,10 +52,10 @@ class Words(NamedTuple):
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column; a null counts as empty."""
-    column = column.cast(pa.large_string())
+    """Bytes and offsets of a string or binary column; a null counts as empty."""
+    column = column.cast(pa.large_binary() if pa.types.is_binary(column.type) else pa.large_string())
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"" if pa.types.is_large_binary(column.type) else "")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(column) or offsets[-1] == offsets[0]:
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)

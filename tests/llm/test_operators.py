@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lendscope.llm import fingerprints, html_text, language_model, line_dedup, mixing, near_dedup, nearest, packing, quality, substring_dedup
 from lendscope.llm.queries import QUERIES, vocabulary
-from lendscope.llm.tables import table
+from lendscope.llm.tables import table, written
 
 from . import brute
 
@@ -193,6 +193,22 @@ def test_language_model_keeps_every_ngram(spark, monkeypatch):
     assert scores == {i: pytest.approx(w, rel=1e-9) for i, w in brute.backoff_scores(dict(often)).items()}
 
 
+def test_language_model_sends_hashes_in_waves(spark, monkeypatch):
+    """All hashes and all runs in one shuffle took 3.7 times the input's space; runs are written once, and parts take turns."""
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(40))) for i in range(60)]
+    kept = []
+    monkeypatch.setattr(language_model, "written", lambda df: kept.append(written(df)) or kept[-1], raising=False)
+    monkeypatch.setattr(language_model, "RUN_TOKENS", 300)
+    got = {i: s for i, (s,) in _by_id(language_model.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)), "score").items()}
+    assert got == {i: pytest.approx(w, rel=1e-9) for i, w in brute.backoff_scores(dict(rows)).items()}
+    runs, *waves, _ = kept
+    assert len(waves) == language_model.WAVES > 1
+    assert {r.own for r in runs.collect()} == {True} and not any(r.own for w in waves for r in w.collect())
+    parts = [{r.part for r in w.collect()} for w in waves]
+    assert all(parts) and not set.intersection(*parts)
+    assert runs.count() == 3 and all({r.run for r in w.collect()} == {r.run for r in runs.collect()} for w in waves)
+
+
 def test_fingerprints(spark, documents, texts, nothing):
     got = {r.doc_id: r for r in fingerprints.document_fingerprints(documents).collect()}
     want = brute.edited(texts)

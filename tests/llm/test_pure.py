@@ -210,3 +210,13 @@ def test_main_text_of_odd_pages():
     assert main_text(long) == " ".join([ARTICLE] * 3000)
     assert main_text("<a " + "x='" * 20_000) == ""
     assert main_text(html.escape("<p>code</p>")) == "<p>code</p>"
+
+
+def test_places_of_hashes():
+    """Found from where their first bits begin; also where hashes crowd, and at both ends."""
+    rng = np.random.default_rng(5)
+    for hashes in (rng.integers(0, 2**64, 5000, np.uint64), np.arange(3000, dtype=np.uint64), np.array([0, 7, 2**64 - 1], np.uint64), np.zeros(0, np.uint64)):
+        distinct, place = lm._distinct(np.concatenate([hashes, hashes[::2]]))
+        assert np.array_equal(distinct, np.unique(hashes)) and np.array_equal(distinct[place], np.concatenate([hashes, hashes[::2]]))
+        wanted = np.concatenate([hashes, rng.integers(0, 2**64, 500, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        assert np.array_equal(lm.Places(distinct).find(wanted), lm._find(distinct, wanted))
